@@ -29,6 +29,8 @@ from ledgerloom.operators import (
 )
 from ledgerloom.session import scratch_path, tune
 from ledgerloom.sources import retail, tables
+from ledgerloom.streaming import changes, feeds, ledger
+from ledgerloom.streaming import visits as live_visits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -614,3 +616,78 @@ def benchmark_metric_store(t: Inputs) -> DataFrame:
     return monitoring.metrics_by_run(
         tables.read_parquet(t.spark, runs_path, runs.schema), tables.read_parquet(t.spark, metrics_path, metrics.schema)
     )
+
+
+# --- feeds -------------------------------------------------------------------
+
+VISIT_LATENESS = "30 minutes"
+
+
+def _copied_feed(t: Inputs, rows: DataFrame, label: str, files: int = 3) -> DataFrame:
+    """An input landed as a few files and followed one file per micro-batch."""
+    path = scratch_path(t.spark, label)
+    rows.repartition(files).write.parquet(path)
+    return feeds.follow_parquet(t.spark, path, rows.schema, max_files=1)
+
+
+@query
+def retail_visits_stream(t: Inputs) -> DataFrame:
+    """Visits closed by the watermark; the feed is read in the order it was stored."""
+    stream = retail.follow(t.spark, t.sf_dir, "pos_events")
+    visits_out = live_visits.visit_stream(stream, VISIT_LATENESS)
+    return feeds.drain_to_files(
+        visits_out, scratch_path(t.spark, "visits"), feeds.new_checkpoint(t.spark, "visits")
+    )
+
+
+@query
+def cdc_upsert_sync(t: Inputs) -> DataFrame:
+    stream = _copied_feed(t, t.product_changes, "product-changes")
+    path = scratch_path(t.spark, "product-sync")
+    feeds.drain(stream, changes.record_changes(path, "product_id", ["change_id"]), feeds.new_checkpoint(t.spark, "product-sync"))
+    stored = changes.read_changes(t.search_copy, path, stream.schema)
+    return changes.current_copy(t.search_copy, stored, "product_id", ["change_id"])
+
+
+@query
+def audit_change_stream(t: Inputs) -> DataFrame:
+    """One micro-batch, so the log is the difference between the copy and its latest state."""
+    stream = _copied_feed(t, t.product_changes, "audited-changes", files=1)
+    changes_path, audit_path = scratch_path(t.spark, "audited"), scratch_path(t.spark, "audit-log")
+    handler = changes.record_audit(
+        t.search_copy, changes_path, audit_path, "product_id", ["change_id"], "products", stream.schema
+    )
+    feeds.drain(stream, handler, feeds.new_checkpoint(t.spark, "audit"))
+    return t.spark.read.parquet(audit_path).drop(changes.BATCH)
+
+
+@query
+def outbox_lag_stream(t: Inputs) -> DataFrame:
+    """Backlog after the last micro-batch."""
+    events = t.outbox.select("event_id", "created_at", "processed")
+    stream = _copied_feed(t, events, "outbox")
+    pending, alerts = scratch_path(t.spark, "outbox-pending"), scratch_path(t.spark, "outbox-alerts")
+    handler = changes.watch_outbox(pending, alerts, lambda _: retail.OUTBOX_AS_OF, events.schema)
+    feeds.drain(stream, handler, feeds.new_checkpoint(t.spark, "outbox"))
+    logged = t.spark.read.parquet(alerts)
+    return logged.groupBy().agg(F.max_by("lag", changes.BATCH).alias("lag"), F.max_by("alert", changes.BATCH).alias("alert"))
+
+
+@query
+def stock_reserve_stream(t: Inputs) -> DataFrame:
+    requests = t.stream_requests
+    stream = _copied_feed(t, requests, "stock-requests", files=1)
+    shelf = requests.select("store_id", "product_id").distinct().withColumn("stock", F.lit(SHELF_STOCK))
+    outcome = ledger.reserve_stream(stream, shelf)
+    return feeds.drain_to_files(outcome, scratch_path(t.spark, "reserved"), feeds.new_checkpoint(t.spark, "reserved"))
+
+
+@query
+def credit_adjust_stream(t: Inputs) -> DataFrame:
+    requests = t.credit_requests.select(
+        "request_id", "customer_id", "expected_version", (F.col("amount") * 100).cast("bigint").alias("amount_cents")
+    )
+    accounts = t.credit_accounts.select("customer_id", (F.col("available_credit") * 100).cast("bigint").alias("credit_cents"), "version")
+    stream = _copied_feed(t, requests, "credit-requests", files=1)
+    outcome = ledger.credit_stream(stream, accounts)
+    return feeds.drain_to_files(outcome, scratch_path(t.spark, "credit"), feeds.new_checkpoint(t.spark, "credit"))

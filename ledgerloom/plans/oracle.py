@@ -648,4 +648,48 @@ def oracle_sql() -> dict[str, str]:
         "SELECT r.run_id, r.scenario_name, m.metric_name, CAST(m.metric_value AS DOUBLE) AS metric_value, m.metric_unit "
         "FROM benchmark_runs r LEFT JOIN benchmark_metrics m ON m.run_id = r.run_id",
     )
+
+    out["retail_visits_stream"] = _sql(
+        {
+            **_visits("pos_events"),
+            "closing": "SELECT date_trunc('minute', max(order_date)) - INTERVAL 30 MINUTE AS mark FROM pos_events WHERE channel = 'retail'",
+        },
+        f"SELECT customer_id, store_id, {_moment('visit_start')}, {_moment('visit_end')}, transaction_count, {_amount('visit_total')} "
+        "FROM visits, closing WHERE date_trunc('minute', visit_end) + INTERVAL 930 SECOND <= mark",
+    )
+    last_change = "SELECT * FROM product_changes QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY change_id DESC) = 1"
+    out["cdc_upsert_sync"] = _sql(
+        {"product_changes": None, "search_copy": None, "latest": last_change},
+        f"SELECT product_id, name, {_amount('price')} FROM search_copy WHERE product_id NOT IN (SELECT product_id FROM latest) "
+        f"UNION ALL SELECT product_id, name, {_amount('price')} FROM latest WHERE op <> 'd'",
+    )
+    out["audit_change_stream"] = _sql(
+        {"product_changes": None, "search_copy": None, "latest": last_change, "live": "SELECT * FROM latest WHERE op <> 'd'"},
+        "SELECT 'products' AS table_name, CASE WHEN b.product_id IS NULL THEN 'INSERT' WHEN a.product_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS action_name, "
+        "CAST(l.product_id AS VARCHAR) AS record_id, "
+        "'{\"product_id\":' || b.product_id || ',\"name\":\"' || b.name || '\",\"price\":' || b.price || '}' AS old_data, "
+        "'{\"product_id\":' || a.product_id || ',\"name\":\"' || a.name || '\",\"price\":' || a.price || '}' AS new_data "
+        "FROM latest l LEFT JOIN search_copy b ON b.product_id = l.product_id LEFT JOIN live a ON a.product_id = l.product_id "
+        "WHERE (b.product_id IS NOT NULL OR a.product_id IS NOT NULL) AND (b.name IS DISTINCT FROM a.name OR b.price IS DISTINCT FROM a.price)",
+    )
+    out["outbox_lag_stream"] = out["outbox_lag_alert"]
+    out["stock_reserve_stream"] = _sql(
+        {
+            "stream_requests": None,
+            "numbered": "SELECT *, row_number() OVER (PARTITION BY store_id, product_id ORDER BY request_id) AS n FROM stream_requests",
+            "replay": f"SELECT n, store_id, product_id, request_id, qty, qty <= {catalog.SHELF_STOCK} AS ok, "
+            f"{catalog.SHELF_STOCK} - CASE WHEN qty <= {catalog.SHELF_STOCK} THEN qty ELSE 0 END AS left_over FROM numbered WHERE n = 1 "
+            "UNION ALL SELECT r.n, r.store_id, r.product_id, r.request_id, r.qty, r.qty <= p.left_over, "
+            "p.left_over - CASE WHEN r.qty <= p.left_over THEN r.qty ELSE 0 END FROM replay p JOIN numbered r "
+            "ON r.store_id = p.store_id AND r.product_id = p.product_id AND r.n = p.n + 1",
+        },
+        "SELECT request_id, store_id, product_id, qty, CASE WHEN ok THEN 'ACCEPTED' ELSE 'REFUSED' END AS outcome, "
+        "left_over AS stock_after FROM replay",
+        recursive=True,
+    )
+    replayed = out["credit_adjust_versioned"]
+    out["credit_adjust_stream"] = (
+        "SELECT request_id, customer_id, outcome, CAST(round(credit_after * 100) AS BIGINT) AS credit_after, version_after "
+        f"FROM ({replayed}) AS replayed"
+    )
     return out

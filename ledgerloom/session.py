@@ -47,11 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
     A machine-local folder is used only on a local master, where driver and
     executors are one process.
     """
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if not current:
+            context.setCheckpointDir(configured)
         return configured
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
     if current:
         return current
     if not context.master.startswith("local"):

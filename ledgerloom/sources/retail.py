@@ -400,6 +400,19 @@ INPUTS: dict[str, list[tuple[str, dict[str, str], str | None]]] = {
             None,
         )
     ],
+    # One request per order, with the order number as arrival number.
+    "stream_requests": [
+        (
+            "orders",
+            {
+                "request_id": "o_orderkey",
+                "store_id": "CAST(o_custkey % 10 AS INT)",
+                "product_id": "o_custkey % 200",
+                "qty": "CAST(o_orderkey % 17 + 1 AS BIGINT)",
+            },
+            None,
+        )
+    ],
     "shelf_keys": [("lineitem", {"store_id": "CAST(l_suppkey % 10 AS INT)", "product_id": "l_partkey"}, None)],
     "checkout_orders": [
         ("orders", {"order_id": "o_orderkey", "store_id": _STORE, "seq": "o_orderkey"}, None)
@@ -513,6 +526,18 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return result
 
 
+def follow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A single-table input as a stream over the table's files."""
+    ((table, columns, condition),) = INPUTS[name]
+    folder = sf_dir.rstrip("/")
+    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    # Written as a pattern, since a stream takes a folder or a pattern but no single file.
+    rows = spark.readStream.schema(schema).parquet(f"{folder}/{{{table}}}.parquet")
+    if condition:
+        rows = rows.filter(condition)
+    return rows.selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()])
+
+
 def as_sql(name: str) -> str:
     """The same input as a SELECT over tables of the same names."""
     parts = []
