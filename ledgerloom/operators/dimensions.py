@@ -43,11 +43,12 @@ def backfill_validity(dim: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
-def latest_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+def latest_per_key(rows: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """The last row of every key. An aggregate, so repeated keys shrink before the shuffle."""
-    rest = [name for name in rows.columns if name != key]
-    picked = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*[key if name == key else F.col(f"_row.{name}").alias(name) for name in rows.columns])
+    keys = [key] if isinstance(key, str) else key
+    rest = [name for name in rows.columns if name not in keys]
+    picked = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return picked.select(*[name if name in keys else F.col(f"_row.{name}").alias(name) for name in rows.columns])
 
 
 def apply_scd2_changes(dim: DataFrame, staging: DataFrame, as_of: date, staging_order: list[str] | None = None) -> DataFrame:

@@ -39,7 +39,7 @@ def contains(doc: Column, wanted: object, path: str = "$") -> Column:
         items = F.try_variant_get(doc, path, "array<variant>")
         test = J.type_name(here) == "array"
         for value in wanted:
-            test = test & F.exists(items, lambda item, value=value: contains(item, value))
+            test = test & F.exists(items, lambda item: contains(item, value))
         return F.coalesce(test, F.lit(False))
     if wanted is None:
         return F.coalesce(J.type_name(here) == "null", F.lit(False))

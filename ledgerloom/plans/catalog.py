@@ -623,11 +623,18 @@ def benchmark_metric_store(t: Inputs) -> DataFrame:
 VISIT_LATENESS = "30 minutes"
 
 
-def _copied_feed(t: Inputs, rows: DataFrame, label: str, files: int = 3) -> DataFrame:
-    """An input landed as a few files and followed one file per micro-batch."""
+def _landed_feed(t: Inputs, rows: DataFrame, label: str, batches: int = 1) -> DataFrame:
+    """An input landed as files and followed in ``batches`` micro-batches.
+
+    Only feeds whose result does not depend on which file comes first use more
+    than one.
+    """
     path = scratch_path(t.spark, label)
-    rows.repartition(files).write.parquet(path)
-    return feeds.follow_parquet(t.spark, path, rows.schema, max_files=1)
+    if batches > 1:
+        rows = rows.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.write.parquet(path)
+    files = len(t.spark.read.parquet(path).inputFiles())
+    return feeds.follow_parquet(t.spark, path, rows.schema, max_files=-(-files // batches))
 
 
 @query
@@ -642,7 +649,7 @@ def retail_visits_stream(t: Inputs) -> DataFrame:
 
 @query
 def cdc_upsert_sync(t: Inputs) -> DataFrame:
-    stream = _copied_feed(t, t.product_changes, "product-changes")
+    stream = _landed_feed(t, t.product_changes, "product-changes", batches=3)
     path = scratch_path(t.spark, "product-sync")
     feeds.drain(stream, changes.record_changes(path, "product_id", ["change_id"]), feeds.new_checkpoint(t.spark, "product-sync"))
     stored = changes.read_changes(t.search_copy, path, stream.schema)
@@ -652,7 +659,7 @@ def cdc_upsert_sync(t: Inputs) -> DataFrame:
 @query
 def audit_change_stream(t: Inputs) -> DataFrame:
     """One micro-batch, so the log is the difference between the copy and its latest state."""
-    stream = _copied_feed(t, t.product_changes, "audited-changes", files=1)
+    stream = _landed_feed(t, t.product_changes, "audited-changes")
     changes_path, audit_path = scratch_path(t.spark, "audited"), scratch_path(t.spark, "audit-log")
     handler = changes.record_audit(
         t.search_copy, changes_path, audit_path, "product_id", ["change_id"], "products", stream.schema
@@ -665,7 +672,7 @@ def audit_change_stream(t: Inputs) -> DataFrame:
 def outbox_lag_stream(t: Inputs) -> DataFrame:
     """Backlog after the last micro-batch."""
     events = t.outbox.select("event_id", "created_at", "processed")
-    stream = _copied_feed(t, events, "outbox")
+    stream = _landed_feed(t, events, "outbox", batches=3)
     pending, alerts = scratch_path(t.spark, "outbox-pending"), scratch_path(t.spark, "outbox-alerts")
     handler = changes.watch_outbox(pending, alerts, lambda _: retail.OUTBOX_AS_OF, events.schema)
     feeds.drain(stream, handler, feeds.new_checkpoint(t.spark, "outbox"))
@@ -676,18 +683,17 @@ def outbox_lag_stream(t: Inputs) -> DataFrame:
 @query
 def stock_reserve_stream(t: Inputs) -> DataFrame:
     requests = t.stream_requests
-    stream = _copied_feed(t, requests, "stock-requests", files=1)
+    stream = _landed_feed(t, requests, "stock-requests")
     shelf = requests.select("store_id", "product_id").distinct().withColumn("stock", F.lit(SHELF_STOCK))
-    outcome = ledger.reserve_stream(stream, shelf)
-    return feeds.drain_to_files(outcome, scratch_path(t.spark, "reserved"), feeds.new_checkpoint(t.spark, "reserved"))
+    outcome, levels = scratch_path(t.spark, "reserved"), scratch_path(t.spark, "shelf-levels")
+    feeds.drain(stream, ledger.record_reservations(shelf, outcome, levels, ["request_id"]), feeds.new_checkpoint(t.spark, "reserved"))
+    return t.spark.read.parquet(outcome).drop(changes.BATCH)
 
 
 @query
 def credit_adjust_stream(t: Inputs) -> DataFrame:
-    requests = t.credit_requests.select(
-        "request_id", "customer_id", "expected_version", (F.col("amount") * 100).cast("bigint").alias("amount_cents")
-    )
-    accounts = t.credit_accounts.select("customer_id", (F.col("available_credit") * 100).cast("bigint").alias("credit_cents"), "version")
-    stream = _copied_feed(t, requests, "credit-requests", files=1)
-    outcome = ledger.credit_stream(stream, accounts)
-    return feeds.drain_to_files(outcome, scratch_path(t.spark, "credit"), feeds.new_checkpoint(t.spark, "credit"))
+    stream = _landed_feed(t, t.credit_requests, "credit-requests")
+    outcome, levels = scratch_path(t.spark, "credit"), scratch_path(t.spark, "credit-levels")
+    handler = ledger.record_credit(t.credit_accounts, outcome, levels, ["request_id"])
+    feeds.drain(stream, handler, feeds.new_checkpoint(t.spark, "credit"))
+    return t.spark.read.parquet(outcome).drop(changes.BATCH)

@@ -687,9 +687,5 @@ def oracle_sql() -> dict[str, str]:
         "left_over AS stock_after FROM replay",
         recursive=True,
     )
-    replayed = out["credit_adjust_versioned"]
-    out["credit_adjust_stream"] = (
-        "SELECT request_id, customer_id, outcome, CAST(round(credit_after * 100) AS BIGINT) AS credit_after, version_after "
-        f"FROM ({replayed}) AS replayed"
-    )
+    out["credit_adjust_stream"] = out["credit_adjust_versioned"]
     return out

@@ -1,88 +1,77 @@
-"""Stock and credit kept as stream state, one key at a time.
+"""Stock and credit kept up to date from a feed of requests.
 
-Each micro-batch brings a bounded number of requests; inside it a key's requests
-are put in arrival order and applied to the state left by earlier batches.
+Every micro-batch is settled by the batch job, so a hot shelf or account inside
+it is handled the same way, and leaves behind the new level of each key it
+touched. Levels are appended per batch; the latest one per key is the state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
 
-from ledgerloom.operators.folds import ACCEPTED, APPLIED, CONFLICT, REFUSED
+from ledgerloom.operators import folds
+from ledgerloom.operators.dimensions import latest_per_key
+from ledgerloom.operators.privacy import upsert
+from ledgerloom.streaming.changes import BATCH
 
+SHELF = ["store_id", "product_id"]
+ACCOUNT = ["customer_id"]
 
-def _in_order(frames: Iterator[pd.DataFrame], arrival: str) -> pd.DataFrame:
-    return pd.concat(list(frames)).sort_values(arrival)
 
+def _state(opening: DataFrame, levels_path: str, keys: list[str], batch: DataFrame, batch_id: int) -> DataFrame:
+    """Levels of the keys in ``batch`` as earlier batches left them."""
+    touched = batch.select(*keys).distinct()
+    start = opening.join(touched, keys, "left_semi")
+    if batch_id == 0:
+        return start
+    schema = T.StructType(opening.schema.fields + [T.StructField(BATCH, T.LongType())])
+    earlier = opening.sparkSession.read.schema(schema).parquet(levels_path).filter(F.col(BATCH) < batch_id)
+    latest = latest_per_key(earlier.join(touched, keys, "left_semi"), keys, [BATCH])
+    return upsert(start, latest.select(*opening.columns), keys)
 
-def reserve_stream(requests: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Outcome of each stock request; requests hold request_id, store_id, product_id, qty in id order."""
-    stock = inventory.select("store_id", "product_id", F.col("stock").cast("bigint").alias("stock"))
-    opened = requests.join(stock, ["store_id", "product_id"], "left").select(
-        "request_id", "store_id", "product_id", F.col("qty").cast("bigint").alias("qty"), F.coalesce("stock", F.lit(0)).alias("stock")
-    )
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _in_order(frames, "request_id")
-        left = state.get[0] if state.exists else int(rows["stock"].iloc[0])
-        outcome, after = [], []
-        for qty in rows["qty"]:
-            enough = left >= qty
-            left -= int(qty) if enough else 0
-            outcome.append(ACCEPTED if enough else REFUSED)
-            after.append(left)
-        state.update((left,))
-        yield rows[["request_id", "store_id", "product_id", "qty"]].assign(outcome=outcome, stock_after=after)
-
-    kinds = {f.name: f.dataType.simpleString() for f in opened.schema.fields}
-    schema = ", ".join(f"{n} {kinds[n]}" for n in ("request_id", "store_id", "product_id", "qty"))
-    return opened.groupBy("store_id", "product_id").applyInPandasWithState(
-        step, f"{schema}, outcome string, stock_after bigint", "left_over bigint", "append", GroupStateTimeout.NoTimeout
-    )
+def _settle(outcome: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Store a batch's outcome; a retry replaces its folder."""
+    folder = f"{path}/{BATCH}={batch_id}"
+    outcome.write.mode("overwrite").parquet(folder)
+    return outcome.sparkSession.read.schema(outcome.schema).parquet(folder)
 
 
-def credit_stream(requests: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Outcome of each versioned credit request; amounts are whole cents."""
-    start = accounts.select(
-        "customer_id", F.col("credit_cents").cast("bigint").alias("credit_cents"), F.col("version").cast("bigint").alias("version")
-    )
-    opened = requests.join(start, "customer_id", "left").select(
-        "request_id",
-        "customer_id",
-        F.col("expected_version").cast("bigint").alias("expected_version"),
-        F.col("amount_cents").cast("bigint").alias("amount_cents"),
-        F.coalesce("credit_cents", F.lit(0)).alias("credit_cents"),
-        # An unknown account has a version nobody can expect.
-        F.coalesce("version", F.lit(-1)).alias("version"),
+def record_reservations(
+    inventory: DataFrame, outcome_path: str, levels_path: str, order: list[str], **limits
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler for stock requests; ``inventory`` holds store_id, product_id and opening stock."""
+    opening = inventory.select(*SHELF, F.col("stock").cast("bigint").alias("stock"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        stock = _state(opening, levels_path, SHELF, batch, batch_id)
+        stored = _settle(folds.reserve_stock(batch, stock, order, **limits), outcome_path, batch_id)
+        # Stock only goes down, so the lowest level is the last.
+        levels = stored.groupBy(*SHELF).agg(F.min("stock_after").alias("stock"))
+        _settle(levels, levels_path, batch_id)
+
+    return handle
+
+
+def record_credit(
+    accounts: DataFrame, outcome_path: str, levels_path: str, order: list[str], **limits
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler for versioned credit requests; ``accounts`` holds the opening credit and version."""
+    opening = accounts.select(
+        *ACCOUNT, F.col("available_credit").cast(folds.CREDIT_TYPE).alias("available_credit"), F.col("version").cast("bigint").alias("version")
     )
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _in_order(frames, "request_id")
-        credit, version = state.get if state.exists else (int(rows["credit_cents"].iloc[0]), int(rows["version"].iloc[0]))
-        outcome, credits, versions = [], [], []
-        for expected, amount in zip(rows["expected_version"], rows["amount_cents"]):
-            hit = version >= 0 and expected == version
-            if hit:
-                version += 1
-                credit += int(amount)
-            outcome.append(APPLIED if hit else CONFLICT)
-            credits.append(credit if hit else None)
-            versions.append(version if hit else None)
-        state.update((credit, version))
-        yield rows[["request_id", "customer_id"]].assign(
-            outcome=outcome, credit_after=pd.array(credits, dtype="Int64"), version_after=pd.array(versions, dtype="Int64")
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        state = _state(opening, levels_path, ACCOUNT, batch, batch_id)
+        stored = _settle(folds.adjust_credit(batch, state, order, **limits), outcome_path, batch_id)
+        applied = stored.filter(F.col("outcome") == folds.APPLIED)
+        levels = applied.groupBy(*ACCOUNT).agg(
+            F.max_by("credit_after", "version_after").alias("available_credit"), F.max("version_after").alias("version")
         )
+        _settle(levels, levels_path, batch_id)
 
-    kinds = {f.name: f.dataType.simpleString() for f in opened.schema.fields}
-    return opened.groupBy("customer_id").applyInPandasWithState(
-        step,
-        f"request_id {kinds['request_id']}, customer_id {kinds['customer_id']}, outcome string, credit_after bigint, version_after bigint",
-        "credit bigint, version bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    return handle
