@@ -27,10 +27,10 @@ def parse_strict(text: Column) -> Column:
     return F.when(single & only_member, F.try_variant_get(as_array, "$[0]", "variant"))
 
 
-def reject_reason(text: Column) -> Column:
-    """Why ``parse_strict`` refused a non-null text; null when it was accepted."""
+def reject_reason(text: Column, parsed: Column) -> Column:
+    """Why ``parse_strict`` refused a text; null when it gave the value ``parsed``."""
     return (
-        F.when(parse_strict(text).isNotNull(), F.lit(None).cast("string"))
+        F.when(text.isNull() | parsed.isNotNull(), F.lit(None).cast("string"))
         .when(text.rlike(_BLANK), F.lit(REASON_EMPTY))
         .when(F.try_parse_json(text).isNotNull(), F.lit(REASON_TRAILING))
         .otherwise(F.lit(REASON_NOT_JSON))

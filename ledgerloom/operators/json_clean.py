@@ -41,10 +41,9 @@ def text_to_json(rows: DataFrame, text: str, target: str) -> DataFrame:
     Text opening with a brace or bracket that fails to parse keeps the raw text
     and the reason of failure. Rows whose target is already set are left alone.
     """
-    source = F.col(text)
-    parsed = J.parse_strict(source)
+    source, parsed = F.col(text), F.col("_parsed")
     wrapped = F.to_json(F.struct(source.alias("raw_text")))
-    failed = F.to_json(F.struct(J.reject_reason(source).alias("parse_error"), source.alias("raw_text")))
+    failed = F.to_json(F.struct(J.reject_reason(source, parsed).alias("parse_error"), source.alias("raw_text")))
     converted = (
         F.when(source.isNull(), F.lit(None))
         .when(~source.rlike(_LOOKS_STRUCTURED), wrapped)
@@ -53,27 +52,29 @@ def text_to_json(rows: DataFrame, text: str, target: str) -> DataFrame:
     )
     if target in rows.columns:
         converted = F.coalesce(target, converted)
-    return rows.withColumn(target, converted)
+    structured = F.when(source.rlike(_LOOKS_STRUCTURED), source)
+    return with_document(rows, structured, "_parsed").withColumn(target, converted).drop("_parsed")
 
 
 def split_profiles(rows: DataFrame, text: str, target: str) -> DataFrame:
     """All rows, with ``target`` holding valid JSON and the text of malformed rows cleared."""
-    parsed = F.to_json(J.parse_strict(F.col(text)))
-    return rows.withColumn(target, parsed).withColumn(text, F.when(F.col(target).isNotNull(), F.col(text)))
+    staged = with_document(rows, F.col(text), "_parsed").withColumn(target, F.to_json("_parsed"))
+    return staged.withColumn(text, F.when(F.col("_parsed").isNotNull(), F.col(text))).drop("_parsed")
 
 
 def dead_letters(rows: DataFrame, key: str, text: str, order: list[str]) -> DataFrame:
     """Malformed payloads with the reason of failure; the last write per key wins."""
-    reason = J.reject_reason(F.col(text))
-    bad = rows.filter(F.col(text).isNotNull()).withColumn("failure_reason", reason).filter("failure_reason is not null")
-    columns = list(dict.fromkeys([key, text, "failure_reason", *order]))
-    latest = latest_per_key(bad.select(*columns), key, order)
-    return latest.select(key, F.col(text).alias("malformed_payload"), "failure_reason")
+    payload = F.col(text)
+    bad = rows.filter(payload.isNotNull() & J.parse_strict(payload).isNull())
+    latest = latest_per_key(bad.select(*dict.fromkeys([key, text, *order])), key, order)
+    # The reason is worked out for the rows that are kept, not for every rejected write.
+    reason = J.reject_reason(payload, F.lit(None))
+    return latest.select(key, payload.alias("malformed_payload"), reason.alias("failure_reason"))
 
 
-def with_document(rows: DataFrame, text: str, name: str = "doc") -> DataFrame:
-    """Parse a JSON text column once; jobs below read the VARIANT."""
-    return rows.withColumn(name, J.parse_strict(F.col(text)))
+def with_document(rows: DataFrame, text: Column, name: str = "doc") -> DataFrame:
+    """Parse a JSON text once, as a column of its own that later steps read."""
+    return rows.withColumn(name, J.parse_strict(text))
 
 
 def in_category(doc: Column, category: str) -> Column:

@@ -87,7 +87,7 @@ class Inputs:
 
     @property
     def documents(self) -> DataFrame:
-        return json_clean.with_document(self.enrichment, "attributes")
+        return json_clean.with_document(self.enrichment, F.col("attributes"))
 
     @property
     def pan_key(self):
@@ -444,8 +444,12 @@ def product_ratings(t: Inputs) -> DataFrame:
 
 @query
 def product_search(t: Inputs) -> DataFrame:
+    """Search reads the cleansed table as stored, with its search key next to the JSON."""
     described = json_clean.text_to_json(t.products, "description", "description_json")
-    return serving.product_search(described, serving.product_ratings(t.reviews), {"raw_text": "red widget"})
+    stored = tables.write_new(
+        serving.with_key_columns(described.select("product_id", "description_json"), ["raw_text"]), scratch_path(t.spark, "products")
+    )
+    return serving.product_search(stored, serving.product_ratings(t.reviews), {"raw_text": "red widget"})
 
 
 @query

@@ -25,7 +25,7 @@ BAD = {
 
 def test_strict_parse(spark):
     rows = spark.createDataFrame([(t,) for t in [*GOOD, *BAD, None]], "t string")
-    got = {r.t: (r.p, r.r) for r in rows.select("t", F.to_json(J.parse_strict(F.col("t"))).alias("p"), J.reject_reason(F.col("t")).alias("r")).collect()}
+    got = {r.t: (r.p, r.r) for r in rows.select("t", F.to_json(J.parse_strict(F.col("t"))).alias("p"), J.reject_reason(F.col("t"), J.parse_strict(F.col("t"))).alias("r")).collect()}
     for text in GOOD:
         assert json.loads(got[text][0]) == json.loads(text) and got[text][1] is None
     for text, reason in BAD.items():
@@ -40,7 +40,7 @@ def test_text_to_json_keeps_filled_targets(spark):
 
 
 def documents(spark, texts):
-    return json_clean.with_document(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "t")
+    return json_clean.with_document(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), F.col("t"))
 
 
 @pytest.mark.parametrize(
