@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,28 +53,55 @@ def number_arrivals(rows: DataFrame, order: list[str], name: str = "seq") -> Dat
     return cut_lineage(rows.orderBy(*order).withColumn(name, F.monotonically_increasing_id()))
 
 
-def _replay(rows: DataFrame, keys: list[str], order: list, step: Callable[[pa.RecordBatch, dict], dict], added: str) -> DataFrame:
+OPENING = "_is_opening"
+
+
+def _split_null_keys(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a full key, and rows no key can match; the latter need no shuffle."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return rows.filter(~missing), rows.filter(missing)
+
+
+def _replay(
+    rows: DataFrame, keys: list[str], order: list, step: Callable[[pa.RecordBatch, dict], dict], added: str, opening: DataFrame | None = None
+) -> DataFrame:
     """Run ``step`` over each key's rows in order and append the columns it returns.
 
     One shuffle on the keys; Spark sorts (and spills) the partitions, and Python
-    sees Arrow batches with only the state of the key at hand.
+    sees Arrow batches with only the state of the key at hand. ``opening`` rows
+    carry the starting state of a key: they travel with the others, come first
+    and are not returned, which saves joining them beforehand.
     """
-    arranged = rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *order)
+    columns = rows.columns
+    flagged = rows.withColumn(OPENING, F.lit(False))
+    if opening is not None:
+        typed = [F.col(k).try_cast(rows.schema[k].dataType).alias(k) if k in keys else F.col(k) for k in opening.columns]
+        flagged = flagged.unionByName(opening.select(*typed, F.lit(True).alias(OPENING)), allowMissingColumns=True)
+    arranged = flagged.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, F.desc(OPENING), *order)
     fields = T._parse_datatype_string(added)
-    schema = T.StructType(arranged.schema.fields + fields.fields)
+    kept = [f for f in arranged.schema.fields if f.name in columns]
+    schema = T.StructType(kept + fields.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = to_arrow_schema(fields)
         state: dict[str, Any] = {}
         for batch in batches:
-            columns = step(batch, state)
+            returned = step(batch, state)
+            visible = pc.invert(batch.column(OPENING))
+            out = batch.select([f.name for f in kept])
             for field in kinds:
-                batch = batch.append_column(field.name, pa.array(columns[field.name], type=field.type))
-            yield batch
+                out = out.append_column(field.name, pa.array(returned[field.name], type=field.type))
+            yield out.filter(visible)
 
     return arranged.mapInArrow(run, schema)
 
 
+def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    return zip(*(batch.column(name).to_pylist() for name in names))
+
+
 # --- stock -----------------------------------------------------------------
 
 
@@ -81,10 +109,12 @@ def _reserve_step(batch: pa.RecordBatch, state: dict) -> dict:
     """Decrement while enough is left; ``state`` carries the key and its stock between batches."""
     accepted, after = [], []
     key, left = state.get("key"), state.get("left")
-    for store, product, qty, stock in zip(*(batch.column(c).to_pylist() for c in ("store_id", "product_id", "qty", "stock"))):
+    for store, product, qty, stock, opening in _lists(batch, "store_id", "product_id", "qty", "stock", OPENING):
         if key != (store, product):
-            key, left = (store, product), stock
-        enough = left >= qty
+            key, left = (store, product), 0
+        if opening:
+            left = stock
+        enough = not opening and left >= qty
         if enough:
             left -= qty
         accepted.append(enough)
@@ -101,23 +131,32 @@ def reserve_stock(requests: DataFrame, inventory: DataFrame, order: list[str], h
     store and product covers it at that moment; an unknown product has none.
     """
     keys = ["store_id", "product_id"]
-    stocked = _with_stock(requests, inventory)
-    hot = cut_lineage(hot_keys(requests, keys, hot_rows))
-    calm = stocked if hot.isEmpty() else stocked.join(hot, keys, "left_anti")
-    outcome = _replay(calm, keys, order, _reserve_step, "accepted boolean, stock_after bigint")
-    if calm is not stocked:
-        lines = number_arrivals(stocked.join(hot, keys, "left_semi"), order)
-        singles = lines.withColumn("order_id", F.col("seq"))
+    stock = _levels(inventory)
+    keyed, keyless = _split_null_keys(requests, keys)
+    hot = cut_lineage(hot_keys(keyed, keys, hot_rows))
+    is_calm = hot.isEmpty()
+    calm = keyed if is_calm else keyed.join(hot, keys, "left_anti")
+    shelves = stock if is_calm else stock.join(hot, keys, "left_anti")
+    outcome = _replay(calm, keys, order, _reserve_step, "accepted boolean, stock_after bigint", shelves)
+    if not is_calm:
+        lines = number_arrivals(_with_stock(keyed.join(hot, keys, "left_semi"), stock), order)
+        singles = lines.withColumn("order_id", F.col("seq")).withColumn("qty", F.col("qty").cast("bigint"))
         settled = _settle_by_bounds(singles, keys, hot_rows, run_length)
-        taken = singles.join(settled, "order_id").withColumn("_used", F.when(F.col("accepted"), F.col("qty")).otherwise(F.lit(0)))
+        flags = settled.select(F.col("order_id").alias("seq"), "accepted")
+        taken = lines.join(flags, "seq").withColumn("_used", F.when(F.col("accepted"), F.col("qty")).otherwise(F.lit(0)))
         summed = _running_sum(taken, keys, "seq", ["_used"], run_length)
         left = (F.col("stock") - F.col("_used_before") - F.col("_used")).alias("stock_after")
-        outcome = outcome.unionByName(summed.select(*stocked.columns, "accepted", left))
+        outcome = outcome.unionByName(summed.select(*requests.columns, "accepted", left))
+    nothing = keyless.withColumn("accepted", F.lit(False)).withColumn("stock_after", F.lit(0).cast("bigint"))
+    outcome = outcome.unionByName(nothing)
     return outcome.select(*requests.columns, _verdict("accepted").alias("outcome"), "stock_after")
 
 
-def _with_stock(lines: DataFrame, inventory: DataFrame) -> DataFrame:
-    stock = inventory.select("store_id", "product_id", F.col("stock").cast("bigint").alias("stock"))
+def _levels(inventory: DataFrame) -> DataFrame:
+    return inventory.select("store_id", "product_id", F.col("stock").cast("bigint").alias("stock"))
+
+
+def _with_stock(lines: DataFrame, stock: DataFrame) -> DataFrame:
     return lines.join(stock, ["store_id", "product_id"], "left").withColumn("stock", F.coalesce("stock", F.lit(0)))
 
 
@@ -209,9 +248,10 @@ def _order_step(batch: pa.RecordBatch, state: dict) -> dict:
     ``lines_left`` counts down to 1, so the last line of an order is known
     without looking ahead, even across batches. The verdict stands on that line.
     """
-    names = ("store_id", "product_id", "qty", "stock", "accepted", "lines_left")
     verdicts = []
-    for store, product, qty, stock, given, left in zip(*(batch.column(c).to_pylist() for c in names)):
+    for store, product, qty, stock, given, left in _lists(
+        batch, "store_id", "product_id", "qty", "stock", "accepted", "lines_left"
+    ):
         if state.get("store") != store:
             state.update(store=store, shelf={}, basket=[])
         shelf, basket = state["shelf"], state["basket"]
@@ -235,7 +275,7 @@ def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, hot_
     hold order_id, product_id and qty. Stock never goes below zero.
     """
     wanted = items.groupBy("order_id", "product_id").agg(F.sum(F.col("qty").cast("bigint")).alias("qty"))
-    lines = _with_stock(orders.select("order_id", "store_id", "seq").join(wanted, "order_id"), inventory)
+    lines = _with_stock(orders.select("order_id", "store_id", "seq").join(wanted, "order_id"), _levels(inventory))
     lines = cut_lineage(lines.withColumn("accepted", F.lit(False)))
     hot = cut_lineage(hot_keys(lines, ["store_id"], hot_rows))
     calm = lines if hot.isEmpty() else lines.join(hot, "store_id", "left_anti")
@@ -253,11 +293,15 @@ def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, hot_
 def _version_step(batch: pa.RecordBatch, state: dict) -> dict:
     """Apply a request only when it expects the version the account has."""
     applied, credits, versions = [], [], []
-    names = ("customer_id", "expected_version", "amount", "available_credit", "version")
-    for customer, expected, amount, opening, start in zip(*(batch.column(c).to_pylist() for c in names)):
-        if state.get("key") != customer:
-            state.update(key=customer, version=start, credit=opening)
-        hit = start is not None and expected == state["version"]
+    for customer, expected, amount, balance, start, opening in _lists(
+        batch, "customer_id", "expected_version", "amount", "available_credit", "version", OPENING
+    ):
+        if "key" not in state or state["key"] != customer:
+            # Until its opening row is seen an account has no version anyone can expect.
+            state.update(key=customer, version=None, credit=None)
+        if opening:
+            state.update(version=start, credit=balance)
+        hit = not opening and expected is not None and expected == state["version"]
         if hit:
             state["version"] += 1
             state["credit"] += amount
@@ -274,33 +318,34 @@ def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], ho
     customer_id, available_credit and version. A request for an unknown account
     conflicts, as an update that matches no row does.
     """
+    key = ["customer_id"]
     start = accounts.select(
-        "customer_id", F.col("available_credit").cast(CREDIT_TYPE).alias("available_credit"), F.col("version").cast("bigint").alias("version")
-    )
-    opened = (
-        requests.withColumn("amount", F.col("amount").cast(CREDIT_TYPE))
-        .withColumn("expected_version", F.col("expected_version").cast("bigint"))
-        .join(start, "customer_id", "left")
+        *key, F.col("available_credit").cast(CREDIT_TYPE).alias("available_credit"), F.col("version").cast("bigint").alias("version")
     )
-    hot = cut_lineage(hot_keys(requests, ["customer_id"], hot_rows))
-    calm = opened if hot.isEmpty() else opened.join(hot, "customer_id", "left_anti")
+    asked, keyless = _split_null_keys(requests.withColumn("amount", F.col("amount").cast(CREDIT_TYPE)), key)
+    hot = cut_lineage(hot_keys(asked, key, hot_rows))
+    is_calm = hot.isEmpty()
+    calm = asked if is_calm else asked.join(hot, key, "left_anti")
+    opening = start if is_calm else start.join(hot, key, "left_anti")
     added = f"applied boolean, credit_after {CREDIT_TYPE}, version_after bigint"
-    outcome = _replay(calm, ["customer_id"], order, _version_step, added)
-    if calm is not opened:
-        busy = number_arrivals(opened.join(hot, "customer_id", "left_semi"), order)
+    outcome = _replay(calm, key, order, _version_step, added, opening)
+    if not is_calm:
+        opened = asked.join(hot, key, "left_semi").join(start, "customer_id", "left")
+        busy = number_arrivals(opened.withColumn("expected_version", F.col("expected_version").cast("bigint")), order)
         # A request below the starting version, or for no account, can never apply.
         able = busy.filter(F.col("expected_version") >= F.col("version"))
-        applied = _settle_versions(able.select("seq", "customer_id", "expected_version", "version"), run_length)
+        applied = _settle_versions(able.select("seq", *key, "expected_version", "version"), run_length)
         # Applied requests expect consecutive versions, so the balance is a running
         # sum in version order over applied requests only.
         winners = busy.join(applied, "seq")
-        moved = _running_sum(winners, ["customer_id"], "expected_version", ["amount"], run_length).select(
+        moved = _running_sum(winners, key, "expected_version", ["amount"], run_length).select(
             "seq",
             (F.col("available_credit") + F.col("amount_before") + F.col("amount")).cast(CREDIT_TYPE).alias("credit_after"),
             (F.col("expected_version") + 1).alias("version_after"),
         )
         settled = busy.join(moved, "seq", "left").withColumn("applied", F.col("version_after").isNotNull())
         outcome = outcome.unionByName(settled.select(*outcome.columns))
+    outcome = outcome.unionByName(keyless.withColumn("applied", F.lit(False)), allowMissingColumns=True)
     verdict = F.when(F.col("applied"), F.lit(APPLIED)).otherwise(F.lit(CONFLICT))
     return outcome.select(*requests.columns, verdict.alias("outcome"), "credit_after", "version_after")
 

@@ -83,22 +83,9 @@ def ensure_default_parent(
     parents: DataFrame, key: str, *, name: str, email: str, as_of: datetime, key_value: int = HOLDING_KEY
 ) -> DataFrame:
     """The parent table with the holding row added, unless it is there already."""
-    spark = parents.sparkSession
     columns = [_filler(field, key, key_value, name, email, as_of).alias(field.name) for field in parents.schema.fields]
-    holding = spark.range(1).select(*columns)
-    present = parents.filter(F.col(key) == key_value).select(key).limit(1)
-    return parents.unionByName(holding.join(present, key, "left_anti"))
-
-
-def scoreboard(counts: Mapping[str, DataFrame]) -> DataFrame:
-    """(item, value) rows from named one-column counts."""
-    rows = None
-    for item, frame in counts.items():
-        row = frame.select(F.lit(item).alias("item"), F.col(frame.columns[0]).cast("bigint").alias("value"))
-        rows = row if rows is None else rows.unionByName(row)
-    if rows is None:
-        raise ValueError("a scoreboard needs at least one count")
-    return rows
+    found = parents.filter(F.col(key) == key_value).agg(F.count("*").alias("_found"))
+    return parents.unionByName(found.filter("_found = 0").select(*columns))
 
 
 def remediation_scoreboard(products: DataFrame, customers: DataFrame, vault: DataFrame, letters: DataFrame, weightless: tuple[str, ...]) -> DataFrame:

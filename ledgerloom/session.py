@@ -68,6 +68,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise into the shared folder, so a lost executor costs no replay of earlier rounds."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store rows in the shared folder and go on from there.
+
+    A lost executor then costs no replay of earlier rounds, and the planner sees
+    the true size of what was stored when it picks the next joins.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

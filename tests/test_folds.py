@@ -138,6 +138,18 @@ def test_long_version_chain(spark):
     assert max(r.credit_after for r in got) == 70
 
 
+@pytest.mark.parametrize("hot_rows", [10**9, 0])
+def test_requests_without_a_key_are_refused(spark, hot_rows):
+    requests = spark.createDataFrame([(1, None, 5, 1), (2, 1, 5, 1)], "request_id int, store_id int, product_id int, qty int")
+    shelf = spark.createDataFrame([(1, 5, 9)], "store_id int, product_id int, stock int")
+    got = folds.reserve_stock(requests, shelf, ["request_id"], hot_rows, 5).collect()
+    assert {(r.request_id, r.outcome, r.stock_after) for r in got} == {(1, "REFUSED", 0), (2, "ACCEPTED", 8)}
+    asked = spark.createDataFrame([(1, None, 1, Decimal(1)), (2, 7, 1, Decimal(1))], "request_id int, customer_id int, expected_version int, amount decimal(9,2)")
+    accounts = spark.createDataFrame([(7, Decimal(5), 1)], "customer_id int, available_credit decimal(9,2), version int")
+    got = folds.adjust_credit(asked, accounts, ["request_id"], hot_rows, 5).collect()
+    assert {(r.request_id, r.outcome, r.credit_after) for r in got} == {(1, "CONFLICT", None), (2, "APPLIED", Decimal(6))}
+
+
 def test_number_arrivals_follows_order(spark):
     rows = [(i * 7919 % 1000,) for i in range(1000)]
     numbered = folds.number_arrivals(spark.createDataFrame(rows, "k int").repartition(6), ["k"]).collect()
