@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,13 @@ def _image(prefix: str, columns: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(f"{prefix}.{name}").alias(name) for name in columns]), {"ignoreNullFields": "false"})
 
 
-def change_log(before: DataFrame, after: DataFrame, key: str, table: str) -> DataFrame:
+def change_log(
+    before: DataFrame, after: DataFrame, key: str, table: str, *, changed_by: str | None = None, changed_at: datetime | None = None
+) -> DataFrame:
     """INSERT, UPDATE and DELETE rows with JSON images; equal rows leave no trace.
 
-    Rows are compared before any image is built, so JSON is written for changes only.
+    Rows are compared before any image is built, so JSON is written for changes
+    only. Who and when are recorded if given.
     """
     columns = before.columns
     pairs = before.select(F.struct(*columns).alias("old")).join(
@@ -23,12 +28,18 @@ def change_log(before: DataFrame, after: DataFrame, key: str, table: str) -> Dat
     action = (
         F.when(F.col("old").isNull(), F.lit("INSERT")).when(F.col("new").isNull(), F.lit("DELETE")).otherwise(F.lit("UPDATE"))
     )
+    stamps = []
+    if changed_by is not None:
+        stamps.append(F.lit(changed_by).alias("changed_by"))
+    if changed_at is not None:
+        stamps.append(F.lit(changed_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("changed_at"))
     return changed.select(
         F.lit(table).alias("table_name"),
         action.alias("action_name"),
         F.coalesce(f"new.{key}", f"old.{key}").cast("string").alias("record_id"),
         F.when(F.col("old").isNotNull(), _image("old", columns)).alias("old_data"),
         F.when(F.col("new").isNotNull(), _image("new", columns)).alias("new_data"),
+        *stamps,
     )
 
 

@@ -57,12 +57,12 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.tables = retail.Tables(spark, sf_dir)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in retail.INPUTS:
             raise AttributeError(name)
-        return retail.load(self.spark, self.sf_dir, name)
+        return self.tables.load(name)
 
     @property
     def time_dim(self) -> DataFrame:
@@ -644,7 +644,7 @@ def _landed_feed(t: Inputs, rows: DataFrame, label: str, batches: int = 1) -> Da
 @query
 def retail_visits_stream(t: Inputs) -> DataFrame:
     """Visits closed by the watermark; the feed is read in the order it was stored."""
-    stream = retail.follow(t.spark, t.sf_dir, "pos_events")
+    stream = t.tables.follow("pos_events")
     visits_out = live_visits.visit_stream(stream, VISIT_LATENESS)
     return feeds.drain_to_files(
         visits_out, scratch_path(t.spark, "visits"), feeds.new_checkpoint(t.spark, "visits")

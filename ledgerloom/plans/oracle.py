@@ -561,6 +561,27 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN ok THEN 'ACCEPTED' ELSE 'REFUSED' END AS outcome, left_over AS stock_after FROM replay",
         recursive=True,
     )
+    out["place_orders_atomic"] = _sql(
+        {
+            "checkout_orders": None,
+            "checkout_items": None,
+            "wanted": "SELECT o.store_id, o.order_id, i.product_id, sum(i.qty) AS qty FROM checkout_items i "
+            "JOIN checkout_orders o ON i.order_id = o.order_id GROUP BY ALL",
+            "numbered": "SELECT store_id, order_id, row_number() OVER (PARTITION BY store_id ORDER BY seq) AS n FROM checkout_orders "
+            "WHERE order_id IN (SELECT order_id FROM wanted)",
+            "shelf": f"SELECT DISTINCT 0 AS n, store_id, product_id, CAST(NULL AS BIGINT) AS order_id, "
+            f"CAST({catalog.CHECKOUT_STOCK} AS BIGINT) AS left_over, true AS fits FROM wanted",
+            # One step settles the next order of every store against all shelves of that store.
+            "replay": "SELECT * FROM shelf UNION ALL SELECT n, store_id, product_id, order_id, "
+            "CAST(left_over - CASE WHEN fits THEN qty ELSE 0 END AS BIGINT), fits FROM ("
+            "SELECT o.n, s.store_id, s.product_id, o.order_id, s.left_over, coalesce(w.qty, 0) AS qty, "
+            "bool_and(coalesce(w.qty, 0) <= s.left_over) OVER (PARTITION BY s.store_id) AS fits FROM replay s "
+            "JOIN numbered o ON o.store_id = s.store_id AND o.n = s.n + 1 "
+            "LEFT JOIN wanted w ON w.order_id = o.order_id AND w.product_id = s.product_id) AS step",
+        },
+        "SELECT DISTINCT order_id, store_id, CASE WHEN fits THEN 'ACCEPTED' ELSE 'REFUSED' END AS outcome FROM replay WHERE n > 0",
+        recursive=True,
+    )
     out["credit_adjust_versioned"] = _sql(
         {
             "credit_requests": None,

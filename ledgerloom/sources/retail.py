@@ -514,28 +514,39 @@ INPUTS: dict[str, list[tuple[str, dict[str, str], str | None]]] = {
 }
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """An input as a DataFrame over the Parquet files in ``sf_dir``."""
-    result = None
-    for table, columns, condition in INPUTS[name]:
-        rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-        if condition:
-            rows = rows.filter(condition)
-        part = rows.selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()])
-        result = part if result is None else result.unionByName(part)
-    return result
+class Tables:
+    """The Parquet tables of one folder, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.folder = sf_dir.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
+    def open(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            self._opened[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._opened[table]
 
-def follow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A single-table input as a stream over the table's files."""
-    ((table, columns, condition),) = INPUTS[name]
-    folder = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    # Written as a pattern, since a stream takes a folder or a pattern but no single file.
-    rows = spark.readStream.schema(schema).parquet(f"{folder}/{{{table}}}.parquet")
-    if condition:
-        rows = rows.filter(condition)
-    return rows.selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()])
+    def load(self, name: str) -> DataFrame:
+        """A shaped input."""
+        result = None
+        for table, columns, condition in INPUTS[name]:
+            rows = self.open(table)
+            if condition:
+                rows = rows.filter(condition)
+            part = rows.selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()])
+            result = part if result is None else result.unionByName(part)
+        return result
+
+    def follow(self, name: str) -> DataFrame:
+        """A single-table input as a stream over the table's files."""
+        ((table, columns, condition),) = INPUTS[name]
+        # Written as a pattern, since a stream takes a folder or a pattern but no single file.
+        pattern = f"{self.folder}/{{{table}}}.parquet"
+        rows = self.spark.readStream.schema(self.open(table).schema).parquet(pattern)
+        if condition:
+            rows = rows.filter(condition)
+        return rows.selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()])
 
 
 def as_sql(name: str) -> str:

@@ -61,3 +61,11 @@ def write_new(rows: DataFrame, path: str) -> DataFrame:
 
 def write_partitioned(rows: DataFrame, path: str, columns: Sequence[str]) -> None:
     rows.hint("rebalance", *columns).write.mode("error").partitionBy(*columns).parquet(path)
+
+
+def store_view(rows: DataFrame, table: str) -> DataFrame:
+    """Materialise a result as a catalogue table, replacing an earlier refresh, with statistics for the planner."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").saveAsTable(table)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    return spark.table(table)
