@@ -16,6 +16,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # JSON objects with a repeated key keep the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A busy customer's transactions are merged into visits before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Open visits live on disk next to the executor instead of in its heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
