@@ -1,7 +1,7 @@
 """Ordered, stateful updates: stock reservation, whole-order checkout, versioned credit.
 
 The outcome of a request depends on the accepted requests before it. Two
-engines give the same answer:
+methods give the same answer:
 
 * ``_replay`` streams each key's requests, sorted by Spark, through a small
   Python state machine that holds one key's state. It is used for keys whose
@@ -80,7 +80,7 @@ def _replay(
         typed = [F.col(k).try_cast(rows.schema[k].dataType).alias(k) if k in keys else F.col(k) for k in opening.columns]
         flagged = flagged.unionByName(opening.select(*typed, F.lit(True).alias(OPENING)), allowMissingColumns=True)
     arranged = flagged.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, F.desc(OPENING), *order)
-    fields = T._parse_datatype_string(added)
+    fields = T.StructType.fromDDL(added)
     kept = [f for f in arranged.schema.fields if f.name in columns]
     schema = T.StructType(kept + fields.fields)
 

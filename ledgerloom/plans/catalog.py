@@ -49,7 +49,6 @@ CHECKOUT_STOCK = 500
 REPORTED_RATE = Decimal("0.078")
 PORTFOLIO = Decimal("18000000000")
 TRACKED_CUSTOMER = 45
-SHOWN_STORE = 7
 
 
 class Inputs:
@@ -634,10 +633,11 @@ def _landed_feed(t: Inputs, rows: DataFrame, label: str, batches: int = 1) -> Da
     than one.
     """
     path = scratch_path(t.spark, label)
-    if batches > 1:
-        rows = rows.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.write.parquet(path)
-    files = len(t.spark.read.parquet(path).inputFiles())
+    if batches == 1:
+        rows.write.parquet(path)
+        return feeds.follow_parquet(t.spark, path, rows.schema)
+    files = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(files).write.parquet(path)
     return feeds.follow_parquet(t.spark, path, rows.schema, max_files=-(-files // batches))
 
 

@@ -68,8 +68,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder; never reused, so no run overwrites another."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; never reused, so no run overwrites another.
+
+    All paths of one application lie in one folder, which can go once it has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/ledgerloom-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
