@@ -1,8 +1,8 @@
 """Headline benchmark: wall-clock seconds per query, printed as one JSON line.
 
-BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores. Each query is
-run once to warm code paths and then timed; every result row is computed and
-discarded through the no-op sink.
+BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores. All queries are
+run once to warm code paths, then once more and timed; every result row is
+computed and discarded through the no-op sink.
 """
 
 from __future__ import annotations
@@ -53,8 +53,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, "ledgerloom-bench", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     seconds: dict[str, float] = {}
-    for name in names:
-        for _ in range(2):
+    for _ in ("warm-up", "timed"):
+        for name in names:
             started = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - started, 3)

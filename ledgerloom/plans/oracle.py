@@ -157,7 +157,7 @@ _CONTRACTS = (
 )
 
 _CLASSIFIED = (
-    "SELECT customer_id, card_last_sixteen IS NOT NULL AS pan_present, length(card_last_sixteen) AS pan_length, "
+    "SELECT customer_id, card_last_sixteen IS NOT NULL AS pan_present, CAST(length(card_last_sixteen) AS DOUBLE) AS pan_length, "
     "false AS retention_required, CASE WHEN card_last_sixteen IS NULL THEN 'NO_PAN' "
     "WHEN length(card_last_sixteen) = 16 THEN 'FULL_PAN_FOUND' ELSE 'UNKNOWN_FORMAT' END AS classification_status, "
     "CASE WHEN card_last_sixteen IS NULL THEN 'NO_ACTION' WHEN length(card_last_sixteen) = 16 THEN 'TOKENIZE_OR_PURGE' "
@@ -258,7 +258,7 @@ def oracle_sql() -> dict[str, str]:
             "changed": "SELECT s.* FROM latest s JOIN customer_dim d ON s.customer_id = d.customer_id WHERE d.is_current "
             "AND (d.city IS DISTINCT FROM s.city OR d.province IS DISTINCT FROM s.province)",
         },
-        f"SELECT customer_key, customer_id, {attributes}, {_day('effective_from')}, "
+        f"SELECT {_amount('customer_key')}, customer_id, {attributes}, {_day('effective_from')}, "
         f"CASE WHEN is_current AND customer_id IN (SELECT customer_id FROM changed) THEN '{retail.AS_OF}' "
         "ELSE CASE WHEN is_current THEN '9999-12-31' ELSE strftime(effective_to, '%Y-%m-%d') END END AS effective_to, "
         "is_current AND customer_id NOT IN (SELECT customer_id FROM changed) AS is_current FROM customer_dim "
@@ -268,7 +268,7 @@ def oracle_sql() -> dict[str, str]:
     )
     out["payment_time_key"] = _sql(
         {"pos_orders": None, "time_dim": _TIME_DIM},
-        f"SELECT order_id, {_day('payment_received_date')}, time_key AS payment_time_key FROM pos_orders "
+        f"SELECT order_id, {_day('payment_received_date')}, {_amount('time_key', 'payment_time_key')} FROM pos_orders "
         "LEFT JOIN time_dim ON payment_received_date = full_date",
     )
     for name, day, total in (
@@ -376,7 +376,7 @@ def oracle_sql() -> dict[str, str]:
     out["null_inapplicable_values"] = _sql(
         ["products"],
         "SELECT product_id, product_type, CASE WHEN product_type IN ('financial', 'digital', 'logistics') THEN NULL "
-        "ELSE weight_kg END AS weight_kg FROM products",
+        "ELSE CAST(weight_kg AS DOUBLE) END AS weight_kg FROM products",
     )
     out["text_to_json_or_wrap"] = _sql(
         {"products": None, "described": _DESCRIBED}, "SELECT product_id, description_json FROM described"
@@ -597,7 +597,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM replay p JOIN numbered r ON r.customer_id = p.customer_id AND r.n = p.n + 1",
         },
         "SELECT request_id, customer_id, expected_version, CAST(amount AS DOUBLE) AS amount, CASE WHEN ok THEN 'APPLIED' ELSE 'CONFLICT' END AS outcome, "
-        "CASE WHEN ok THEN CAST(credit AS DOUBLE) END AS credit_after, CASE WHEN ok THEN version END AS version_after FROM replay",
+        "CASE WHEN ok THEN CAST(credit AS DOUBLE) END AS credit_after, CASE WHEN ok THEN CAST(version AS DOUBLE) END AS version_after FROM replay",
         recursive=True,
     )
 
