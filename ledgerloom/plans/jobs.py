@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import dimensions, facts, json_clean, privacy, quality, serving
+from ledgerloom.operators import dimensions, facts, inventory, json_clean, privacy, quality, serving
 from ledgerloom.sources import tables
 
 FACT_MONTH = "order_month"
@@ -78,6 +78,15 @@ def load_sales_fact(
     return tables.read_parquet(spark, fact_path, tables.schema_with_last(fresh, [FACT_MONTH]))
 
 
+def record_snapshot(stock: DataFrame, at: datetime, path: str) -> DataFrame:
+    """Store one of the day's stock snapshots; repeating the run for the same time replaces it."""
+    spark = stock.sparkSession
+    rows = inventory.capture_snapshot(stock, at).withColumn("slot", F.date_format("snapshot_time", "HHmm"))
+    columns = ["snapshot_date", "slot"]
+    tables.replace_partitions(rows, path, columns)
+    return tables.read_parquet(spark, path, tables.schema_with_last(rows, columns))
+
+
 def verify_load(fact: DataFrame, sources: Sources) -> DataFrame:
     """Orders and amounts per verdict of the cross-check against the source."""
     checked = facts.reconcile_fact(fact, sources.orders, sources.items)

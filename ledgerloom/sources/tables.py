@@ -53,6 +53,13 @@ def append(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write the partitions ``rows`` falls into and leave all others alone, so a repeated run adds nothing."""
+    rows.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *partition_by
+    ).parquet(path)
+
+
 def write_new(rows: DataFrame, path: str) -> DataFrame:
     """Write to a fresh path (an existing one is an error) and return the stored table."""
     rows.write.mode("error").parquet(path)

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import audit, dimensions, serving
+from ledgerloom.operators import audit, dimensions, facts, quality, serving
 from ledgerloom.plans import jobs
 from ledgerloom.sources import tables
 
@@ -59,6 +59,33 @@ def test_customer_dim_gets_keys(spark, tmp_path):
     assert len(result) == 4 and len(set(keys)) == 4 and min(k for k in keys if k > 41) > 41
 
 
+def test_snapshots_of_a_day(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    stock = spark.createDataFrame([(1, 1, 10), (2, 1, 20)], "product_id int, store_id int, quantity_available int")
+    later = stock.withColumn("quantity_available", F.col("quantity_available") - 5)
+    jobs.record_snapshot(stock, datetime(2024, 2, 1, 10), path)
+    jobs.record_snapshot(later, datetime(2024, 2, 1, 14), path)
+    table = jobs.record_snapshot(later, datetime(2024, 2, 1, 14), path)
+    assert sorted((r.slot, r.product_id, r.quantity_on_hand) for r in table.collect()) == [
+        ("1000", 1, 10), ("1000", 2, 20), ("1400", 1, 5), ("1400", 2, 15),
+    ]
+
+
+def test_null_keys_in_the_target_do_not_hide_new_orders(spark):
+    candidates = spark.createDataFrame([(1,), (2,), (None,)], "order_id long")
+    loaded = spark.createDataFrame([(1,), (None,)], "order_id long")
+    assert {r.order_id for r in facts.not_yet_loaded(candidates, loaded).collect()} == {2, None}
+
+
+def test_shards_are_merged_and_clashes_named(spark, tmp_path):
+    for name, rows in {"a": [(1, "Ali"), (2, "Mir")], "b": [(2, "Noor"), (3, "Zia")]}.items():
+        spark.createDataFrame(rows, "customer_id int, last_name string").write.parquet(str(tmp_path / name))
+    shards = tables.read_shards(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    merged, clashes = quality.consolidate_shards(shards, "customer_id")
+    assert merged.count() == 4
+    assert [(r.customer_id, r.copies) for r in clashes.collect()] == [(2, 2)]
+
+
 def test_remediation_in_order(spark, tmp_path):
     products = spark.createDataFrame(
         [(1, "digital", 3.0, "plain"), (2, "physical", 4.0, '{"a":1}'), (3, "logistics", None, "{bad")],
