@@ -13,11 +13,13 @@ methods give the same answer:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerloom.session import cut_lineage
 
+# Workers get the step functions themselves, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A key with more requests than this is settled by distributed rounds.
 HOT_ROWS = 1_000_000
 # Running sums are taken per key and run of this many arrival numbers.
@@ -281,7 +286,10 @@ def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, hot_
     calm = lines if hot.isEmpty() else lines.join(hot, "store_id", "left_anti")
     outcome = _replay_orders(calm, ["store_id"])
     if calm is not lines:
-        busy = lines.join(hot, "store_id", "left_semi").drop("accepted")
+        # Arrival numbers may have gaps of any size; running sums want them close together.
+        crowded = orders.select("order_id", "store_id", "seq").join(hot, "store_id", "left_semi")
+        arrivals = number_arrivals(crowded.select("order_id", "seq"), ["seq"], "_n").select("order_id", F.col("_n").alias("seq"))
+        busy = lines.drop("accepted", "seq").join(arrivals, "order_id")
         outcome = outcome.unionByName(_settle_by_bounds(busy, ["store_id"], hot_rows, run_length))
     placed = orders.select("order_id", "store_id").join(outcome, "order_id")
     return placed.select("order_id", "store_id", _verdict("accepted").alias("outcome"))

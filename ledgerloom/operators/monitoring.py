@@ -7,11 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# How old a pending event may be, how many may be late, the latency bound.
+# How old a pending event may be, how many may be late, the latency bound,
+# the load tester's sum row and the text of the alert.
 LAG_MINUTES = 5
 LAG_ALERT_ABOVE = 1000
 SLA_MS = 500
 TOTALS_ROW = "Aggregated"
+ALERT_TEXT = "ES outbox lag critical"
 
 
 def pending_events(outbox: DataFrame) -> DataFrame:
@@ -27,7 +29,7 @@ def outbox_lag(outbox: DataFrame, as_of: datetime, minutes: int = LAG_MINUTES, t
 
 def lag_alert(lag: DataFrame) -> DataFrame:
     """The alert row to send; empty while the backlog is tolerable."""
-    return lag.filter("alert").select(F.lit("ES outbox lag critical").alias("alert"), "lag")
+    return lag.filter("alert").select(F.lit(ALERT_TEXT).alias("alert"), "lag")
 
 
 def latency_report(requests: DataFrame, sla_ms: float = SLA_MS) -> DataFrame:

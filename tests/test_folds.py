@@ -72,12 +72,12 @@ def replay_orders(orders, items, stock):
 @pytest.mark.parametrize("seed", [2, 3])
 def test_place_orders(spark, hot_rows, run_length, seed):
     rng = random.Random(seed)
-    orders = [(i, rng.choice([0, 0, 1, 2]), 1000 - i) for i in range(80)]
+    orders = [(i, rng.choice([0, 0, 1, 2]), (1000 - i) * 10**9) for i in range(80)]
     items = [(rng.randrange(85), rng.randrange(6), rng.randint(1, 8)) for _ in range(260)]
     known = {o[0] for o in orders}
     stock = {(s, p): 45 for s in range(3) for p in range(6) if p != 5 or s}
     got = folds.place_orders(
-        spark.createDataFrame(orders, "order_id int, store_id int, seq int"),
+        spark.createDataFrame(orders, "order_id int, store_id int, seq long"),
         spark.createDataFrame(items, "order_id int, product_id int, qty int"),
         spark.createDataFrame([(s, p, n) for (s, p), n in stock.items()], "store_id int, product_id int, stock int"),
         hot_rows,
