@@ -4,18 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import archives, content_sort, ring_shards
+from ledgerloom.llm import archives, bpe_stream, content_sort, language, ring_shards, unigram_count
 from ledgerloom.llm.common import table
 
 SHARDS = 8
+UNIGRAM_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), UNIGRAM_PIECES)
+
+
+def op4_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram_count.count_tokens(table(spark, sf_dir, "documents"), UNIGRAM_PIECES)
 
 
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.encode_table(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op9_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_shards.place_on_ring(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -25,7 +40,8 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_content_sort, op9_ring_shards, op10_arc_to_warc)
+    f.__name__: f
+    for f in (op3_marginal_unigrams, op4_viterbi_counts, op5_content_sort, op6_bpe_transducer, op9_ring_shards, op10_arc_to_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL}
