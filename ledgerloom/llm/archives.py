@@ -37,7 +37,7 @@ from ledgerloom.session import cut_lineage, scratch_path
 ARCHIVE_BYTES = 16 << 20
 LEAST_REVISIT_BYTES = 1000
 CAPTURED = "20010101000000"
-LEVEL = 3
+LEVEL = 6
 
 # The header fields of the two ARC versions and the WARC names used.
 ARC_FIELDS = {
