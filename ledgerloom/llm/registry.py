@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import archives, bpe_stream, content_sort, language, ring_shards, unigram_count
+from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, language, line_winnow, ring_shards, unigram_count
 from ledgerloom.llm.common import table
 
 SHARDS = 8
@@ -31,6 +32,15 @@ def op6_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.encode_table(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op7_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_winnow.delete_repeated(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length("text").alias("n_chars_left"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def op8_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), like=chosen_path.Likeness(words=2, percent=80))
+
+
 def op9_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_shards.place_on_ring(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -41,7 +51,7 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_marginal_unigrams, op4_viterbi_counts, op5_content_sort, op6_bpe_transducer, op9_ring_shards, op10_arc_to_warc)
+    for f in (op3_marginal_unigrams, op4_viterbi_counts, op5_content_sort, op6_bpe_transducer, op7_line_winnowing, op8_chosen_path, op9_ring_shards, op10_arc_to_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL}
