@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, language, line_winnow, ring_shards, unigram_count
+from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, decontaminate, language, line_winnow, ring_shards, unigram_count
 from ledgerloom.llm.common import table
 
 SHARDS = 8
@@ -16,6 +16,10 @@ UNIGRAM_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), UNIGRAM_PIECES)
 
@@ -51,7 +55,7 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_marginal_unigrams, op4_viterbi_counts, op5_content_sort, op6_bpe_transducer, op7_line_winnowing, op8_chosen_path, op9_ring_shards, op10_arc_to_warc)
+    for f in (op1_latent_leaks, op3_marginal_unigrams, op4_viterbi_counts, op5_content_sort, op6_bpe_transducer, op7_line_winnowing, op8_chosen_path, op9_ring_shards, op10_arc_to_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL}
