@@ -18,9 +18,10 @@ however often it occurs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -143,11 +144,31 @@ def delete_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return both.select("doc_id", "text", "stretches").mapInArrow(run, "doc_id bigint, text string, n_lines bigint, n_removed bigint")
 
 
-def without(text: str | None, stretches: list[dict] | None) -> tuple[str | None, int, int]:
+def apply_stretches(docs: DataFrame, stretches: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents, all columns, without those stretches; a document of which nothing is left goes.
+
+    ``chars_col``, where there is such a column and it is not null, becomes the length of what is left.
+    """
+    found = stretches.select(F.col("doc_id").alias("_of"), F.col("row_hash").alias("_of_hash"), F.col("stretches").alias("_stretches"))
+    both = docs.join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col("_of")) & (F.xxhash64(text_col) == F.col("_of_hash")), "left")
+    shortened = both.withColumn("_left", F.pandas_udf(_shortened, "string")(F.col(text_col), F.col("_stretches")))
+    kept = shortened.filter(F.col("_left").isNull() | (F.trim("_left") != ""))
+    out = kept.withColumn(text_col, F.coalesce("_left", text_col))
+    if chars_col in docs.columns:
+        length = F.length("_left").cast(docs.schema[chars_col].dataType)
+        out = out.withColumn(chars_col, F.when(F.col(chars_col).isNotNull() & F.col("_left").isNotNull(), length).otherwise(F.col(chars_col)))
+    return out.select(*docs.columns)
+
+
+def _shortened(texts: pd.Series, stretches: pd.Series) -> pd.Series:
+    return pd.Series([None if found is None else without(text, found)[0] for text, found in zip(texts, stretches)], dtype=object)
+
+
+def without(text: str | None, stretches: Sequence[dict] | None) -> tuple[str | None, int, int]:
     """The text without the lines in ``stretches``, its number of lines and how many went."""
     if text is None:
         return None, 0, 0
     lines = text.split("\n")
     numbers = [i for i, line in enumerate(lines) if line.strip()]
-    gone = {numbers[i] for s in stretches or () for i in range(s["first"], s["last"] + 1)}
+    gone = {numbers[i] for s in (() if stretches is None else stretches) for i in range(s["first"], s["last"] + 1)}
     return "\n".join([line for i, line in enumerate(lines) if i not in gone]) if gone else text, len(numbers), len(gone)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, decontaminate, language, line_winnow, ring_shards, unigram_count
+from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, decontaminate, language, licences, line_winnow, ring_shards, unigram_count
 from ledgerloom.llm.common import table
 
 SHARDS = 8
@@ -20,6 +20,10 @@ def op1_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), UNIGRAM_PIECES)
 
@@ -53,9 +57,19 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.pages_through_archives(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
-    for f in (op1_latent_leaks, op3_marginal_unigrams, op4_viterbi_counts, op5_content_sort, op6_bpe_transducer, op7_line_winnowing, op8_chosen_path, op9_ring_shards, op10_arc_to_warc)
-}
+_REGISTERED = (
+    op1_latent_leaks,
+    op2_licence_paragraphs,
+    op3_marginal_unigrams,
+    op4_viterbi_counts,
+    op5_content_sort,
+    op6_bpe_transducer,
+    op7_line_winnowing,
+    op8_chosen_path,
+    op9_ring_shards,
+    op10_arc_to_warc,
+)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _REGISTERED}
 
 ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL}
