@@ -1,18 +1,27 @@
 """Ordered, stateful updates: stock reservation, whole-order checkout, versioned credit.
 
-The outcome of a request depends on the accepted requests before it. Two
-methods give the same answer:
-
-* ``_replay`` streams each key's requests, sorted by Spark, through a small
-  Python state machine that holds one key's state. It is used for keys whose
-  request count has been checked to be small.
-* For hot keys, no single task ever sees the key: stock is settled by rounds of
-  distributed running sums (``_settle_by_bounds``), versions by following the
-  successor chain with doubling steps (``_settle_versions``).
+The outcome of a request depends on the accepted requests before it. All sizes
+of key go the same way:
+
+* Lines on a shelf whose stock covers everything asked of it can refuse nobody;
+  one aggregate finds them and they leave the problem.
+* Orders with a line on a contended shelf are settled by rounds of distributed
+  running sums (``_settle``). When a round no longer settles a fair share of the
+  open lines, ``_replay_orders`` takes the rest one after the other. Both follow
+  one contract, so which of them settles an order shows in no row.
+* Versions follow the chain of successors by doubling steps
+  (``_settle_versions``), and balances are running sums along the chain.
+
+The contract is that of a guarded update. A comparison with null holds for
+nobody: a request with a null key or quantity, and an order with any such line,
+is refused and takes nothing. A negative quantity is a return: it fits whenever
+the level is not below it, and raises the level. A null amount is applied where
+the version matches and leaves the balance null from then on.
 """
 
 from __future__ import annotations
 
+import logging
 import sys
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -30,8 +39,8 @@ from ledgerloom.session import cut_lineage
 # Workers get the step functions themselves, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A key with more requests than this is settled by distributed rounds.
-HOT_ROWS = 1_000_000
+# A round that settles less than this share of the open lines is the last.
+FAIR_SHARE = 0.25
 # Running sums are taken per key and run of this many arrival numbers.
 RUN_LENGTH = 100_000
 
@@ -43,9 +52,7 @@ CONFLICT = "CONFLICT"
 CREDIT_TYPE = "decimal(18,2)"
 
 
-def hot_keys(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys above ``hot_rows``; there are at most rows / hot_rows of them."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+log = logging.getLogger(__name__)
 
 
 def number_arrivals(rows: DataFrame, order: list[str], name: str = "seq") -> DataFrame:
@@ -58,9 +65,6 @@ def number_arrivals(rows: DataFrame, order: list[str], name: str = "seq") -> Dat
     return cut_lineage(rows.orderBy(*order).withColumn(name, F.monotonically_increasing_id()))
 
 
-OPENING = "_is_opening"
-
-
 def _split_null_keys(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a full key, and rows no key can match; the latter need no shuffle."""
     missing = F.lit(False)
@@ -69,36 +73,24 @@ def _split_null_keys(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataF
     return rows.filter(~missing), rows.filter(missing)
 
 
-def _replay(
-    rows: DataFrame, keys: list[str], order: list, step: Callable[[pa.RecordBatch, dict], dict], added: str, opening: DataFrame | None = None
-) -> DataFrame:
+def _replay(rows: DataFrame, keys: list[str], order: list, step: Callable[[pa.RecordBatch, dict], dict], added: str) -> DataFrame:
     """Run ``step`` over each key's rows in order and append the columns it returns.
 
     One shuffle on the keys; Spark sorts (and spills) the partitions, and Python
-    sees Arrow batches with only the state of the key at hand. ``opening`` rows
-    carry the starting state of a key: they travel with the others, come first
-    and are not returned, which saves joining them beforehand.
+    sees Arrow batches with only the state of the key at hand.
     """
-    columns = rows.columns
-    flagged = rows.withColumn(OPENING, F.lit(False))
-    if opening is not None:
-        typed = [F.col(k).try_cast(rows.schema[k].dataType).alias(k) if k in keys else F.col(k) for k in opening.columns]
-        flagged = flagged.unionByName(opening.select(*typed, F.lit(True).alias(OPENING)), allowMissingColumns=True)
-    arranged = flagged.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, F.desc(OPENING), *order)
+    arranged = rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, *order)
     fields = T.StructType.fromDDL(added)
-    kept = [f for f in arranged.schema.fields if f.name in columns]
-    schema = T.StructType(kept + fields.fields)
+    schema = T.StructType(arranged.schema.fields + fields.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = to_arrow_schema(fields)
         state: dict[str, Any] = {}
         for batch in batches:
             returned = step(batch, state)
-            visible = pc.invert(batch.column(OPENING))
-            out = batch.select([f.name for f in kept])
             for field in kinds:
-                out = out.append_column(field.name, pa.array(returned[field.name], type=field.type))
-            yield out.filter(visible)
+                batch = batch.append_column(field.name, pa.array(returned[field.name], type=field.type))
+            yield batch
 
     return arranged.mapInArrow(run, schema)
 
@@ -110,25 +102,7 @@ def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 # --- stock -----------------------------------------------------------------
 
 
-def _reserve_step(batch: pa.RecordBatch, state: dict) -> dict:
-    """Decrement while enough is left; ``state`` carries the key and its stock between batches."""
-    accepted, after = [], []
-    key, left = state.get("key"), state.get("left")
-    for store, product, qty, stock, opening in _lists(batch, "store_id", "product_id", "qty", "stock", OPENING):
-        if key != (store, product):
-            key, left = (store, product), 0
-        if opening:
-            left = stock
-        enough = not opening and left >= qty
-        if enough:
-            left -= qty
-        accepted.append(enough)
-        after.append(left)
-    state.update(key=key, left=left)
-    return {"accepted": accepted, "stock_after": after}
-
-
-def reserve_stock(requests: DataFrame, inventory: DataFrame, order: list[str], hot_rows: int = HOT_ROWS, run_length: int = RUN_LENGTH) -> DataFrame:
+def reserve_stock(requests: DataFrame, inventory: DataFrame, order: list[str], fair_share: float = FAIR_SHARE, run_length: int = RUN_LENGTH) -> DataFrame:
     """Every request with its outcome and the stock left after it.
 
     Requests hold store_id, product_id and qty; ``order`` is their arrival order
@@ -136,24 +110,16 @@ def reserve_stock(requests: DataFrame, inventory: DataFrame, order: list[str], h
     store and product covers it at that moment; an unknown product has none.
     """
     keys = ["store_id", "product_id"]
-    stock = _levels(inventory)
     keyed, keyless = _split_null_keys(requests, keys)
-    hot = cut_lineage(hot_keys(keyed, keys, hot_rows))
-    is_calm = hot.isEmpty()
-    calm = keyed if is_calm else keyed.join(hot, keys, "left_anti")
-    shelves = stock if is_calm else stock.join(hot, keys, "left_anti")
-    outcome = _replay(calm, keys, order, _reserve_step, "accepted boolean, stock_after bigint", shelves)
-    if not is_calm:
-        lines = number_arrivals(_with_stock(keyed.join(hot, keys, "left_semi"), stock), order)
-        singles = lines.withColumn("order_id", F.col("seq")).withColumn("qty", F.col("qty").cast("bigint"))
-        settled = _settle_by_bounds(singles, keys, hot_rows, run_length)
-        flags = settled.select(F.col("order_id").alias("seq"), "accepted")
-        taken = lines.join(flags, "seq").withColumn("_used", F.when(F.col("accepted"), F.col("qty")).otherwise(F.lit(0)))
-        summed = _running_sum(taken, keys, "seq", ["_used"], run_length)
-        left = (F.col("stock") - F.col("_used_before") - F.col("_used")).alias("stock_after")
-        outcome = outcome.unionByName(summed.select(*requests.columns, "accepted", left))
+    lines = number_arrivals(_with_stock(keyed, _levels(inventory)), order)
+    asked = lines.filter(F.col("qty").isNotNull()).select(F.col("seq").alias("order_id"), "seq", *keys, F.col("qty").cast("bigint").alias("qty"), "stock")
+    settled = _settle(asked, keys, fair_share, run_length).select(F.col("order_id").alias("seq"), F.col("accepted").alias("_settled"))
+    flagged = lines.join(settled, "seq", "left").withColumn("accepted", F.col("qty").isNotNull() & F.coalesce("_settled", F.lit(True)))
+    taken = flagged.withColumn("_used", F.when(F.col("accepted"), F.col("qty").cast("bigint")).otherwise(F.lit(0)))
+    summed = _running_sum(taken, keys, "seq", ["_used"], run_length)
+    left = (F.col("stock") - F.col("_used_before") - F.col("_used")).alias("stock_after")
     nothing = keyless.withColumn("accepted", F.lit(False)).withColumn("stock_after", F.lit(0).cast("bigint"))
-    outcome = outcome.unionByName(nothing)
+    outcome = summed.select(*requests.columns, "accepted", left).unionByName(nothing)
     return outcome.select(*requests.columns, _verdict("accepted").alias("outcome"), "stock_after")
 
 
@@ -191,54 +157,64 @@ def _running_sum(rows: DataFrame, keys: list[str], seq: str, values: list[str],
     )
 
 
-def _settle_by_bounds(lines: DataFrame, group: list[str], hot_rows: int, run_length: int) -> DataFrame:
-    """Accept or refuse whole orders by narrowing bounds on what earlier orders took.
+def _contended(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines on shelves that cannot cover everything asked of them."""
+    demand = lines.groupBy(*keys).agg(F.sum(F.greatest("qty", F.lit(0))).alias("_asked"), F.min("stock").alias("_stock"))
+    return lines.join(demand.filter(F.col("_asked") > F.col("_stock")).select(*keys), keys, "left_semi")
+
+
+def _settle(lines: DataFrame, group: list[str], fair_share: float, run_length: int) -> DataFrame:
+    """(order_id, accepted) of the orders that a contended shelf has a say in; all others are accepted.
 
     ``lines`` has order_id, seq (arrival of the order), store_id, product_id, qty
-    and the initial stock; one line per order and product. In each round
+    and the initial stock, none of them null; one line per order and product. In
+    each round
 
-    * an order is accepted if every line fits even when all open earlier orders
-      are counted as taken, and
-    * refused if some line does not fit even when only accepted earlier orders
-      are counted.
+    * an order is accepted if every line fits even when of the open earlier
+      orders all takings and no returns are counted, and
+    * refused if some line does not fit even when of those all returns and no
+      takings are counted.
 
-    The earliest open order always meets one of the two, so rounds end, and each
-    refusal frees the bound of everything behind it. Once no ``group`` has more
-    than ``hot_rows`` undecided lines left, the rest is replayed in one pass.
+    The earliest open order always meets one of the two. Rounds go on while they
+    settle ``fair_share`` of the open lines, so their number grows with the
+    logarithm of the lines; what then is left is replayed inside each ``group``.
     """
     keys = ["store_id", "product_id"]
-    work = cut_lineage(lines.select("order_id", "seq", *keys, "qty", "stock").withColumn("accepted", F.lit(False)))
-    done: DataFrame | None = None
-    while True:
-        # Largest amount earlier orders can have taken.
-        upper = _running_sum(work, keys, "seq", ["qty"], run_length)
-        fits = upper.groupBy("order_id").agg(
-            F.min(F.col("qty_before") + F.col("qty") <= F.col("stock")).alias("_fits")
-        )
-        raised = work.join(fits, "order_id").withColumn("accepted", F.col("accepted") | F.col("_fits")).drop("_fits")
-        # Smallest amount earlier orders can have taken.
-        taken = raised.withColumn("_taken", F.when(F.col("accepted"), F.col("qty")).otherwise(F.lit(0)))
-        lower = _running_sum(taken, keys, "seq", ["_taken"], run_length)
-        fails = lower.groupBy("order_id").agg(
-            F.max(~F.col("accepted") & (F.col("_taken_before") + F.col("qty") > F.col("stock"))).alias("refused")
-        )
-        judged = cut_lineage(raised.join(fails, "order_id"))
-
+    columns = ["order_id", "seq", *keys, "qty", "stock"]
+    work = cut_lineage(_contended(lines.select(*columns), keys).withColumn("accepted", F.lit(False)))
+    done = work.select("order_id", "accepted").limit(0)
+    open_lines, rounds = work.count(), 0
+    while open_lines:
+        if fair_share > 1 and not rounds:
+            done = done.unionByName(_replay_orders(work, group))
+            break
+        judged = cut_lineage(_round(work, keys, run_length))
         decided = judged.filter("accepted or refused").select("order_id", "accepted").distinct()
-        done = decided if done is None else done.unionByName(decided)
+        done = done.unionByName(decided)
         standing = judged.filter(~F.col("refused")).drop("refused")
-        # Once the last open order of a key is settled, its accepted orders matter to nobody.
+        # Once the last open order of a shelf is settled, its accepted orders matter to nobody.
         open_keys = standing.filter(~F.col("accepted")).select(*keys).distinct()
         work = cut_lineage(standing.join(open_keys, keys, "left_semi"))
-        if work.isEmpty():
-            break
-        if hot_keys(work, group, hot_rows).isEmpty():
+        before, open_lines, rounds = open_lines, work.filter(~F.col("accepted")).count(), rounds + 1
+        log.info("round %d: %d of %d lines still open", rounds, open_lines, before)
+        if open_lines and before - open_lines < fair_share * before:
             done = done.unionByName(_replay_orders(work, group))
             break
     # An accepted order stays listed while it is in the working set.
     return done.distinct()
 
 
+def _round(work: DataFrame, keys: list[str], run_length: int) -> DataFrame:
+    """``work`` with more orders accepted, and ``refused`` ones marked."""
+    open_or_taken = lambda bound: F.when(F.col("accepted"), F.col("qty")).otherwise(bound("qty", F.lit(0).cast("bigint")))
+    upper = _running_sum(work.withColumn("_most", open_or_taken(F.greatest)), keys, "seq", ["_most"], run_length)
+    fits = upper.groupBy("order_id").agg(F.min(F.col("stock") - F.col("_most_before") >= F.col("qty")).alias("_fits"))
+    raised = work.join(fits, "order_id").withColumn("accepted", F.col("accepted") | F.col("_fits")).drop("_fits")
+    lower = _running_sum(raised.withColumn("_least", open_or_taken(F.least)), keys, "seq", ["_least"], run_length)
+    short = ~F.col("accepted") & (F.col("stock") - F.col("_least_before") < F.col("qty"))
+    return raised.join(lower.groupBy("order_id").agg(F.max(short).alias("refused")), "order_id")
+
+
 def _replay_orders(lines: DataFrame, group: list[str]) -> DataFrame:
     """Settle orders one after the other inside each group; ``accepted`` ones are taken as given."""
     basket = Window.partitionBy(*group, "order_id").orderBy(F.desc("product_id"))
@@ -273,24 +249,22 @@ def _order_step(batch: pa.RecordBatch, state: dict) -> dict:
     return {"taken": verdicts}
 
 
-def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, hot_rows: int = HOT_ROWS, run_length: int = RUN_LENGTH) -> DataFrame:
+def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, fair_share: float = FAIR_SHARE, run_length: int = RUN_LENGTH) -> DataFrame:
     """Outcome of every order that has lines: accepted whole or refused whole, in order of ``seq``.
 
     Orders hold order_id, store_id and seq (a unique arrival number); items
-    hold order_id, product_id and qty. Stock never goes below zero.
+    hold order_id, product_id and qty. Returns aside, stock never goes below zero.
     """
-    wanted = items.groupBy("order_id", "product_id").agg(F.sum(F.col("qty").cast("bigint")).alias("qty"))
-    lines = _with_stock(orders.select("order_id", "store_id", "seq").join(wanted, "order_id"), _levels(inventory))
-    lines = cut_lineage(lines.withColumn("accepted", F.lit(False)))
-    hot = cut_lineage(hot_keys(lines, ["store_id"], hot_rows))
-    calm = lines if hot.isEmpty() else lines.join(hot, "store_id", "left_anti")
-    outcome = _replay_orders(calm, ["store_id"])
-    if calm is not lines:
-        # Arrival numbers may have gaps of any size; running sums want them close together.
-        crowded = orders.select("order_id", "store_id", "seq").join(hot, "store_id", "left_semi")
-        arrivals = number_arrivals(crowded.select("order_id", "seq"), ["seq"], "_n").select("order_id", F.col("_n").alias("seq"))
-        busy = lines.drop("accepted", "seq").join(arrivals, "order_id")
-        outcome = outcome.unionByName(_settle_by_bounds(busy, ["store_id"], hot_rows, run_length))
+    void = F.max(F.col("product_id").isNull() | F.col("qty").isNull()).alias("_void")
+    wanted = items.groupBy("order_id", "product_id").agg(F.sum(F.col("qty").cast("bigint")).alias("qty"), void)
+    lines = cut_lineage(orders.select("order_id", "store_id", "seq").join(wanted, "order_id").withColumn("_void", F.col("_void") | F.col("store_id").isNull()))
+    refused = lines.filter("_void").select("order_id").distinct()
+    sound = lines.join(refused, "order_id", "left_anti").drop("_void")
+    # Arrival numbers may have gaps of any size; running sums want them close together.
+    arrivals = number_arrivals(sound.select("order_id", "seq").distinct(), ["seq"], "_n").select("order_id", F.col("_n").alias("seq"))
+    settled = _settle(_with_stock(sound.drop("seq").join(arrivals, "order_id"), _levels(inventory)), ["store_id"], fair_share, run_length)
+    judged = arrivals.select("order_id").join(settled, "order_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(True)))
+    outcome = judged.unionByName(refused.withColumn("accepted", F.lit(False)))
     placed = orders.select("order_id", "store_id").join(outcome, "order_id")
     return placed.select("order_id", "store_id", _verdict("accepted").alias("outcome"))
 
@@ -298,28 +272,7 @@ def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, hot_
 # --- versioned credit ------------------------------------------------------
 
 
-def _version_step(batch: pa.RecordBatch, state: dict) -> dict:
-    """Apply a request only when it expects the version the account has."""
-    applied, credits, versions = [], [], []
-    for customer, expected, amount, balance, start, opening in _lists(
-        batch, "customer_id", "expected_version", "amount", "available_credit", "version", OPENING
-    ):
-        if "key" not in state or state["key"] != customer:
-            # Until its opening row is seen an account has no version anyone can expect.
-            state.update(key=customer, version=None, credit=None)
-        if opening:
-            state.update(version=start, credit=balance)
-        hit = not opening and expected is not None and expected == state["version"]
-        if hit:
-            state["version"] += 1
-            state["credit"] += amount
-        applied.append(hit)
-        credits.append(state["credit"] if hit else None)
-        versions.append(state["version"] if hit else None)
-    return {"applied": applied, "credit_after": credits, "version_after": versions}
-
-
-def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], hot_rows: int = HOT_ROWS, run_length: int = RUN_LENGTH) -> DataFrame:
+def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], run_length: int = RUN_LENGTH) -> DataFrame:
     """Every credit request with its outcome and, when applied, the account after it.
 
     Requests hold customer_id, expected_version and amount; accounts hold
@@ -330,36 +283,28 @@ def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], ho
     start = accounts.select(
         *key, F.col("available_credit").cast(CREDIT_TYPE).alias("available_credit"), F.col("version").cast("bigint").alias("version")
     )
-    asked, keyless = _split_null_keys(requests.withColumn("amount", F.col("amount").cast(CREDIT_TYPE)), key)
-    hot = cut_lineage(hot_keys(asked, key, hot_rows))
-    is_calm = hot.isEmpty()
-    calm = asked if is_calm else asked.join(hot, key, "left_anti")
-    opening = start if is_calm else start.join(hot, key, "left_anti")
-    added = f"applied boolean, credit_after {CREDIT_TYPE}, version_after bigint"
-    outcome = _replay(calm, key, order, _version_step, added, opening)
-    if not is_calm:
-        opened = asked.join(hot, key, "left_semi").join(start, "customer_id", "left")
-        busy = number_arrivals(opened.withColumn("expected_version", F.col("expected_version").cast("bigint")), order)
-        # A request below the starting version, or for no account, can never apply.
-        able = busy.filter(F.col("expected_version") >= F.col("version"))
-        applied = _settle_versions(able.select("seq", *key, "expected_version", "version"), run_length)
-        # Applied requests expect consecutive versions, so the balance is a running
-        # sum in version order over applied requests only.
-        winners = busy.join(applied, "seq")
-        moved = _running_sum(winners, key, "expected_version", ["amount"], run_length).select(
-            "seq",
-            (F.col("available_credit") + F.col("amount_before") + F.col("amount")).cast(CREDIT_TYPE).alias("credit_after"),
-            (F.col("expected_version") + 1).alias("version_after"),
-        )
-        settled = busy.join(moved, "seq", "left").withColumn("applied", F.col("version_after").isNotNull())
-        outcome = outcome.unionByName(settled.select(*outcome.columns))
-    outcome = outcome.unionByName(keyless.withColumn("applied", F.lit(False)), allowMissingColumns=True)
-    verdict = F.when(F.col("applied"), F.lit(APPLIED)).otherwise(F.lit(CONFLICT))
-    return outcome.select(*requests.columns, verdict.alias("outcome"), "credit_after", "version_after")
+    typed = requests.withColumn("amount", F.col("amount").cast(CREDIT_TYPE))
+    busy = number_arrivals(typed.withColumn("_expected", F.col("expected_version").cast("bigint")), order)
+    # A request below the starting version, or for no account, can never apply.
+    able = busy.join(start, key).filter(F.col("_expected") >= F.col("version"))
+    able = cut_lineage(able.select("seq", *key, F.col("_expected").alias("expected_version"), "version", "available_credit", "amount"))
+    applied = _settle_versions(able.select("seq", *key, "expected_version", "version"), run_length)
+    # Applied requests expect consecutive versions, so the balance is a running
+    # sum in version order over applied requests only.
+    winners = able.join(applied, "seq").withColumn("_blank", F.col("amount").isNull().cast("int")).withColumn("amount", F.coalesce("amount", F.lit(0).cast(CREDIT_TYPE)))
+    summed = _running_sum(winners, key, "expected_version", ["amount", "_blank"], run_length)
+    known = F.col("_blank_before") + F.col("_blank") == 0
+    moved = summed.select(
+        "seq",
+        F.when(known, (F.col("available_credit") + F.col("amount_before") + F.col("amount")).cast(CREDIT_TYPE)).alias("credit_after"),
+        (F.col("expected_version") + 1).alias("version_after"),
+    )
+    verdict = F.when(F.col("version_after").isNotNull(), F.lit(APPLIED)).otherwise(F.lit(CONFLICT))
+    return busy.join(moved, "seq", "left").select(*requests.columns, verdict.alias("outcome"), "credit_after", "version_after")
 
 
 def _settle_versions(rows: DataFrame, run_length: int) -> DataFrame:
-    """Sequence numbers applied for hot accounts.
+    """Sequence numbers of the requests that apply.
 
     The request that applies after one expecting version v is the first later
     request of the account expecting v + 1. That makes a successor link per

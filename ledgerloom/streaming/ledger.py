@@ -50,8 +50,8 @@ def record_reservations(
     def handle(batch: DataFrame, batch_id: int) -> None:
         stock = _state(opening, levels_path, SHELF, batch, batch_id)
         stored = _settle(folds.reserve_stock(batch, stock, order, **limits), outcome_path, batch_id)
-        # Stock only goes down, so the lowest level is the last.
-        levels = stored.groupBy(*SHELF).agg(F.min("stock_after").alias("stock"))
+        # A return raises the level, so the last request of a shelf tells, not the lowest level.
+        levels = stored.groupBy(*SHELF).agg(F.max_by("stock_after", F.struct(*order)).alias("stock"))
         _settle(levels, levels_path, batch_id)
 
     return handle

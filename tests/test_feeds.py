@@ -56,15 +56,15 @@ def test_audit_over_batches(spark, tmp_path):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 3])
-def test_reservation_feed_equals_batch(spark, tmp_path, hot_rows):
+@pytest.mark.parametrize("fair_share", [2.0, 0.25])
+def test_reservation_feed_equals_batch(spark, tmp_path, fair_share):
     rng = random.Random(8)
     rows = [(i, rng.choice([1, 1, 2]), rng.randrange(3), rng.randint(1, 6)) for i in range(90)]
     schema = "request_id int, store_id int, product_id int, qty int"
     shelf = spark.createDataFrame([(s, p, 25) for s in (1, 2) for p in (0, 1)], "store_id int, product_id int, stock int")
     stream = land(spark, tmp_path / "feed", [rows[:30], rows[30:60], rows[60:]], schema)
     out = str(tmp_path / "out")
-    handler = ledger.record_reservations(shelf, out, str(tmp_path / "levels"), ["request_id"], hot_rows=hot_rows, run_length=10)
+    handler = ledger.record_reservations(shelf, out, str(tmp_path / "levels"), ["request_id"], fair_share=fair_share, run_length=10)
     feeds.drain(stream, handler, str(tmp_path / "ckpt"))
     whole = folds.reserve_stock(spark.createDataFrame(rows, schema), shelf, ["request_id"])
     got = {(r.request_id, r.outcome, r.stock_after) for r in spark.read.parquet(out).collect()}

@@ -1,4 +1,4 @@
-"""Ordered updates against a plain replay, with small groups and with every key treated as hot."""
+"""Ordered updates against a plain replay: replayed at once, by rounds with the progress rule, by rounds to the end."""
 
 import random
 from decimal import Decimal
@@ -7,7 +7,7 @@ import pytest
 
 from ledgerloom.operators import folds
 
-HOT = [(10**9, 100), (3, 4), (0, 7)]
+FORMS = [(2.0, 100), (0.25, 4), (0.0, 7)]
 
 
 def make_requests(seed, count, stores, products, biggest):
@@ -30,13 +30,13 @@ def replay_reserve(rows, stock):
     return out
 
 
-@pytest.mark.parametrize("hot_rows,run_length", HOT)
-def test_reserve_stock(spark, hot_rows, run_length):
+@pytest.mark.parametrize("fair_share,run_length", FORMS)
+def test_reserve_stock(spark, fair_share, run_length):
     rows = make_requests(1, 240, 3, 5, 9)
     stock = {(s, p): 40 for s in range(3) for p in range(5) if (s, p) != (2, 4)}
     requests = spark.createDataFrame(rows, "request_id int, store_id int, product_id int, qty int")
     inventory = spark.createDataFrame([(s, p, n) for (s, p), n in stock.items()], "store_id int, product_id int, stock int")
-    got = folds.reserve_stock(requests, inventory, ["request_id"], hot_rows, run_length).collect()
+    got = folds.reserve_stock(requests, inventory, ["request_id"], fair_share, run_length).collect()
     assert {r.request_id: (r.outcome, r.stock_after) for r in got} == replay_reserve(rows, stock)
     assert all(r.stock_after >= 0 for r in got)
     assert len(got) == len(rows)
@@ -47,7 +47,7 @@ def test_reserve_with_small_requests_after_refused_ones(spark):
     rows = [(i, 0, 0, q) for i, q in enumerate([1, 100, 1, 99, 1, 98, 50, 60, 40, 7, 3, 1])]
     requests = spark.createDataFrame(rows, "request_id int, store_id int, product_id int, qty int")
     inventory = spark.createDataFrame([(0, 0, 100)], "store_id int, product_id int, stock int")
-    got = folds.reserve_stock(requests, inventory, ["request_id"], 0, 3).collect()
+    got = folds.reserve_stock(requests, inventory, ["request_id"], 0.0, 3).collect()
     assert {r.request_id: (r.outcome, r.stock_after) for r in got} == replay_reserve(rows, {(0, 0): 100})
 
 
@@ -68,9 +68,9 @@ def replay_orders(orders, items, stock):
     return out
 
 
-@pytest.mark.parametrize("hot_rows,run_length", HOT)
+@pytest.mark.parametrize("fair_share,run_length", FORMS)
 @pytest.mark.parametrize("seed", [2, 3])
-def test_place_orders(spark, hot_rows, run_length, seed):
+def test_place_orders(spark, fair_share, run_length, seed):
     rng = random.Random(seed)
     orders = [(i, rng.choice([0, 0, 1, 2]), (1000 - i) * 10**9) for i in range(80)]
     items = [(rng.randrange(85), rng.randrange(6), rng.randint(1, 8)) for _ in range(260)]
@@ -80,7 +80,7 @@ def test_place_orders(spark, hot_rows, run_length, seed):
         spark.createDataFrame(orders, "order_id int, store_id int, seq long"),
         spark.createDataFrame(items, "order_id int, product_id int, qty int"),
         spark.createDataFrame([(s, p, n) for (s, p), n in stock.items()], "store_id int, product_id int, stock int"),
-        hot_rows,
+        fair_share,
         run_length,
     ).collect()
     assert {r.order_id: r.outcome for r in got} == replay_orders(orders, [i for i in items if i[0] in known], stock)
@@ -88,8 +88,8 @@ def test_place_orders(spark, hot_rows, run_length, seed):
     assert {r.outcome for r in got} == {"ACCEPTED", "REFUSED"}
 
 
-@pytest.mark.parametrize("hot_rows,run_length", HOT)
-def test_adjust_credit(spark, hot_rows, run_length):
+@pytest.mark.parametrize("run_length", [4, 7, 100])
+def test_adjust_credit(spark, run_length):
     rng = random.Random(4)
     accounts = [(c, Decimal("100.00"), 1 + c) for c in range(4)]
     rows, request = [], 0
@@ -119,7 +119,6 @@ def test_adjust_credit(spark, hot_rows, run_length):
         spark.createDataFrame(rows, "request_id int, customer_id int, expected_version int, amount decimal(10,2)"),
         spark.createDataFrame(accounts, "customer_id int, available_credit decimal(10,2), version int"),
         ["request_id"],
-        hot_rows,
         run_length,
     ).collect()
     assert {r.request_id: (r.outcome, r.credit_after, r.version_after) for r in got} == expected
@@ -131,22 +130,21 @@ def test_long_version_chain(spark):
         spark.createDataFrame(rows, "request_id int, customer_id int, expected_version int, amount decimal(10,2)"),
         spark.createDataFrame([(1, Decimal(0), 1)], "customer_id int, available_credit decimal(10,2), version int"),
         ["request_id"],
-        0,
         8,
     ).collect()
     assert sorted(r.version_after for r in got) == list(range(2, 72))
     assert max(r.credit_after for r in got) == 70
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 0])
-def test_requests_without_a_key_are_refused(spark, hot_rows):
+@pytest.mark.parametrize("fair_share", [2.0, 0.0])
+def test_requests_without_a_key_are_refused(spark, fair_share):
     requests = spark.createDataFrame([(1, None, 5, 1), (2, 1, 5, 1)], "request_id int, store_id int, product_id int, qty int")
     shelf = spark.createDataFrame([(1, 5, 9)], "store_id int, product_id int, stock int")
-    got = folds.reserve_stock(requests, shelf, ["request_id"], hot_rows, 5).collect()
+    got = folds.reserve_stock(requests, shelf, ["request_id"], fair_share, 5).collect()
     assert {(r.request_id, r.outcome, r.stock_after) for r in got} == {(1, "REFUSED", 0), (2, "ACCEPTED", 8)}
     asked = spark.createDataFrame([(1, None, 1, Decimal(1)), (2, 7, 1, Decimal(1))], "request_id int, customer_id int, expected_version int, amount decimal(9,2)")
     accounts = spark.createDataFrame([(7, Decimal(5), 1)], "customer_id int, available_credit decimal(9,2), version int")
-    got = folds.adjust_credit(asked, accounts, ["request_id"], hot_rows, 5).collect()
+    got = folds.adjust_credit(asked, accounts, ["request_id"], 5).collect()
     assert {(r.request_id, r.outcome, r.credit_after) for r in got} == {(1, "CONFLICT", None), (2, "APPLIED", Decimal(6))}
 
 
@@ -154,3 +152,70 @@ def test_number_arrivals_follows_order(spark):
     rows = [(i * 7919 % 1000,) for i in range(1000)]
     numbered = folds.number_arrivals(spark.createDataFrame(rows, "k int").repartition(6), ["k"]).collect()
     assert [r.k for r in sorted(numbered, key=lambda r: r.seq)] == list(range(1000))
+
+
+@pytest.mark.parametrize("fair_share,run_length", FORMS)
+def test_nulls_and_returns_have_one_outcome(spark, fair_share, run_length):
+    shelf = spark.createDataFrame([(1, 5, 5), (1, 6, 9)], "store_id int, product_id int, stock int")
+    rows = [(1, 1, 5, 5), (2, 1, 5, -3), (3, 1, 5, 5), (4, 1, 5, None), (5, 1, 5, 3), (6, 1, 6, None)]
+    requests = spark.createDataFrame(rows, "request_id int, store_id int, product_id int, qty int")
+    got = {r.request_id: (r.outcome, r.stock_after) for r in folds.reserve_stock(requests, shelf, ["request_id"], fair_share, run_length).collect()}
+    assert got == {
+        1: ("ACCEPTED", 0), 2: ("ACCEPTED", 3), 3: ("REFUSED", 3), 4: ("REFUSED", 3), 5: ("ACCEPTED", 0), 6: ("REFUSED", 9),
+    }
+    orders = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 1, 3), (4, None, 4), (5, 1, 5), (6, 1, 6)], "order_id int, store_id int, seq long")
+    items = [(1, None, 1), (1, 5, 1), (2, None, 1), (3, 5, None), (3, 6, 1), (4, 5, 1), (5, 5, 5), (6, 5, 1)]
+    placed = folds.place_orders(orders, spark.createDataFrame(items, "order_id int, product_id int, qty int"), shelf, fair_share, run_length)
+    assert {r.order_id: r.outcome for r in placed.collect()} == {
+        1: "REFUSED", 2: "REFUSED", 3: "REFUSED", 4: "REFUSED", 5: "ACCEPTED", 6: "REFUSED",
+    }
+
+
+@pytest.mark.parametrize("run_length", [2, 100])
+def test_a_null_amount_blanks_the_balance(spark, run_length):
+    rows = [(1, 7, 1, Decimal(1)), (2, 7, 2, None), (3, 7, 3, Decimal(1)), (4, 7, None, Decimal(1)), (5, 7, 9, Decimal(1))]
+    asked = spark.createDataFrame(rows, "request_id int, customer_id int, expected_version int, amount decimal(9,2)")
+    accounts = spark.createDataFrame([(7, Decimal(5), 1)], "customer_id int, available_credit decimal(9,2), version int")
+    got = {r.request_id: (r.outcome, r.credit_after, r.version_after) for r in folds.adjust_credit(asked, accounts, ["request_id"], run_length).collect()}
+    assert got == {
+        1: ("APPLIED", Decimal(6), 2), 2: ("APPLIED", None, 3), 3: ("APPLIED", None, 4), 4: ("CONFLICT", None, None), 5: ("CONFLICT", None, None),
+    }
+
+
+def replay_with_nulls(rows, stock):
+    left, out = dict(stock), {}
+    for request, store, product, qty in sorted(rows, key=lambda r: r[0]):
+        have = left.get((store, product), 0) if store is not None and product is not None else 0
+        ok = qty is not None and store is not None and product is not None and have >= qty
+        if ok:
+            left[store, product] = have - qty
+        out[request] = ("ACCEPTED" if ok else "REFUSED", left.get((store, product), 0) if ok or (store is not None and product is not None) else 0)
+    return out
+
+
+@pytest.mark.parametrize("fair_share,run_length", FORMS)
+def test_random_requests_with_nulls_and_returns(spark, fair_share, run_length):
+    rng = random.Random(11)
+    pick = lambda *values: rng.choice(values)
+    rows = [(i, pick(0, 0, 0, 1, None), pick(0, 0, 1, None), pick(1, 2, 5, 9, -4, 0, None)) for i in range(300)]
+    stock = {(0, 0): 30, (0, 1): 0, (1, 0): 12}
+    requests = spark.createDataFrame(rows, "request_id int, store_id int, product_id int, qty int")
+    inventory = spark.createDataFrame([(s, p, n) for (s, p), n in stock.items()], "store_id int, product_id int, stock int")
+    got = folds.reserve_stock(requests, inventory, ["request_id"], fair_share, run_length).collect()
+    assert {r.request_id: (r.outcome, r.stock_after) for r in got} == replay_with_nulls(rows, stock)
+    assert len(got) == len(rows)
+
+
+def test_a_chain_of_baskets_ends_in_few_rounds(spark, caplog):
+    # Each order shares a product with the next, so rounds alone settle one or two of them at a time.
+    orders = [(i, 0, i) for i in range(200)]
+    items = [(i, p, 1) for i in range(200) for p in (i, i + 1)]
+    stock = [(0, p, 1) for p in range(201)]
+    with caplog.at_level("INFO", logger=folds.log.name):
+        got = folds.place_orders(
+            spark.createDataFrame(orders, "order_id int, store_id int, seq long"),
+            spark.createDataFrame(items, "order_id int, product_id int, qty int"),
+            spark.createDataFrame(stock, "store_id int, product_id int, stock int"),
+        ).collect()
+    assert {r.order_id: r.outcome for r in got} == {i: "REFUSED" if i % 2 else "ACCEPTED" for i in range(200)}
+    assert len(caplog.records) <= 3
