@@ -75,10 +75,11 @@ def plan_default_rate(plans: DataFrame, statuses: DataFrame) -> DataFrame:
 
 def reserve_overstatement(rate: DataFrame, reported_rate: Decimal, portfolio: Decimal) -> DataFrame:
     """Reserves held against the difference between the reported and the corrected rate."""
-    gap = F.lit(float(reported_rate)) - F.col("corrected_default_rate")
+    corrected = F.col("defaults").cast("decimal(20,0)") / F.nullif(F.col("total_plans").cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    gap = (F.lit(reported_rate) - corrected).cast("decimal(20,12)")
     return rate.select(
-        F.lit(float(reported_rate)).alias("reported_rate"),
+        F.lit(reported_rate).alias("reported_rate"),
         "corrected_default_rate",
         gap.alias("variance"),
-        (gap * F.lit(float(portfolio))).alias("over_provisioned"),
+        (gap * F.lit(portfolio)).cast("decimal(28,4)").alias("over_provisioned"),
     )

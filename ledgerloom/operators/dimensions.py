@@ -65,8 +65,10 @@ def apply_scd2_changes(dim: DataFrame, staging: DataFrame, as_of: date, staging_
     if staging_order:
         source = latest_per_key(staging, "customer_id", staging_order)
     source = source.select("customer_id", *CUSTOMER_ATTRIBUTES)
-    history = dim.filter(~F.col("is_current"))
-    current = dim.filter("is_current")
+    # A version that is not known to be current is history.
+    is_current = F.coalesce("is_current", F.lit(False))
+    history = dim.filter(~is_current)
+    current = dim.filter(is_current)
     # A customer with closed versions only is known: it is reopened just when
     # its last version was closed by this very load (a re-run after a failure).
     closed = history.groupBy("customer_id").agg(

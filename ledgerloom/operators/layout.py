@@ -52,8 +52,15 @@ def hash_bucket(key: str, buckets: int = HASH_PARTITIONS) -> Column:
     return F.pmod(F.hash(key), F.lit(buckets))
 
 
+def portable_bucket(key: str, buckets: int = HASH_PARTITIONS) -> Column:
+    """Bucket number any engine can compute: the first eight hex digits of the key's MD5, modulo ``buckets``."""
+    digits = F.left(F.md5(F.col(key).cast("string")), F.lit(8))
+    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(buckets))
+
+
 def hash_partition_counts(rows: DataFrame, key: str, buckets: int = HASH_PARTITIONS) -> DataFrame:
-    return rows.groupBy(hash_bucket(key, buckets).alias("bucket")).agg(F.count("*").alias("rows"))
+    """Rows per bucket of a table hash-partitioned for several engines; a null key has no bucket."""
+    return rows.groupBy(portable_bucket(key, buckets).alias("bucket")).agg(F.count("*").alias("rows"))
 
 
 def write_bucketed(rows: DataFrame, table: str, path: str, key: str, buckets: int = HASH_PARTITIONS) -> DataFrame:

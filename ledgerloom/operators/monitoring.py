@@ -35,13 +35,12 @@ def lag_alert(lag: DataFrame) -> DataFrame:
 def latency_report(requests: DataFrame, sla_ms: float = SLA_MS) -> DataFrame:
     """Calls, failures, median, 99th percentile and verdict per request name.
 
-    Latencies are whole milliseconds: requests are first counted per name and
-    millisecond, so the exact percentile of a hot name holds one entry per
-    distinct latency, not per request.
+    Requests are first counted per name and exact latency, so the percentile of
+    a hot name holds one entry per distinct latency, not per request.
     """
     counted = (
         requests.filter(~F.col("name").eqNullSafe(F.lit(TOTALS_ROW)))
-        .groupBy("name", F.col("ms").cast("bigint").alias("ms"))
+        .groupBy("name", F.col("ms").cast("double").alias("ms"))
         .agg(F.count("*").alias("_n"), F.count_if("failed").alias("_failed"))
     )
     summary = counted.groupBy("name").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -36,16 +37,25 @@ def classify_pans(customers: DataFrame) -> DataFrame:
 def tokenize_pans(customers: DataFrame, secret: str | None = None) -> DataFrame:
     """Token and last four digits of every stored card number, whatever its length.
 
-    Without ``secret`` the token is a plain md5 over number and customer, which
-    can be reversed by trying all numbers; with it, a keyed SHA-256.
+    With ``secret`` the token is HMAC-SHA-256 over number and customer. Without
+    it the token is the plain md5 of the literal job, which anyone can reverse by
+    trying all numbers: use that for checks only. The key's pads become part of
+    the plan, so set ``spark.sql.redaction.string.regex`` where plans are logged.
     """
     basis = F.concat(F.col(PAN), F.col("customer_id").cast("string"))
-    digest = F.md5(basis) if secret is None else F.sha2(F.concat(F.lit(secret), basis), 256)
+    digest = F.md5(basis) if secret is None else _hmac(secret.encode(), basis)
     return customers.filter(F.col(PAN).isNotNull()).select(
         "customer_id", F.concat(F.lit(TOKEN_PREFIX), digest).alias("pan_token"), F.right(PAN, F.lit(4)).alias("pan_last_four")
     )
 
 
+def _hmac(key: bytes, text: Column) -> Column:
+    """HMAC with SHA-256, as hex; ``key`` is hashed when it is longer than a block."""
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, text.cast("binary")), 256))), 256)
+
+
 def purge_pans(customers: DataFrame) -> DataFrame:
     """Customers without card numbers; run it once tokens or vault rows are stored."""
     return customers.withColumn(PAN, F.lit(None).cast("string"))

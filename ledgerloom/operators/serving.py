@@ -24,19 +24,20 @@ def product_ratings(reviews: DataFrame) -> DataFrame:
     )
 
 
-def contains(doc: Column, wanted: object, path: str = "$") -> Column:
-    """JSON containment: ``doc`` holds every key and value of ``wanted``.
+def contains(here: Column, wanted: object) -> Column:
+    """JSON containment: the value ``here`` holds every key and value of ``wanted``.
 
-    Objects nest; an array holds another when each wanted scalar occurs in it.
+    Objects nest; an array holds another when each wanted value occurs in it.
+    Keys are looked up in a map, so they may hold quotes, dots and brackets.
     """
-    here = F.try_variant_get(doc, path, "variant")
     if isinstance(wanted, Mapping):
+        members = J.as_map(here)
         test = J.type_name(here) == "object"
         for name, value in wanted.items():
-            test = test & contains(doc, value, f"{path}['{name}']")
+            test = test & contains(F.try_element_at(members, F.lit(name)), value)
         return F.coalesce(test, F.lit(False))
     if isinstance(wanted, (list, tuple)):
-        items = F.try_variant_get(doc, path, "array<variant>")
+        items = F.try_variant_get(here, "$", "array<variant>")
         test = J.type_name(here) == "array"
         for value in wanted:
             test = test & F.exists(items, lambda item: contains(item, value))
@@ -44,10 +45,10 @@ def contains(doc: Column, wanted: object, path: str = "$") -> Column:
     if wanted is None:
         return F.coalesce(J.type_name(here) == "null", F.lit(False))
     if isinstance(wanted, bool):
-        return F.coalesce((J.type_name(here) == "boolean") & (F.try_variant_get(doc, path, "boolean") == wanted), F.lit(False))
+        return F.coalesce((J.type_name(here) == "boolean") & (F.try_variant_get(here, "$", "boolean") == wanted), F.lit(False))
     if isinstance(wanted, (int, float)):
-        return F.coalesce((J.type_name(here) == "number") & (F.try_variant_get(doc, path, "double") == float(wanted)), F.lit(False))
-    return F.coalesce((J.type_name(here) == "string") & (F.try_variant_get(doc, path, "string") == str(wanted)), F.lit(False))
+        return F.coalesce((J.type_name(here) == "number") & (F.try_variant_get(here, "$", "double") == float(wanted)), F.lit(False))
+    return F.coalesce((J.type_name(here) == "string") & (F.try_variant_get(here, "$", "string") == str(wanted)), F.lit(False))
 
 
 def with_key_columns(products: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -254,6 +254,19 @@ def inventory_snapshot_capture(t: Inputs) -> DataFrame:
     return inventory.capture_snapshot(t.current_inventory, SNAPSHOT_AT)
 
 
+SNAPSHOT_HOURS = (0, 6, 30)
+
+
+@query
+def inventory_snapshot_history(t: Inputs) -> DataFrame:
+    """Snapshots of two days, several a day, appended one after the other and read back."""
+    path = scratch_path(t.spark, "snapshots")
+    for hours in SNAPSHOT_HOURS:
+        tables.append(inventory.capture_snapshot(t.current_inventory, SNAPSHOT_AT + timedelta(hours=hours)), path, ["snapshot_date"])
+    stored = tables.read_parquet(t.spark, path)
+    return stored.groupBy("snapshot_date", "snapshot_time", "store_id").agg(F.count("*").alias("products"), F.sum("quantity_on_hand").alias("units"))
+
+
 @query
 def inventory_turnover(t: Inputs) -> DataFrame:
     return inventory.inventory_turnover(t.line_fact, t.product_dim, t.inventory_snapshots)
@@ -455,6 +468,15 @@ def product_ratings(t: Inputs) -> DataFrame:
     return serving.product_ratings(t.reviews)
 
 
+NESTED = {"maker": {"name": "Brand#8"}, "tags": ["all"], "size": 2, "it's": True}
+
+
+@query
+def product_search_nested(t: Inputs) -> DataFrame:
+    """Containment of an object, an array, a number and a boolean in the JSON itself."""
+    return serving.product_search(t.nested_products, serving.product_ratings(t.reviews), NESTED)
+
+
 @query
 def product_search(t: Inputs) -> DataFrame:
     """Search reads the cleansed table as stored, with its search key next to the JSON."""
@@ -528,6 +550,16 @@ def list_partition_read(t: Inputs) -> DataFrame:
     return stored.groupBy("store_id").agg(F.count("*").alias("items"), F.sum("quantity_available").alias("stock"))
 
 
+ONE_STORE = 7
+
+
+@query
+def list_partition_one_store(t: Inputs) -> DataFrame:
+    """Only the folder of the store is scanned."""
+    stored = layout.write_by_list(t.current_inventory, scratch_path(t.spark, "inventory"), "store_id")
+    return layout.read_one(stored, "store_id", ONE_STORE).select("product_id", "store_id", "quantity_available")
+
+
 @query
 def month_partition_read(t: Inputs) -> DataFrame:
     path = scratch_path(t.spark, "orders")
@@ -620,7 +652,28 @@ def outbox_lag_alert(t: Inputs) -> DataFrame:
 
 @query
 def latency_sla_report(t: Inputs) -> DataFrame:
-    return monitoring.latency_report(t.request_log)
+    return _rounded(monitoring.latency_report(t.request_log))
+
+
+def _rounded(report: DataFrame) -> DataFrame:
+    """Interpolated percentiles to six decimals: engines differ in the last bit."""
+    return report.withColumns({name: F.round(name, 6) for name in ("median_ms", "p99_ms")})
+
+
+@query
+def latency_sla_report_csv(t: Inputs) -> DataFrame:
+    """The report from the load tester's statistics file, here written from the request log.
+
+    One name has a percentile that is no number, and the file ends with the sum row.
+    """
+    measured = monitoring.latency_report(t.request_log)
+    p99 = F.when(F.col("name") == "error", F.lit("N/A")).otherwise(F.col("p99_ms").cast("string"))
+    names = tables.LOAD_STATS_COLUMNS
+    rows = measured.select(*[c.alias(n) for c, n in zip((F.col("name"), F.col("total_calls"), F.col("failures"), F.col("median_ms"), p99), names)])
+    totals = measured.select(F.lit(monitoring.TOTALS_ROW), F.sum("total_calls"), F.sum("failures"), F.lit(0.0), F.lit("0")).toDF(*names)
+    path = scratch_path(t.spark, "load-stats")
+    rows.unionByName(totals).write.csv(path, header=True)
+    return _rounded(monitoring.latency_report_from_stats(tables.read_load_stats(t.spark, path)))
 
 
 @query

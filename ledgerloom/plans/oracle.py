@@ -328,6 +328,15 @@ def oracle_sql() -> dict[str, str]:
         "SELECT product_id, store_id, quantity_available AS quantity_on_hand, '2024-02-01 10:00:00.000000' AS snapshot_time, "
         "'2024-02-01' AS snapshot_date FROM current_inventory",
     )
+    taken = " UNION ALL ".join(
+        f"SELECT *, TIMESTAMP '{catalog.SNAPSHOT_AT}' + INTERVAL {hours} HOUR AS taken_at FROM current_inventory" for hours in catalog.SNAPSHOT_HOURS
+    )
+    out["inventory_snapshot_history"] = _sql(
+        {"current_inventory": None, "taken": taken},
+        "SELECT strftime(taken_at, '%Y-%m-%d') AS snapshot_date, "
+        "strftime(taken_at, '%Y-%m-%d %H:%M:%S.%f') AS snapshot_time, store_id, count(*) AS products, "
+        "CAST(sum(quantity_available) AS BIGINT) AS units FROM taken GROUP BY ALL",
+    )
     turnover_parts = ["line_fact", "product_dim", "inventory_snapshots"]
     out["inventory_turnover"] = _sql(
         {
@@ -355,8 +364,8 @@ def oracle_sql() -> dict[str, str]:
     gap = f"(CAST({reported_rate} AS DOUBLE) - corrected_default_rate)"
     out["reserve_overstatement"] = _sql(
         _PLAN_PARTS,
-        f"SELECT CAST({reported_rate} AS DOUBLE) AS reported_rate, corrected_default_rate, {gap} AS variance, "
-        f"{gap} * CAST({portfolio} AS DOUBLE) AS over_provisioned FROM rate",
+        f"SELECT CAST({reported_rate} AS DOUBLE) AS reported_rate, corrected_default_rate, CAST(CAST({gap} AS DECIMAL(20,12)) AS DOUBLE) AS variance, "
+        f"CAST(CAST(CAST({gap} AS DECIMAL(20,12)) * CAST({portfolio} AS DECIMAL(11,0)) AS DECIMAL(28,4)) AS DOUBLE) AS over_provisioned FROM rate",
     )
     out["fact_source_reconcile"] = _sql(
         {
@@ -509,6 +518,12 @@ def oracle_sql() -> dict[str, str]:
 
     ratings = "SELECT product_id, CAST(sum(rating) AS DOUBLE) / count(rating) AS avg_rating, count(rating) AS review_count FROM reviews GROUP BY product_id"
     out["product_ratings"] = _sql({"reviews": None, "ratings": ratings}, "SELECT * FROM ratings")
+    out["product_search_nested"] = _sql(
+        {"reviews": None, "ratings": ratings, "nested_products": None},
+        "SELECT p.product_id, p.description_json, r.avg_rating FROM nested_products p LEFT JOIN ratings r ON p.product_id = r.product_id "
+        "WHERE json_contains(p.description_json, '{\"maker\":{\"name\":\"Brand#8\"},\"tags\":[\"all\"],\"size\":2,\"it\'\'s\":true}') "
+        "ORDER BY p.product_id LIMIT 50",
+    )
     out["product_search"] = _sql(
         {"reviews": None, "ratings": ratings, "products": None, "described": _DESCRIBED},
         "SELECT p.product_id, p.description_json, r.avg_rating FROM described p LEFT JOIN ratings r ON p.product_id = r.product_id "
@@ -605,6 +620,14 @@ def oracle_sql() -> dict[str, str]:
         ["current_inventory"],
         "SELECT store_id, count(*) AS items, CAST(sum(quantity_available) AS BIGINT) AS stock FROM current_inventory GROUP BY store_id",
     )
+    out["list_partition_one_store"] = _sql(
+        ["current_inventory"], f"SELECT product_id, store_id, quantity_available FROM current_inventory WHERE store_id = {catalog.ONE_STORE}"
+    )
+    out["hash_partition_counts"] = _sql(
+        ["legacy_customers"],
+        "SELECT CAST(CAST('0x' || left(md5(CAST(customer_id AS VARCHAR)), 8) AS BIGINT) % 8 AS BIGINT) AS bucket, count(*) AS rows "
+        "FROM legacy_customers GROUP BY 1",
+    )
     out["month_partition_read"] = _sql(
         ["dated_orders"],
         "SELECT CASE WHEN order_date < DATE '2025-07-01' THEN 'archive' WHEN order_date >= DATE '2026-07-01' THEN 'overflow' "
@@ -654,16 +677,19 @@ def oracle_sql() -> dict[str, str]:
         "SELECT count(*) AS lag, count(*) > 1000 AS alert FROM outbox WHERE NOT processed "
         f"AND created_at < TIMESTAMP '{retail.OUTBOX_AS_OF}' - INTERVAL 5 MINUTE",
     )
-    out["latency_sla_report"] = _sql(
-        {
-            "request_log": None,
-            "stats": "SELECT name, count(*) AS total_calls, count(*) FILTER (WHERE failed) AS failures, "
-            "quantile_cont(ms, 0.5) AS median_ms, quantile_cont(ms, 0.99) AS p99_ms FROM request_log WHERE name <> 'Aggregated' GROUP BY name",
-        },
+    latency_parts = {
+        "request_log": None,
+        "stats": "SELECT name, count(*) AS total_calls, count(*) FILTER (WHERE failed) AS failures, "
+        "quantile_cont(ms, 0.5) AS median_ms, quantile_cont(ms, 0.99) AS p99_ms FROM request_log WHERE name <> 'Aggregated' GROUP BY name",
+    }
+    latency = (
         "SELECT name, total_calls, failures, CAST(failures AS DOUBLE) / CAST(total_calls AS DOUBLE) * 100 AS failure_pct, "
-        "CAST(median_ms AS DOUBLE) AS median_ms, CAST(p99_ms AS DOUBLE) AS p99_ms, "
-        "CASE WHEN p99_ms > 500 THEN 'WARNING' ELSE 'PASS' END AS verdict FROM stats",
+        "round(CAST(median_ms AS DOUBLE), 6) AS median_ms, round(CAST(p99_ms AS DOUBLE), 6) AS p99_ms, "
+        "CASE WHEN p99_ms IS NULL THEN 'UNPARSED' WHEN p99_ms > 500 THEN 'WARNING' ELSE 'PASS' END AS verdict FROM "
     )
+    out["latency_sla_report"] = _sql(latency_parts, latency + "stats")
+    unread = "SELECT * REPLACE (CASE WHEN name = 'error' THEN NULL ELSE p99_ms END AS p99_ms) FROM stats"
+    out["latency_sla_report_csv"] = _sql(latency_parts | {"unread": unread}, latency + "unread")
     out["benchmark_metric_store"] = _sql(
         ["benchmark_runs", "benchmark_metrics"],
         "SELECT r.run_id, r.scenario_name, m.metric_name, CAST(m.metric_value AS DOUBLE) AS metric_value, m.metric_unit "

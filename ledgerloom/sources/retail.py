@@ -305,6 +305,18 @@ INPUTS: dict[str, list[tuple[str, dict[str, str], str | None]]] = {
             None,
         )
     ],
+    # Descriptions that nest: an object, an array of texts, a number, and a key with a quote in it.
+    "nested_products": [
+        (
+            "part",
+            {
+                "product_id": "p_partkey",
+                "description_json": "'{\"maker\":{\"name\":\"' || p_brand || '\"},\"tags\":[\"' || p_type || '\",\"all\"],\"size\":' || "
+                f"{_text('p_size % 5')} || ',\"it' || chr(39) || 's\":true}}'",
+            },
+            None,
+        )
+    ],
     "enrichment": [("part", {"product_id": "p_partkey", "attributes": _ATTRIBUTES}, None)],
     "profiles": [("customer", {"customer_id": "c_custkey", "profile_data": _PROFILE}, None)],
     # The same customers written twice; the later write wins.
@@ -363,7 +375,7 @@ INPUTS: dict[str, list[tuple[str, dict[str, str], str | None]]] = {
         )
     ],
     "request_log": [
-        ("events", {"name": "event_type", "ms": "CAST(floor(value * 3) AS BIGINT)", "failed": "event_id % 50 = 0"}, None)
+        ("events", {"name": "event_type", "ms": "CAST(floor(value * 12) AS DOUBLE) / 4", "failed": "event_id % 50 = 0"}, None)
     ],
     "register": [
         (
