@@ -9,13 +9,18 @@ at s = 0.8 a pair shares one child on average however deep the tree gets, while
 unlike sets part quickly. A node with at most ``small`` members is compared
 exhaustively; a larger one branches again.
 
-Members that are still together in a large node after ``deepest`` levels are
-alike. They are first compared with a few pivots of their node. Once what that
-finds is connected, only members in different components are left to compare,
-and all those are: nothing is capped.
+Sets that are much alike would stay together at every level. So the members of
+a large node are first compared with a pivot of the node. A member confirmed to
+be linked with its closest pivot is that leader's follower and leaves the trees;
+leaders stay. By the triangle inequality of the Jaccard distance a set linked
+with a follower has a similarity of at least 0.6 with the leader, so sets that
+meet a leader within that reach, but are not in its component in the end, are
+compared with its followers. Members that are still together in a large node
+after ``deepest`` levels are compared wherever their components differ. Nothing
+is capped.
 
 Comparisons are first made on 256-bit sketches (one bit of a minimum each),
-whose cut lies 4.5 standard deviations under the threshold, and then confirmed
+whose cut lies 4 standard deviations under the threshold, and then confirmed
 on full shingle sets. Each set is first confirmed against its most similar
 candidate; candidates within one component then need no confirming. Sets are
 built for candidates only: a Bloom filter of at most ``FILTER_BITS`` bits says
@@ -40,10 +45,10 @@ from ledgerloom.session import cut_lineage
 FUNCTIONS = 64
 SKETCH_BITS = 256
 TREES = 12
+PIVOT_TREES = 4
 SMALL = 32
 STEP = 2
 DEEPEST = 10
-PIVOTS = 4
 FILTER_BITS = 1 << 27
 WORDS_KEPT = 300_000
 # Bytes of a 64-bit shingle hash that are kept for comparing sets.
@@ -171,49 +176,80 @@ def _branched(rows: DataFrame, levels: int, trees: int = 0) -> DataFrame:
     return rows.select(*columns).mapInArrow(run, _NODE_SCHEMA)
 
 
-def largest_distance(percent: int) -> int:
-    """Sketch bits in which two sets of the threshold's similarity may differ, 4.5 standard deviations included."""
+def largest_distance(percent: float, deviations: float = 4.0) -> int:
+    """Sketch bits in which two sets of this similarity may differ, some standard deviations included."""
     p = (1 - percent / 100) / 2
-    return math.ceil(SKETCH_BITS * p + 4.5 * math.sqrt(SKETCH_BITS * p * (1 - p)))
+    return math.ceil(SKETCH_BITS * p + deviations * math.sqrt(SKETCH_BITS * p * (1 - p)))
+
+
+def reach(percent: float) -> float:
+    """The least similarity of a leader with a set that is linked with its follower."""
+    return max(0.0, 100 - 2 * (100 - percent))
 
 
 def _distance(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(1, 4)), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
 
 
-def _may_be_alike(a: str, b: str, percent: int) -> Column:
+def _may_be_alike(a: str, b: str, percent: float, deviations: float = 4.0) -> Column:
     sizes = F.least(f"{a}.size", f"{b}.size") * 100 >= F.greatest(f"{a}.size", f"{b}.size") * percent
-    return sizes & (_distance(a, b) <= largest_distance(percent))
+    return sizes & (_distance(a, b) <= largest_distance(percent, deviations))
+
 
+def _in_order(percent: float) -> list[Column]:
+    """Columns of a pair (x, y): the classes in order, their distance, and whether they may be linked."""
+    linked = _may_be_alike("x", "y", percent).alias("linked")
+    return [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"), _distance("x", "y").alias("distance"), linked]
 
-def _pairs(a: DataFrame, b: DataFrame, when: Column, percent: int) -> DataFrame:
-    """Pairs of different classes in one node that may be alike, in order."""
-    joined = a.alias("x").join(b.alias("y"), (F.col("x.node") == F.col("y.node")) & when & _may_be_alike("x", "y", percent))
-    return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"), _distance("x", "y").alias("distance"))
+
+def _pairs(a: DataFrame, b: DataFrame, when: Column, percent: float, columns: list[Column]) -> DataFrame:
+    """Pairs of different classes in one node with at least this similarity, as far as sketches tell."""
+    return a.alias("x").join(b.alias("y"), (F.col("x.node") == F.col("y.node")) & when & _may_be_alike("x", "y", percent)).select(*columns)
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    return pairs.groupBy("a", "b").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked"))
+
+
+def _pivot_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Members of large nodes with the pivot of their node, the member whose hash is least."""
+    members = rows.join(large, "node", "left_semi")
+    least = F.min(F.struct(F.xxhash64("class").alias("h"), *_CARRIED)).alias("p")
+    pivots = cut_lineage(members.groupBy("node").agg(least).select("node", "p.*"))
+    pair = [F.col("x.class").alias("member"), F.col("y.class").alias("pivot"), _distance("x", "y").alias("distance")]
+    return _pairs(members, pivots, F.col("x.class") != F.col("y.class"), percent, pair)
 
 
-def _tree_pairs(classes: DataFrame, percent: int, trees: int, small: int, deepest: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs from small nodes, and the rows of large nodes at the deepest level (None if there are none)."""
+def _tree_pairs(classes: DataFrame, leaders: DataFrame, percent: int, trees: int, small: int, deepest: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs from small nodes, those within a leader's reach included, and the rows of large nodes at the deepest level (None if there are none)."""
     found, depth = [], STEP
     rows = _branched(classes, STEP, trees)
     minwise = classes.select(F.col("class").alias("of"), "minwise")
     while True:
         large = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > small).select("node"))
         few = rows.join(large, "node", "left_anti")
-        found.append(cut_lineage(_distinct(_pairs(few, few, F.col("x.class") < F.col("y.class"), percent))))
+        near = _distinct(_pairs(few, few, F.col("x.class") < F.col("y.class"), reach(percent), _in_order(percent)))
+        found.append(cut_lineage(_linked_or_led(near, leaders)))
         if large.isEmpty():
             return _distinct(_all(found)), None
         many = rows.join(large, "node", "left_semi")
         if depth >= deepest:
-            return _distinct(_all(found)), cut_lineage(many)
+            many = cut_lineage(many)
+            led = cut_lineage(many.join(leaders.select(F.col("leader").alias("class")).distinct(), "class", "left_semi").select("node", *_CARRIED))
+            found.append(cut_lineage(_distinct(_pairs(led, many, F.col("x.class") != F.col("y.class"), reach(percent), _in_order(percent)))))
+            return _distinct(_all(found)), many
         rows = cut_lineage(_branched(many.join(minwise, F.col("class") == F.col("of")), STEP))
         depth += STEP
 
 
+def _linked_or_led(pairs: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Pairs that may be linked, and those with a leader in them."""
+    led = leaders.select("leader").distinct()
+    a = pairs.filter(~F.col("linked")).join(led, F.col("a") == F.col("leader"), "left_semi")
+    b = pairs.filter(~F.col("linked")).join(led, F.col("b") == F.col("leader"), "left_semi")
+    return pairs.filter("linked").unionByName(a).unionByName(b)
+
+
 def _all(tables: list[DataFrame]) -> DataFrame:
     out = tables[0]
     for t in tables[1:]:
@@ -221,20 +257,30 @@ def _all(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _pivot_pairs(rest: DataFrame, percent: int) -> DataFrame:
-    """Members of large nodes with each of a few pivots of their node."""
-    best = [F.min(F.struct(F.xxhash64(F.lit(i), "class").alias("h"), *_CARRIED)).alias(f"p{i}") for i in range(PIVOTS)]
-    pivots = rest.groupBy("node").agg(*best).select("node", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).select("node", "p.*")
-    return _pairs(rest, cut_lineage(pivots), F.col("x.class") != F.col("y.class"), percent)
-
-
 def _across_components(rest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """All pairs in large nodes whose members are in different components: those outside a node's leading component against all."""
     root = F.coalesce("root", "class").alias("root")
     placed = cut_lineage(rest.join(roots.withColumnRenamed("node", "of"), F.col("class") == F.col("of"), "left").select("node", *_CARRIED, root))
     leading = placed.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(F.max(F.struct("n", "root")).alias("lead"))
     outside = placed.join(leading.select("node", "lead.root"), ["node", "root"], "left_anti")
-    return _pairs(cut_lineage(outside), placed, F.col("x.root") != F.col("y.root"), percent)
+    return _pairs(cut_lineage(outside), placed, F.col("x.root") != F.col("y.root"), percent, _in_order(percent)).select("a", "b")
+
+
+def _with_followers(led: DataFrame, followers: DataFrame, classes: DataFrame, percent: int, deviations: float) -> DataFrame:
+    """Pairs (a, b) that may be linked between a set within a leader's reach and the leader's followers, or theirs with one another.
+
+    ``led`` holds pairs (a, b) in different components; either may lead. ``near`` is the set that met the leader.
+    """
+    sketch = classes.select(*_CARRIED)
+    both = led.select(F.col("a").alias("near"), F.col("b").alias("leader")).unionByName(led.select(F.col("b").alias("near"), F.col("a").alias("leader"))).distinct()
+    # A near set stands for itself and, when it leads, for its followers.
+    stands = followers.select(F.col("leader").alias("near"), F.col("follower").alias("class"))
+    own = both.select("near", F.col("near").alias("class")).distinct()
+    x = own.unionByName(stands.join(own.select("near").distinct(), "near", "left_semi")).join(sketch, "class")
+    y = followers.select(F.col("leader"), F.col("follower").alias("class")).join(both.select("leader").distinct(), "leader", "left_semi").join(sketch, "class")
+    meet = both.alias("m").join(x.alias("x"), F.col("m.near") == F.col("x.near"))
+    joined = meet.join(y.alias("y"), (F.col("m.leader") == F.col("y.leader")) & _may_be_alike("x", "y", percent, deviations))
+    return joined.select("x.near", *_in_order(percent)[:3])
 
 
 def _filter_words(ids: DataFrame) -> np.ndarray:
@@ -248,8 +294,9 @@ def _filter_words(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
-    """(class, shingles) of the documents that represent the wanted classes, and of a few others."""
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
+    """(class, shingles) of the wanted classes, made again from the documents that represent them."""
+    wanted = cut_lineage(classes.select("class", "doc_id").join(wanted.distinct(), "class", "left_semi"))
     shared = docs.sparkSession.sparkContext.broadcast(_filter_words(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +314,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), pa.array(sets, pa.binary())], ["class", "shingles"])
 
     rows = docs.filter("doc_id IS NOT NULL").select("text", F.xxhash64("doc_id", F.lit(0)), F.xxhash64("doc_id", F.lit(1)))
-    return rows.mapInArrow(run, "class binary, shingles binary").join(wanted.select("class"), "class", "left_semi")
+    return cut_lineage(rows.mapInArrow(run, "class binary, shingles binary").join(wanted.select("class"), "class", "left_semi"))
+
+
+def _followers(docs: DataFrame, classes: DataFrame, like: Likeness, small: int) -> tuple[DataFrame, DataFrame]:
+    """(follower, leader): members of large nodes linked with their closest pivot; and the sets this took.
+
+    A pivot has the least hash of its node, so no leader follows its follower.
+    """
+    rows = _branched(classes, STEP, PIVOT_TREES)
+    large = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > small).select("node"))
+    met = _pivot_pairs(rows, large, like.percent)
+    closest = cut_lineage(met.groupBy("member").agg(F.min_by("pivot", F.struct("distance", "pivot")).alias("b")).withColumnRenamed("member", "a"))
+    sets = _sets(docs, classes, closest.select(F.col("a").alias("class")).unionByName(closest.select(F.col("b").alias("class"))), like)
+    linked = confirmed(closest, sets, like.percent)
+    return cut_lineage(linked.select(F.col("a").alias("follower"), F.col("b").alias("leader"))), sets
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -308,28 +369,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = F.min(F.struct("doc_id", "size", "minwise", "s0", "s1", "s2", "s3")).alias("first")
     in_a_class = signed.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = cut_lineage(in_a_class.groupBy("class").agg(first).select("class", "first.*"))
-    pairs, rest = _tree_pairs(classes, like.percent, trees, small, deepest)
-    if rest is not None:
-        pairs = _distinct(pairs.unionByName(_pivot_pairs(rest, like.percent)))
+    followers, sets = _followers(rows, classes, like, small)
+    leads = followers.select(F.col("leader").alias("class")).distinct()
+    gone = followers.select(F.col("follower").alias("class")).join(leads, "class", "left_anti")
+    staying = cut_lineage(classes.join(gone, "class", "left_anti"))
+    pairs, rest = _tree_pairs(staying, followers, like.percent, trees, small, deepest)
     pairs = cut_lineage(pairs)
-    involved = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
     if rest is not None:
-        involved = involved.unionByName(rest.select("class"))
-    wanted = cut_lineage(classes.select("class", "doc_id").join(involved.distinct(), "class", "left_semi"))
-    sets = cut_lineage(_sets(rows, wanted, like))
-    closest = pairs.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b")
-    links = cut_lineage(confirmed(closest, sets, like.percent))
+        wanted = wanted.unionByName(rest.select("class"))
+    sets = sets.unionByName(_sets(rows, classes, wanted.join(sets, "class", "left_anti"), like))
+
+    alike = pairs.filter("linked")
+    closest = alike.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b")
+    links = cut_lineage(confirmed(closest, sets, like.percent).unionByName(followers.select(F.col("leader").alias("a"), F.col("follower").alias("b"))))
     roots = connected(links)
-    open_pairs = _between_components(pairs, roots)
+    led = cut_lineage(_linked_or_led(pairs.withColumn("linked", F.lit(False)), followers).select("a", "b"))
+    if not led.isEmpty():
+        # The likeliest follower first: most near sets then are in the component, and the search below has little to do.
+        likely = _with_followers(_between_components(led, roots), followers, classes, like.percent, 0.0)
+        likely = likely.groupBy("near").agg(F.min_by(F.struct("a", "b"), F.struct("distance", "a", "b")).alias("pair")).select("pair.*").distinct()
+        links, roots = _extended(links, roots, likely, sets, like.percent)
+    left = _between_components(alike.select("a", "b"), roots).join(closest, ["a", "b"], "left_anti")
+    left = left.unionByName(_with_followers(_between_components(led, roots), followers, classes, like.percent, 4.0).select("a", "b"))
     if rest is not None:
-        open_pairs = open_pairs.unionByName(_across_components(rest, roots, like.percent).select("a", "b")).distinct()
-    open_pairs = cut_lineage(open_pairs.join(closest, ["a", "b"], "left_anti"))
-    more = cut_lineage(confirmed(open_pairs, sets, like.percent))
-    if not more.isEmpty():
-        roots = connected(links.unionByName(more))
+        left = left.unionByName(_across_components(rest, roots, like.percent))
+    _, roots = _extended(links, roots, left.distinct(), sets, like.percent)
     return _labelled(signed.select("doc_id", "size", "class"), classes.select("class", F.col("doc_id").alias("head")), roots)
 
 
+def _extended(links: DataFrame, roots: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links and components with those of the pairs that are confirmed."""
+    more = cut_lineage(confirmed(cut_lineage(pairs), sets, percent))
+    if more.isEmpty():
+        return links, roots
+    links = links.unionByName(more)
+    return links, connected(links)
+
+
 def _between_components(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     a, b = (roots.select(F.col("node").alias(f"of_{n}"), F.col("root").alias(f"root_{n}")) for n in "ab")
     placed = pairs.join(a, F.col("a") == F.col("of_a"), "left").join(b, F.col("b") == F.col("of_b"), "left")

@@ -58,7 +58,7 @@ def test_groups_of_all_sizes(spark):
 
 @pytest.mark.parametrize("small,deepest", [(4, 4), (8, 2)])
 def test_large_nodes_at_the_deepest_level(spark, small, deepest):
-    """Pivots and the comparison across components take over where branching ends."""
+    """Leaders, and the comparison across components where branching ends."""
     rng = random.Random(9)
     rows = family(rng, 0, 60, 0.03) + family(rng, 100, 40, 0.06) + [(300 + i, prose(rng, 20)) for i in range(30)]
     got = result(chosen_path.near_duplicates(documents(spark, rows), like=chosen_path.Likeness(2, 80), small=small, deepest=deepest))
@@ -81,7 +81,7 @@ def test_threshold_is_exact(spark):
 
 
 def test_sketch_cut():
-    assert chosen_path.largest_distance(80) == 48
+    assert chosen_path.largest_distance(80) == 45 and chosen_path.largest_distance(80, 0.0) == 26 and chosen_path.reach(80) == 60
 
 
 def test_components_of_chains_and_stars(spark):
