@@ -710,12 +710,13 @@ def _landed_feed(t: Inputs, rows: DataFrame, label: str, batches: int = 1) -> Da
 
 @query
 def retail_visits_stream(t: Inputs) -> DataFrame:
-    """Visits closed by the watermark; the feed is read in the order it was stored."""
-    stream = t.tables.follow("pos_events")
-    visits_out = live_visits.visit_stream(stream, VISIT_LATENESS)
-    return feeds.drain_to_files(
-        visits_out, scratch_path(t.spark, "visits"), feeds.new_checkpoint(t.spark, "visits")
-    )
+    """All visits: those the watermark closes, then those still open when the feed has ended."""
+    stream, markers = t.tables.follow("pos_events"), scratch_path(t.spark, "end-of-feed")
+    path, checkpoint = scratch_path(t.spark, "visits"), feeds.new_checkpoint(t.spark, "visits")
+    visits_out = live_visits.visit_stream(live_visits.with_end_of_feed(stream, markers), VISIT_LATENESS)
+    feeds.drain_to_files(visits_out, path, checkpoint)
+    live_visits.close_feed(t.spark, stream.schema, markers)
+    return feeds.drain_to_files(visits_out, path, checkpoint)
 
 
 @query

@@ -697,12 +697,8 @@ def oracle_sql() -> dict[str, str]:
     )
 
     out["retail_visits_stream"] = _sql(
-        {
-            **_visits("pos_events"),
-            "closing": "SELECT date_trunc('minute', max(order_date)) - INTERVAL 30 MINUTE AS mark FROM pos_events WHERE channel = 'retail'",
-        },
-        f"SELECT customer_id, store_id, {_moment('visit_start')}, {_moment('visit_end')}, transaction_count, {_amount('visit_total')} "
-        "FROM visits, closing WHERE date_trunc('minute', visit_end) + INTERVAL 930 SECOND <= mark",
+        _visits("pos_events"),
+        f"SELECT customer_id, store_id, {_moment('visit_start')}, {_moment('visit_end')}, transaction_count, {_amount('visit_total')} FROM visits",
     )
     last_change = "SELECT * FROM product_changes QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY change_id DESC) = 1"
     out["cdc_upsert_sync"] = _sql(
