@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -151,7 +150,7 @@ def apply_stretches(docs: DataFrame, stretches: DataFrame, id_col: str = "doc_id
     """
     found = stretches.select(F.col("doc_id").alias("_of"), F.col("row_hash").alias("_of_hash"), F.col("stretches").alias("_stretches"))
     both = docs.join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col("_of")) & (F.xxhash64(text_col) == F.col("_of_hash")), "left")
-    shortened = both.withColumn("_left", F.pandas_udf(_shortened, "string")(F.col(text_col), F.col("_stretches")))
+    shortened = both.withColumn("_left", F.arrow_udf(_shortened, "string")(F.col(text_col), F.col("_stretches")))
     kept = shortened.filter(F.col("_left").isNull() | (F.trim("_left") != ""))
     out = kept.withColumn(text_col, F.coalesce("_left", text_col))
     if chars_col in docs.columns:
@@ -160,8 +159,8 @@ def apply_stretches(docs: DataFrame, stretches: DataFrame, id_col: str = "doc_id
     return out.select(*docs.columns)
 
 
-def _shortened(texts: pd.Series, stretches: pd.Series) -> pd.Series:
-    return pd.Series([None if found is None else without(text, found)[0] for text, found in zip(texts, stretches)], dtype=object)
+def _shortened(texts: pa.Array, stretches: pa.Array) -> pa.Array:
+    return pa.array([without(text.as_py(), found.as_py())[0] if found.is_valid else None for text, found in zip(texts, stretches)], pa.string())
 
 
 def without(text: str | None, stretches: Sequence[dict] | None) -> tuple[str | None, int, int]:
@@ -170,5 +169,5 @@ def without(text: str | None, stretches: Sequence[dict] | None) -> tuple[str | N
         return None, 0, 0
     lines = text.split("\n")
     numbers = [i for i, line in enumerate(lines) if line.strip()]
-    gone = {numbers[i] for s in (() if stretches is None else stretches) for i in range(s["first"], s["last"] + 1)}
+    gone = {numbers[i] for s in stretches or () for i in range(s["first"], s["last"] + 1)}
     return "\n".join([line for i, line in enumerate(lines) if i not in gone]) if gone else text, len(numbers), len(gone)
