@@ -24,22 +24,27 @@ def change_log(
     pairs = before.select(F.struct(*columns).alias("old")).join(
         after.select(F.struct(*columns).alias("new")), F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer"
     )
-    changed = pairs.filter(~F.col("old").eqNullSafe(F.col("new")))
-    action = (
-        F.when(F.col("old").isNull(), F.lit("INSERT")).when(F.col("new").isNull(), F.lit("DELETE")).otherwise(F.lit("UPDATE"))
-    )
     stamps = []
     if changed_by is not None:
         stamps.append(F.lit(changed_by).alias("changed_by"))
     if changed_at is not None:
         stamps.append(F.lit(changed_at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("changed_at"))
+    return log_rows(pairs, columns, key, table, stamps)
+
+
+def log_rows(pairs: DataFrame, columns: list[str], key: str, table: str, more: list[Column]) -> DataFrame:
+    """A log row for each pair of structs ``old`` and ``new`` that differ; null stands for no row."""
+    changed = pairs.filter(~F.col("old").eqNullSafe(F.col("new")))
+    action = (
+        F.when(F.col("old").isNull(), F.lit("INSERT")).when(F.col("new").isNull(), F.lit("DELETE")).otherwise(F.lit("UPDATE"))
+    )
     return changed.select(
         F.lit(table).alias("table_name"),
         action.alias("action_name"),
         F.coalesce(f"new.{key}", f"old.{key}").cast("string").alias("record_id"),
         F.when(F.col("old").isNotNull(), _image("old", columns)).alias("old_data"),
         F.when(F.col("new").isNotNull(), _image("new", columns)).alias("new_data"),
-        *stamps,
+        *more,
     )
 
 

@@ -706,14 +706,21 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT product_id, name, {_amount('price')} FROM search_copy WHERE product_id NOT IN (SELECT product_id FROM latest) "
         f"UNION ALL SELECT product_id, name, {_amount('price')} FROM latest WHERE op <> 'd'",
     )
+    image = "'{{\"product_id\":' || product_id || ',\"name\":\"' || {0}name || '\",\"price\":' || {0}price || '}}'"
     out["audit_change_stream"] = _sql(
-        {"product_changes": None, "search_copy": None, "latest": last_change, "live": "SELECT * FROM latest WHERE op <> 'd'"},
-        "SELECT 'products' AS table_name, CASE WHEN b.product_id IS NULL THEN 'INSERT' WHEN a.product_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS action_name, "
-        "CAST(l.product_id AS VARCHAR) AS record_id, "
-        "'{\"product_id\":' || b.product_id || ',\"name\":\"' || b.name || '\",\"price\":' || b.price || '}' AS old_data, "
-        "'{\"product_id\":' || a.product_id || ',\"name\":\"' || a.name || '\",\"price\":' || a.price || '}' AS new_data "
-        "FROM latest l LEFT JOIN search_copy b ON b.product_id = l.product_id LEFT JOIN live a ON a.product_id = l.product_id "
-        "WHERE (b.product_id IS NOT NULL OR a.product_id IS NOT NULL) AND (b.name IS DISTINCT FROM a.name OR b.price IS DISTINCT FROM a.price)",
+        {
+            "product_changes": None,
+            "search_copy": None,
+            "steps": "SELECT c.change_id, c.product_id, c.op, c.name, c.price, b.product_id IS NOT NULL AS held, b.name AS held_name, b.price AS held_price, "
+            "row_number() OVER w = 1 AS is_first, lag(c.op) OVER w AS last_op, lag(c.name) OVER w AS last_name, lag(c.price) OVER w AS last_price "
+            "FROM product_changes c LEFT JOIN search_copy b ON b.product_id = c.product_id WINDOW w AS (PARTITION BY c.product_id ORDER BY c.change_id)",
+            "states": "SELECT change_id, product_id, op <> 'd' AS lives, CASE WHEN is_first THEN held ELSE last_op <> 'd' END AS lived, name, price, "
+            "CASE WHEN is_first THEN held_name ELSE last_name END AS old_name, CASE WHEN is_first THEN held_price ELSE last_price END AS old_price FROM steps",
+        },
+        "SELECT 'products' AS table_name, CASE WHEN NOT lived THEN 'INSERT' WHEN NOT lives THEN 'DELETE' ELSE 'UPDATE' END AS action_name, "
+        f"CAST(product_id AS VARCHAR) AS record_id, CASE WHEN lived THEN {image.format('old_')} END AS old_data, "
+        f"CASE WHEN lives THEN {image.format('')} END AS new_data, change_id FROM states "
+        "WHERE lived <> lives OR (lives AND (name IS DISTINCT FROM old_name OR price IS DISTINCT FROM old_price))",
     )
     out["outbox_lag_stream"] = out["outbox_lag_alert"]
     out["stock_reserve_stream"] = _sql(

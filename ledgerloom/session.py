@@ -85,3 +85,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names under a folder of any store Spark reaches; none if it is not there."""
+    system, folder = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this application wrote and no longer reads."""
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)

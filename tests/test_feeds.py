@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -47,15 +48,45 @@ def test_audit_over_batches(spark, tmp_path):
     )
     feeds.drain(stream, handler, str(tmp_path / "ckpt"))
     log = spark.read.parquet(str(tmp_path / "log")).collect()
-    got = {(r.batch_id, r.record_id, r.action_name, r.old_data, r.new_data) for r in log}
+    got = {(r.change_id, r.record_id, r.action_name, r.old_data, r.new_data) for r in log}
     assert got == {
-        (0, "1", "UPDATE", '{"product_id":1,"name":"a"}', '{"product_id":1,"name":"a1"}'),
-        (0, "3", "INSERT", None, '{"product_id":3,"name":"c"}'),
-        (1, "2", "DELETE", '{"product_id":2,"name":"b"}', None),
-        (1, "3", "UPDATE", '{"product_id":3,"name":"c"}', '{"product_id":3,"name":"c2"}'),
+        (1, "1", "UPDATE", '{"product_id":1,"name":"a"}', '{"product_id":1,"name":"a1"}'),
+        (2, "3", "INSERT", None, '{"product_id":3,"name":"c"}'),
+        (4, "2", "DELETE", '{"product_id":2,"name":"b"}', None),
+        (5, "3", "UPDATE", '{"product_id":3,"name":"c"}', '{"product_id":3,"name":"c2"}'),
     }
 
 
+def test_audit_does_not_depend_on_batches_and_reads_a_bounded_number_of_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(changes, "ABSORB_EVERY", 3)
+    monkeypatch.setattr(changes, "RUN_LENGTH", 4)
+    rng = random.Random(8)
+    rows = [(i, rng.randrange(3), rng.choice("uuud"), rng.choice("xyz")) for i in range(40)]
+    base = spark.createDataFrame([(0, "a"), (1, "x")], "product_id int, name string")
+    logs, folders = [], []
+    for size in (40, 5):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        where = str(tmp_path / str(size))
+        handle = changes.record_audit(base, f"{where}/changes", f"{where}/log", "product_id", ["change_id"], "products", spark.createDataFrame(rows[:1], CHANGE).schema)
+        for number, part in enumerate(parts):
+            handle(spark.createDataFrame(part, CHANGE), number)
+            folders.append(len(changes.child_names(spark, f"{where}/changes")))
+        logs.append(sorted(tuple(r) for r in spark.read.parquet(f"{where}/log").drop("batch_id").select("change_id", "action_name").collect()))
+    assert logs[0] == logs[1] and len(logs[0]) > 15
+    assert max(folders) <= 4
+
+
+def test_a_processed_event_stays_processed(spark, tmp_path):
+    schema = "event_id long, created_at timestamp_ntz, processed boolean"
+    as_of = datetime(2024, 1, 1, 12)
+    row = lambda processed: spark.createDataFrame([(1, datetime(2024, 1, 1, 10), processed)], schema)
+    handle = changes.watch_outbox(str(tmp_path / "state"), str(tmp_path / "lag"), lambda _: as_of, row(True).schema)
+    for number, processed in enumerate([True, False, False, False]):
+        handle(row(processed), number)
+    assert {r.lag for r in spark.read.parquet(str(tmp_path / "lag")).collect()} == {0}
+    assert changes.child_names(spark, str(tmp_path / "state")) == ["v2", "v3"]
+
+
 @pytest.mark.parametrize("fair_share", [2.0, 0.25])
 def test_reservation_feed_equals_batch(spark, tmp_path, fair_share):
     rng = random.Random(8)
