@@ -147,6 +147,17 @@ def net_revenue_fact(t: Inputs) -> DataFrame:
     )
 
 
+@query
+def fact_repair(t: Inputs) -> DataFrame:
+    """A fact loaded before late cancellations and a price change, mended from the changed orders alone."""
+    changed = F.col("order_id") % 7 == 0
+    before = t.pos_orders.withColumn("status", F.when(changed, F.lit("completed")).otherwise(F.col("status")))
+    old_prices = t.items.withColumn("unit_price", F.when(changed, F.lit(1)).otherwise(F.col("unit_price")).cast(t.items.schema["unit_price"].dataType))
+    others = (t.refunds, t.order_promotions, t.promotions, t.customer_dim, t.time_dim, t.store_dim)
+    stale = facts.net_revenue_fact(before, old_prices, *others)
+    return facts.repair_fact(stale, t.pos_orders.filter(changed), t.pos_orders, t.items, *others)
+
+
 @query
 def gross_revenue_by_order(t: Inputs) -> DataFrame:
     return facts.gross_revenue_by_order(t.pos_orders, t.items)

@@ -220,6 +220,12 @@ def oracle_sql() -> dict[str, str]:
         f"{_moment('order_date')}, {_day('ship_date')}, {_day('payment_received_date')} FROM fact "
         "WHERE order_id NOT IN (SELECT order_id FROM loaded_orders)",
     )
+    out["fact_repair"] = _sql(
+        _FACT_PARTS,
+        "SELECT order_id, customer_key, time_key, store_key, channel, "
+        f"{_amount('gross_revenue')}, {_amount('refund_amount')}, {_amount('discount_amount')}, {_amount('net_revenue')}, "
+        f"{_moment('order_date')}, {_day('ship_date')}, {_day('payment_received_date')} FROM fact",
+    )
     out["gross_revenue_by_order"] = _sql(
         {"pos_orders": None, "items": None, "gross": _GROSS},
         f"SELECT order_id, customer_id, {_moment('order_date')}, {_day('ship_date')}, {_day('payment_received_date')}, "
