@@ -65,6 +65,16 @@ def number_arrivals(rows: DataFrame, order: list[str], name: str = "seq") -> Dat
     return cut_lineage(rows.orderBy(*order).withColumn(name, F.monotonically_increasing_id()))
 
 
+def number_densely(rows: DataFrame, order: list[str], name: str = "seq") -> DataFrame:
+    """Number rows 0, 1, 2, ... in ``order``: a generated id tells partition and position, and partitions are counted."""
+    staged = number_arrivals(rows, order, "_id").withColumn("_part", F.shiftrightunsigned("_id", 33))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    counted = staged.groupBy("_part").agg(F.count("*").alias("_n"))
+    offsets = counted.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    position = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return staged.join(offsets, "_part").select(*rows.columns, (F.col("_offset") + position).alias(name))
+
+
 def _split_null_keys(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a full key, and rows no key can match; the latter need no shuffle."""
     missing = F.lit(False)

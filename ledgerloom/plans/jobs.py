@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import dimensions, facts, inventory, json_clean, privacy, quality, serving
+from ledgerloom.operators import dimensions, facts, folds, inventory, json_clean, privacy, quality, serving
 from ledgerloom.sources import tables
 
 FACT_MONTH = "order_month"
@@ -43,17 +43,17 @@ class Sources:
 def refresh_customer_dim(dim: DataFrame, staging: DataFrame, as_of: date, path: str, order: list[str]) -> DataFrame:
     """Apply the night's changes, give new versions their keys and store the new dimension.
 
-    Keys continue after the highest one: new rows are numbered by a distributed
-    sort, so no task sees them all. The old dimension stays as it was.
+    Keys continue after the highest one without gaps: new rows are numbered by a
+    distributed sort, so no task sees them all. The old dimension stays as it was.
     """
     changed = dimensions.apply_scd2_changes(dim, staging, as_of, order)
     stored = tables.write_new(changed, f"{path}/unkeyed")
     keyed = stored.filter(F.col("customer_key").isNotNull())
-    fresh = stored.filter(F.col("customer_key").isNull()).orderBy("customer_id", "effective_from")
+    fresh = folds.number_densely(stored.filter(F.col("customer_key").isNull()), ["customer_id", "effective_from"], "_number")
     highest = dim.agg(F.coalesce(F.max("customer_key"), F.lit(0)).alias("_top")).first()["_top"]
     numbered = fresh.withColumn(
-        "customer_key", (F.monotonically_increasing_id() + highest + 1).cast(dim.schema["customer_key"].dataType)
-    )
+        "customer_key", (F.col("_number") + highest + 1).cast(dim.schema["customer_key"].dataType)
+    ).drop("_number")
     return tables.write_new(keyed.unionByName(numbered), f"{path}/dim")
 
 

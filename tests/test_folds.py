@@ -219,3 +219,9 @@ def test_a_chain_of_baskets_ends_in_few_rounds(spark, caplog):
         ).collect()
     assert {r.order_id: r.outcome for r in got} == {i: "REFUSED" if i % 2 else "ACCEPTED" for i in range(200)}
     assert len(caplog.records) <= 3
+
+
+def test_dense_numbers_follow_order(spark):
+    rows = [(i * 7919 % 1000,) for i in range(1000)]
+    numbered = folds.number_densely(spark.createDataFrame(rows, "k int").repartition(6), ["k"]).collect()
+    assert sorted((r.seq, r.k) for r in numbered) == [(i, i) for i in range(1000)]
