@@ -98,7 +98,8 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = cut_lineage(find_windows(docs, id_col, text_col, min_words))
     position = F.struct("doc_id", "row_hash", "place")
     anchors = found.groupBy("fingerprint").agg(F.min(position).alias("a"), F.max(position).alias("b")).filter(F.col("a") != F.col("b"))
-    near = found.join(anchors.select("fingerprint"), "fingerprint", "left_semi")
+    # Stored, so that both sides of the join come from a shuffle and a hot fingerprint's rows can be split.
+    near = found.join(cut_lineage(anchors.select("fingerprint")), "fingerprint", "left_semi")
     occurrence = F.struct("doc_id", "row_hash", "first")
     starts = near.groupBy("window").agg(F.min(occurrence).alias("kept"), F.max(occurrence).alias("other")).filter(F.col("kept") != F.col("other"))
     starts = cut_lineage(starts.select("window", "kept"))
