@@ -266,8 +266,8 @@ def _across_components(rest: DataFrame, roots: DataFrame, percent: int) -> DataF
     return _pairs(cut_lineage(outside), placed, F.col("x.root") != F.col("y.root"), percent, _in_order(percent)).select("a", "b")
 
 
-def _with_followers(led: DataFrame, followers: DataFrame, classes: DataFrame, percent: int, deviations: float) -> DataFrame:
-    """Pairs (a, b) that may be linked between a set within a leader's reach and the leader's followers, or theirs with one another.
+def _with_followers(led: DataFrame, followers: DataFrame, classes: DataFrame, percent: int, deviations: float, and_its: bool) -> DataFrame:
+    """Pairs (a, b) that may be linked between a set within a leader's reach and the leader's followers; with ``and_its``, also between its own followers and those.
 
     ``led`` holds pairs (a, b) in different components; either may lead. ``near`` is the set that met the leader.
     """
@@ -276,7 +276,9 @@ def _with_followers(led: DataFrame, followers: DataFrame, classes: DataFrame, pe
     # A near set stands for itself and, when it leads, for its followers.
     stands = followers.select(F.col("leader").alias("near"), F.col("follower").alias("class"))
     own = both.select("near", F.col("near").alias("class")).distinct()
-    x = own.unionByName(stands.join(own.select("near").distinct(), "near", "left_semi")).join(sketch, "class")
+    if and_its:
+        own = own.unionByName(stands.join(own.select("near").distinct(), "near", "left_semi"))
+    x = own.join(sketch, "class")
     y = followers.select(F.col("leader"), F.col("follower").alias("class")).join(both.select("leader").distinct(), "leader", "left_semi").join(sketch, "class")
     meet = both.alias("m").join(x.alias("x"), F.col("m.near") == F.col("x.near"))
     joined = meet.join(y.alias("y"), (F.col("m.leader") == F.col("y.leader")) & _may_be_alike("x", "y", percent, deviations))
@@ -387,11 +389,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = cut_lineage(_linked_or_led(pairs.withColumn("linked", F.lit(False)), followers).select("a", "b"))
     if not led.isEmpty():
         # The likeliest follower first: most near sets then are in the component, and the search below has little to do.
-        likely = _with_followers(_between_components(led, roots), followers, classes, like.percent, 0.0)
+        likely = _with_followers(_between_components(led, roots), followers, classes, like.percent, 0.0, False)
         likely = likely.groupBy("near").agg(F.min_by(F.struct("a", "b"), F.struct("distance", "a", "b")).alias("pair")).select("pair.*").distinct()
         links, roots = _extended(links, roots, likely, sets, like.percent)
     left = _between_components(alike.select("a", "b"), roots).join(closest, ["a", "b"], "left_anti")
-    left = left.unionByName(_with_followers(_between_components(led, roots), followers, classes, like.percent, 4.0).select("a", "b"))
+    left = left.unionByName(_with_followers(_between_components(led, roots), followers, classes, like.percent, 4.0, True).select("a", "b"))
     if rest is not None:
         left = left.unionByName(_across_components(rest, roots, like.percent))
     _, roots = _extended(links, roots, left.distinct(), sets, like.percent)
