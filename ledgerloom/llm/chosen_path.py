@@ -10,14 +10,14 @@ unlike sets part quickly. A node with at most ``small`` members is compared
 exhaustively; a larger one branches again.
 
 Sets that are much alike would stay together at every level. So the members of
-a large node are first compared with a pivot of the node. A member confirmed to
-be linked with its closest pivot is that leader's follower and leaves the trees;
-leaders stay. By the triangle inequality of the Jaccard distance a set linked
-with a follower has a similarity of at least 0.6 with the leader, so sets that
-meet a leader within that reach, but are not in its component in the end, are
-compared with its followers. Members that are still together in a large node
-after ``deepest`` levels are compared wherever their components differ. Nothing
-is capped.
+large nodes are first compared with a pivot of the node, and those confirmed to
+be linked with their closest pivot follow it. All sets stay in the trees, as a
+link between followers says little about their leaders; but pairs that this has
+put into one component are not compared. A large node with at most ``small``
+members outside its largest component is compared exhaustively as well, those
+against all; one that lies in one component has nothing to find. Members that
+are still together in another large node after ``deepest`` levels are compared
+wherever their components differ. Nothing is capped.
 
 Comparisons are first made on 256-bit sketches (one bit of a minimum each),
 whose cut lies 4 standard deviations under the threshold, and then confirmed
@@ -151,8 +151,9 @@ def _signatures(docs: DataFrame, like: Likeness) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, size bigint, class binary, minwise binary, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
 
 
-_CARRIED = ["class", "size", "s0", "s1", "s2", "s3"]
-_NODE_SCHEMA = "node bigint, class binary, size bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+# ``root`` names the component that is known of a class, null if there is none.
+_CARRIED = ["class", "root", "size", "s0", "s1", "s2", "s3"]
+_NODE_SCHEMA = "node bigint, class binary, root binary, size bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
 
 
 def _branched(rows: DataFrame, levels: int, trees: int = 0) -> DataFrame:
@@ -196,19 +197,23 @@ def _may_be_alike(a: str, b: str, percent: float, deviations: float = 4.0) -> Co
     return sizes & (_distance(a, b) <= largest_distance(percent, deviations))
 
 
-def _in_order(percent: float) -> list[Column]:
-    """Columns of a pair (x, y): the classes in order, their distance, and whether they may be linked."""
-    linked = _may_be_alike("x", "y", percent).alias("linked")
-    return [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"), _distance("x", "y").alias("distance"), linked]
+def _apart() -> Column:
+    """Whether x and y are not known to be in one component."""
+    return F.coalesce(F.col("x.root") != F.col("y.root"), F.lit(True))
+
+
+def _in_order() -> list[Column]:
+    """Columns of a pair (x, y): the classes in order and their distance."""
+    return [F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"), _distance("x", "y").alias("distance")]
 
 
 def _pairs(a: DataFrame, b: DataFrame, when: Column, percent: float, columns: list[Column]) -> DataFrame:
-    """Pairs of different classes in one node with at least this similarity, as far as sketches tell."""
+    """Pairs of classes in one node that may be linked, as far as sketches tell."""
     return a.alias("x").join(b.alias("y"), (F.col("x.node") == F.col("y.node")) & when & _may_be_alike("x", "y", percent)).select(*columns)
 
 
 def _distinct(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked"))
+    return pairs.groupBy("a", "b").agg(F.min("distance").alias("distance"))
 
 
 def _pivot_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
@@ -220,34 +225,48 @@ def _pivot_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     return _pairs(members, pivots, F.col("x.class") != F.col("y.class"), percent, pair)
 
 
-def _tree_pairs(classes: DataFrame, leaders: DataFrame, percent: int, trees: int, small: int, deepest: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs from small nodes, those within a leader's reach included, and the rows of large nodes at the deepest level (None if there are none)."""
-    found, depth = [], STEP
+def _leading(many: DataFrame) -> DataFrame:
+    """(node, lead, outside): the component with most members of each node, and the number of those outside."""
+    by_root = many.groupBy("node", F.coalesce("root", "class").alias("root")).agg(F.count(F.lit(1)).alias("n"))
+    found = by_root.groupBy("node").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
+    return found.select("node", F.col("most.root").alias("lead"), (F.col("n") - F.col("most.n")).alias("outside"))
+
+
+def _closest_inside(outside: DataFrame, many: DataFrame, percent: int) -> DataFrame:
+    """The closest set of another component for each member outside its node's leading one."""
+    pair = [F.col("x.class").alias("member"), F.col("y.class").alias("met"), _distance("x", "y").alias("distance")]
+    met = _pairs(outside, many, (F.col("x.class") != F.col("y.class")) & _apart(), percent, pair)
+    best = met.groupBy("member").agg(F.min(F.struct("distance", "met")).alias("best"))
+    return best.select(F.least("member", "best.met").alias("a"), F.greatest("member", "best.met").alias("b"), F.col("best.distance").alias("distance"))
+
+
+def _tree_pairs(classes: DataFrame, percent: int, trees: int, small: int, deepest: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs from small nodes and the closest ones from large nodes, and the rows of large nodes to be compared across components (None if there are none)."""
+    found, left, depth = [], [], STEP
     rows = _branched(classes, STEP, trees)
     minwise = classes.select(F.col("class").alias("of"), "minwise")
     while True:
         large = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > small).select("node"))
         few = rows.join(large, "node", "left_anti")
-        near = _distinct(_pairs(few, few, F.col("x.class") < F.col("y.class"), reach(percent), _in_order(percent)))
-        found.append(cut_lineage(_linked_or_led(near, leaders)))
+        found.append(cut_lineage(_distinct(_pairs(few, few, (F.col("x.class") < F.col("y.class")) & _apart(), percent, _in_order()))))
         if large.isEmpty():
-            return _distinct(_all(found)), None
-        many = rows.join(large, "node", "left_semi")
+            break
+        leading = cut_lineage(_leading(rows.join(large, "node", "left_semi")).filter("outside > 0"))
+        many = cut_lineage(rows.join(leading, "node", "left_semi"))
+        ending = leading if depth >= deepest else leading.filter(F.col("outside") <= small)
+        if not ending.isEmpty():
+            last = many.join(ending, "node").select("node", *_CARRIED, "lead")
+            outside = last.filter(F.coalesce("root", "class") != F.col("lead")).drop("lead")
+            left.append(cut_lineage(last.drop("lead")))
+            found.append(cut_lineage(_closest_inside(cut_lineage(outside), left[-1], percent)))
         if depth >= deepest:
-            many = cut_lineage(many)
-            led = cut_lineage(many.join(leaders.select(F.col("leader").alias("class")).distinct(), "class", "left_semi").select("node", *_CARRIED))
-            found.append(cut_lineage(_distinct(_pairs(led, many, F.col("x.class") != F.col("y.class"), reach(percent), _in_order(percent)))))
-            return _distinct(_all(found)), many
+            break
+        many = many.join(ending, "node", "left_anti")
+        if many.isEmpty():
+            break
         rows = cut_lineage(_branched(many.join(minwise, F.col("class") == F.col("of")), STEP))
         depth += STEP
-
-
-def _linked_or_led(pairs: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Pairs that may be linked, and those with a leader in them."""
-    led = leaders.select("leader").distinct()
-    a = pairs.filter(~F.col("linked")).join(led, F.col("a") == F.col("leader"), "left_semi")
-    b = pairs.filter(~F.col("linked")).join(led, F.col("b") == F.col("leader"), "left_semi")
-    return pairs.filter("linked").unionByName(a).unionByName(b)
+    return _distinct(_all(found)), _all(left) if left else None
 
 
 def _all(tables: list[DataFrame]) -> DataFrame:
@@ -259,30 +278,12 @@ def _all(tables: list[DataFrame]) -> DataFrame:
 
 def _across_components(rest: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """All pairs in large nodes whose members are in different components: those outside a node's leading component against all."""
-    root = F.coalesce("root", "class").alias("root")
-    placed = cut_lineage(rest.join(roots.withColumnRenamed("node", "of"), F.col("class") == F.col("of"), "left").select("node", *_CARRIED, root))
-    leading = placed.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(F.max(F.struct("n", "root")).alias("lead"))
-    outside = placed.join(leading.select("node", "lead.root"), ["node", "root"], "left_anti")
-    return _pairs(cut_lineage(outside), placed, F.col("x.root") != F.col("y.root"), percent, _in_order(percent)).select("a", "b")
-
-
-def _with_followers(led: DataFrame, followers: DataFrame, classes: DataFrame, percent: int, deviations: float, and_its: bool) -> DataFrame:
-    """Pairs (a, b) that may be linked between a set within a leader's reach and the leader's followers; with ``and_its``, also between its own followers and those.
-
-    ``led`` holds pairs (a, b) in different components; either may lead. ``near`` is the set that met the leader.
-    """
-    sketch = classes.select(*_CARRIED)
-    both = led.select(F.col("a").alias("near"), F.col("b").alias("leader")).unionByName(led.select(F.col("b").alias("near"), F.col("a").alias("leader"))).distinct()
-    # A near set stands for itself and, when it leads, for its followers.
-    stands = followers.select(F.col("leader").alias("near"), F.col("follower").alias("class"))
-    own = both.select("near", F.col("near").alias("class")).distinct()
-    if and_its:
-        own = own.unionByName(stands.join(own.select("near").distinct(), "near", "left_semi"))
-    x = own.join(sketch, "class")
-    y = followers.select(F.col("leader"), F.col("follower").alias("class")).join(both.select("leader").distinct(), "leader", "left_semi").join(sketch, "class")
-    meet = both.alias("m").join(x.alias("x"), F.col("m.near") == F.col("x.near"))
-    joined = meet.join(y.alias("y"), (F.col("m.leader") == F.col("y.leader")) & _may_be_alike("x", "y", percent, deviations))
-    return joined.select("x.near", *_in_order(percent)[:3])
+    root = F.coalesce("now", "class").alias("root")
+    now = roots.select(F.col("node").alias("of"), F.col("root").alias("now"))
+    carried = [root if c == "root" else c for c in _CARRIED]
+    placed = cut_lineage(rest.join(now, F.col("class") == F.col("of"), "left").select("node", *carried))
+    outside = placed.join(_leading(placed), "node").filter(F.col("root") != F.col("lead")).select("node", *_CARRIED)
+    return _pairs(cut_lineage(outside), placed, _apart(), percent, _in_order()).select("a", "b")
 
 
 def _filter_words(ids: DataFrame) -> np.ndarray:
@@ -320,17 +321,20 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, like: Likeness
 
 
 def _followers(docs: DataFrame, classes: DataFrame, like: Likeness, small: int) -> tuple[DataFrame, DataFrame]:
-    """(follower, leader): members of large nodes linked with their closest pivot; and the sets this took.
-
-    A pivot has the least hash of its node, so no leader follows its follower.
-    """
+    """Links (a, b) of members of large nodes with pivots: each with its closest, and one try between components; and the sets this took."""
     rows = _branched(classes, STEP, PIVOT_TREES)
     large = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > small).select("node"))
-    met = _pivot_pairs(rows, large, like.percent)
+    met = cut_lineage(_pivot_pairs(rows, large, like.percent).distinct())
     closest = cut_lineage(met.groupBy("member").agg(F.min_by("pivot", F.struct("distance", "pivot")).alias("b")).withColumnRenamed("member", "a"))
-    sets = _sets(docs, classes, closest.select(F.col("a").alias("class")).unionByName(closest.select(F.col("b").alias("class"))), like)
-    linked = confirmed(closest, sets, like.percent)
-    return cut_lineage(linked.select(F.col("a").alias("follower"), F.col("b").alias("leader"))), sets
+    sets = _sets(docs, classes, met.select(F.col("member").alias("class")).unionByName(met.select(F.col("pivot").alias("class"))), like)
+    links = cut_lineage(confirmed(closest, sets, like.percent))
+    roots = connected(links)
+    a, b = (roots.select(F.col("node").alias(f"of_{n}"), F.col("root").alias(f"root_{n}")) for n in "ab")
+    placed = met.join(a, F.col("member") == F.col("of_a"), "left").join(b, F.col("pivot") == F.col("of_b"), "left")
+    root_a, root_b = F.coalesce("root_a", "member"), F.coalesce("root_b", "pivot")
+    between = placed.filter(root_a != root_b).groupBy(F.least(root_a, root_b).alias("low"), F.greatest(root_a, root_b).alias("high"))
+    likeliest = cut_lineage(between.agg(F.min(F.struct("distance", "member", "pivot")).alias("p")).select(F.col("p.member").alias("a"), F.col("p.pivot").alias("b")))
+    return links.unionByName(cut_lineage(confirmed(likeliest, sets, like.percent))), sets
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -371,31 +375,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = F.min(F.struct("doc_id", "size", "minwise", "s0", "s1", "s2", "s3")).alias("first")
     in_a_class = signed.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = cut_lineage(in_a_class.groupBy("class").agg(first).select("class", "first.*"))
-    followers, sets = _followers(rows, classes, like, small)
-    leads = followers.select(F.col("leader").alias("class")).distinct()
-    gone = followers.select(F.col("follower").alias("class")).join(leads, "class", "left_anti")
-    staying = cut_lineage(classes.join(gone, "class", "left_anti"))
-    pairs, rest = _tree_pairs(staying, followers, like.percent, trees, small, deepest)
+    classes = classes.withColumn("root", F.lit(None).cast("binary"))
+    links, sets = _followers(rows, classes, like, small)
+    known = connected(links).select(F.col("node").alias("of"), F.col("root").alias("known"))
+    placed = cut_lineage(classes.drop("root").join(known, F.col("class") == F.col("of"), "left").drop("of").withColumnRenamed("known", "root"))
+    pairs, rest = _tree_pairs(placed, like.percent, trees, small, deepest)
     pairs = cut_lineage(pairs)
     wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
     if rest is not None:
         wanted = wanted.unionByName(rest.select("class"))
     sets = sets.unionByName(_sets(rows, classes, wanted.join(sets, "class", "left_anti"), like))
 
-    alike = pairs.filter("linked")
-    closest = alike.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b")
-    links = cut_lineage(confirmed(closest, sets, like.percent).unionByName(followers.select(F.col("leader").alias("a"), F.col("follower").alias("b"))))
+    closest = pairs.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b")
+    links = cut_lineage(confirmed(closest, sets, like.percent).unionByName(links))
     roots = connected(links)
-    led = cut_lineage(_linked_or_led(pairs.withColumn("linked", F.lit(False)), followers).select("a", "b"))
-    if not led.isEmpty():
-        # The likeliest follower first: most near sets then are in the component, and the search below has little to do.
-        likely = _with_followers(_between_components(led, roots), followers, classes, like.percent, 0.0, False)
-        likely = likely.groupBy("near").agg(F.min_by(F.struct("a", "b"), F.struct("distance", "a", "b")).alias("pair")).select("pair.*").distinct()
-        links, roots = _extended(links, roots, likely, sets, like.percent)
-    left = _between_components(alike.select("a", "b"), roots).join(closest, ["a", "b"], "left_anti")
-    left = left.unionByName(_with_followers(_between_components(led, roots), followers, classes, like.percent, 4.0, True).select("a", "b"))
+    left = _between_components(pairs.select("a", "b"), roots).join(closest, ["a", "b"], "left_anti")
     if rest is not None:
-        left = left.unionByName(_across_components(rest, roots, like.percent))
+        # The closest ones first: most members outside then are in the component, and the search below has little to do.
+        links, roots = _extended(links, roots, left, sets, like.percent)
+        left = _across_components(rest, roots, like.percent)
     _, roots = _extended(links, roots, left.distinct(), sets, like.percent)
     return _labelled(signed.select("doc_id", "size", "class"), classes.select("class", F.col("doc_id").alias("head")), roots)
 

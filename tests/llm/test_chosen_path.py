@@ -65,6 +65,21 @@ def test_large_nodes_at_the_deepest_level(spark, small, deepest):
     assert got == brute(rows, 2)
 
 
+def test_bridges_between_followers_of_unlike_leaders(spark):
+    """Two linked sets, each linked with a set of its own; those two have a similarity of 0.5."""
+    rng = random.Random(10)
+    rows = []
+    for n in range(40):
+        base = [f"b{n}w{i}" for i in range(100)]
+        places = rng.sample(range(100), 31)
+        one = list(base)
+        other = [f"o{n}w{i}" if i in places[:9] else w for i, w in enumerate(base)]
+        led = [[f"l{side}{n}w{i}" if i in at else w for i, w in enumerate(words)] for side, (words, at) in enumerate([(one, places[9:20]), (other, places[20:31])])]
+        rows += [(4 * n + i, " ".join(words)) for i, words in enumerate([one, other, *led])]
+    got = result(chosen_path.near_duplicates(documents(spark, rows), like=chosen_path.Likeness(1, 80), small=1))
+    assert got == brute(rows, 1)
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     for k in (2, 5):
