@@ -47,14 +47,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id; of repeated ids one row.
 
-    Documents with a null id are in no group and stay.
+    Documents with a null id are in no group and stay. Then passages of over 50
+    words that an earlier document holds go, wherever in its lines they begin;
+    before, they would cut near copies up that are to be dropped.
     """
     groups = chosen_path.near_duplicates(docs, like=LIKE)
     kept = groups.filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id")).distinct()
     named = docs.filter(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
     again = W.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     single = named.withColumn("_again", F.row_number().over(again)).filter(F.col("_again") == 1).drop("_again")
-    return single.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return line_winnow.apply_words(cut_lineage(single.unionByName(docs.filter(F.col("doc_id").isNull()))))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

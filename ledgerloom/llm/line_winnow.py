@@ -14,11 +14,19 @@ windows reach both forwards and backwards from each line, the union of the
 matched ones extends a match to both ends of the agreeing passage, without
 pairing documents with one another: a window links to its first occurrence only,
 however often it occurs.
+
+A passage that begins and ends inside a line need not hold ``min_words`` words
+of whole lines. So in what is left, words are winnowed as well, whatever the
+lines: of every ``PASSAGE_WORDS`` words in a row at least one run of ``RUN_WORDS``
+is selected, all stretches of ``PASSAGE_WORDS`` words around a run that occurs at
+a second place are compared, and those that were there before are deleted word
+by word. Overlapping stretches extend a match to its first and last word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +37,13 @@ from pyspark.sql import functions as F
 from ledgerloom.session import cut_lineage
 
 MIN_WORDS = 25
+# Repeated passages of this many words, that is over 50, go wherever they begin and end.
+PASSAGE_WORDS = 51
+RUN_WORDS = 26
+WORDS_KEPT = 300_000
+
+_WORD = re.compile(r"\S+")
+_U64 = np.uint64
 
 
 def line_units(text: str) -> tuple[list[int], list[bytes], np.ndarray]:
@@ -112,36 +127,162 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return later.groupBy("doc_id", "row_hash").agg(F.collect_list(stretch).alias("stretches"))
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return value
+
+
+_hashes = _WordHashes()
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    words = (text or "").split()
+    if len(_hashes) > WORDS_KEPT:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, words), _U64, len(words))
+
+
+def selected_runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of the selected runs: of ``PASSAGE_WORDS`` words in a row the run with the least hash (the last of equals)."""
+    n, span = len(words) - RUN_WORDS + 1, PASSAGE_WORDS - RUN_WORDS + 1
+    if n < span:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    runs = np.zeros(n, _U64)
+    for i in range(RUN_WORDS):
+        runs = runs * _U64(0x9E3779B97F4A7C15) + words[i : n + i]
+    runs ^= runs >> _U64(32)
+    runs *= _U64(0xD6E8FEB86659FD93)
+    runs = (runs ^ (runs >> _U64(32))).view(np.int64)
+    from_last = np.lib.stride_tricks.sliding_window_view(runs, span)[:, ::-1]
+    places = np.unique(np.arange(n - span + 1) + span - 1 - from_last.argmin(axis=1))
+    return runs[places], places
+
+
+_IDENTITY = ["doc_id", "row_hash", "text"]
+
+
+def _find_runs(rows: DataFrame) -> DataFrame:
+    """Selected runs of all documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, row_hash, text in zip(*batch.columns):
+                found, places = selected_runs(word_hashes(text.as_py()))
+                if len(found):
+                    identity = [pa.repeat(doc, len(found)), pa.repeat(row_hash, len(found))]
+                    yield pa.RecordBatch.from_arrays([*identity, pa.array(found), pa.array(places, pa.int32())], ["doc_id", "row_hash", "run", "place"])
+
+    return rows.select(*_IDENTITY).mapInArrow(run, "doc_id bigint, row_hash bigint, run bigint, place int")
+
+
+def _find_passages(rows: DataFrame) -> DataFrame:
+    """Stretches of ``PASSAGE_WORDS`` words that hold a run at one of ``places``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, row_hash, text, places in zip(*batch.columns):
+                words = word_hashes(text.as_py())
+                around = np.array(places.as_py(), np.int64)[:, None] - np.arange(PASSAGE_WORDS - RUN_WORDS + 1)
+                first = np.unique(around[(around >= 0) & (around + PASSAGE_WORDS <= len(words))])
+                digests = [xxhash.xxh3_128_digest(words[at : at + PASSAGE_WORDS].tobytes()) for at in first.tolist()]
+                identity = [pa.repeat(doc, len(first)), pa.repeat(row_hash, len(first))]
+                yield pa.RecordBatch.from_arrays([*identity, pa.array(first, pa.int32()), pa.array(digests, pa.binary())], ["doc_id", "row_hash", "first", "passage"])
+
+    return rows.select(*_IDENTITY, "places").mapInArrow(run, "doc_id bigint, row_hash bigint, first int, passage binary")
+
+
+def repeated_words(rows: DataFrame) -> DataFrame:
+    """doc_id, row_hash and the stretches (first, last) of words that repeat an earlier passage of ``PASSAGE_WORDS`` words, for rows of doc_id, row_hash and text."""
+    found = cut_lineage(_find_runs(rows))
+    position = F.struct("doc_id", "row_hash", "place")
+    shared = found.groupBy("run").agg(F.min(position).alias("a"), F.max(position).alias("b")).filter(F.col("a") != F.col("b"))
+    near = found.join(cut_lineage(shared.select("run")), "run", "left_semi")
+    # Places of one document, so a list is bounded by it.
+    places = cut_lineage(near.groupBy(F.col("doc_id").alias("of"), F.col("row_hash").alias("of_hash")).agg(F.collect_set("place").alias("places")))
+    with_places = rows.join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row_hash") == F.col("of_hash")))
+    passages = cut_lineage(_find_passages(with_places))
+    occurrence = F.struct("doc_id", "row_hash", "first")
+    starts = passages.groupBy("passage").agg(F.min(occurrence).alias("kept"), F.max(occurrence).alias("other")).filter(F.col("kept") != F.col("other"))
+    later = passages.join(cut_lineage(starts.select("passage", "kept")), "passage").filter(occurrence != F.col("kept"))
+    same_row = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("row_hash") == F.col("kept.row_hash"))
+    behind = F.greatest(F.col("first"), F.col("kept.first") + PASSAGE_WORDS)
+    stretch = F.struct(F.when(same_row, behind).otherwise(F.col("first")).alias("first"), (F.col("first") + PASSAGE_WORDS - 1).alias("last"))
+    # At most one stretch a word, so a list is bounded by its document.
+    return cut_lineage(later.groupBy("doc_id", "row_hash").agg(F.collect_set(stretch).alias("stretches")))
+
+
+def _with_stretches(rows: DataFrame, stretches: DataFrame) -> DataFrame:
+    found = stretches.select(F.col("doc_id").alias("of"), F.col("row_hash").alias("of_hash"), "stretches")
+    both = F.col("doc_id").eqNullSafe(F.col("of")) & F.col("row_hash").eqNullSafe(F.col("of_hash"))
+    return rows.join(found, both, "left").drop("of", "of_hash")
+
+
 def delete_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per input row: doc_id, text without passages seen earlier, n_lines, n_removed.
 
-    ``n_lines`` counts lines that are not blank, ``n_removed`` those deleted;
-    blank lines and all text outside deleted lines stay as they are. A null text
-    stays null. Documents come in the order of their ids, null first. Rows with
-    the same id and text are one document and get the same result. Other columns
-    are not carried.
+    ``n_lines`` counts lines that are not blank, ``n_removed`` those of which
+    nothing is left; blank lines and all text outside deleted passages stay as
+    they are, but for the blanks behind deleted words. A null text stays null.
+    Documents come in the order of their ids, null first. Rows with the same id
+    and text are one document and get the same result. Other columns are not
+    carried.
     """
-    stretches = repeated_stretches(docs, id_col, text_col, min_words)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).cast("string").alias("text"))
-    found = stretches.select(F.col("doc_id").alias("of"), F.col("row_hash").alias("of_hash"), "stretches")
-    both = rows.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row_hash") == F.col("of_hash")), "left")
+    with_lines = _with_stretches(rows, repeated_stretches(docs, id_col, text_col, min_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts, lines, removed = [], [], []
-                for text, found in zip(part.column(1), part.column(2)):
+                for text, found in zip(part.column("text"), part.column("stretches")):
                     kept, n, gone = without(text.as_py(), found.as_py())
                     texts.append(kept)
                     lines.append(n)
                     removed.append(gone)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())],
-                    ["doc_id", "text", "n_lines", "n_removed"],
+                    [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())],
+                    ["doc_id", "row_hash", "text", "n_lines", "n_removed"],
                 )
 
-    return both.select("doc_id", "text", "stretches").mapInArrow(run, "doc_id bigint, text string, n_lines bigint, n_removed bigint")
+    left = cut_lineage(with_lines.mapInArrow(run, "doc_id bigint, row_hash bigint, text string, n_lines bigint, n_removed bigint"))
+    with_words = _with_stretches(left, repeated_words(left))
+    gone = F.coalesce(F.arrow_udf(_emptied, "bigint")("text", "stretches"), F.lit(0))
+    text = F.when(F.col("stretches").isNull(), F.col("text")).otherwise(F.arrow_udf(_reworded, "string")("text", "stretches"))
+    return with_words.select("doc_id", text.alias("text"), "n_lines", (F.col("n_removed") + gone).alias("n_removed"))
+
+
+def _reworded(texts: pa.Array, stretches: pa.Array) -> pa.Array:
+    return pa.array([without_words(text.as_py(), found.as_py())[0] if found.is_valid else None for text, found in zip(texts, stretches)], pa.string())
+
+
+def _emptied(texts: pa.Array, stretches: pa.Array) -> pa.Array:
+    return pa.array([without_words(text.as_py(), found.as_py())[1] if found.is_valid else None for text, found in zip(texts, stretches)], pa.int64())
+
+
+def without_words(text: str, stretches: Sequence[dict]) -> tuple[str, int]:
+    """The text without the words in ``stretches``, and how many lines went as nothing of them is left."""
+    gone = {i for s in stretches for i in range(s["first"], s["last"] + 1)}
+    lines, at, emptied = [], 0, 0
+    for line in text.split("\n"):
+        words = list(_WORD.finditer(line))
+        here = [i for i in range(len(words)) if at + i in gone]
+        at += len(words)
+        if here and len(here) == len(words):
+            emptied += 1
+            continue
+        for i in reversed(here):
+            end = words[i + 1].start() if i + 1 < len(words) else len(line)
+            line = line[: words[i].start()] + line[end:]
+        lines.append(line)
+    return "\n".join(lines), emptied
+
+
+def apply_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents, all columns, without the words of repeated passages; a document of which nothing is left goes."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).cast("string").alias("text"))
+    return _applied(docs, repeated_words(rows), _reworded, id_col, text_col, chars_col)
 
 
 def apply_stretches(docs: DataFrame, stretches: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
@@ -149,9 +290,13 @@ def apply_stretches(docs: DataFrame, stretches: DataFrame, id_col: str = "doc_id
 
     ``chars_col``, where there is such a column and it is not null, becomes the length of what is left.
     """
+    return _applied(docs, stretches, _shortened, id_col, text_col, chars_col)
+
+
+def _applied(docs: DataFrame, stretches: DataFrame, shortened_by: Callable[[pa.Array, pa.Array], pa.Array], id_col: str, text_col: str, chars_col: str) -> DataFrame:
     found = stretches.select(F.col("doc_id").alias("_of"), F.col("row_hash").alias("_of_hash"), F.col("stretches").alias("_stretches"))
     both = docs.join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col("_of")) & (F.xxhash64(text_col) == F.col("_of_hash")), "left")
-    shortened = both.withColumn("_left", F.arrow_udf(_shortened, "string")(F.col(text_col), F.col("_stretches")))
+    shortened = both.withColumn("_left", F.arrow_udf(shortened_by, "string")(F.col(text_col), F.col("_stretches")))
     kept = shortened.filter(F.col("_left").isNull() | (F.trim("_left") != ""))
     out = kept.withColumn(text_col, F.coalesce("_left", text_col))
     if chars_col in docs.columns:

@@ -33,6 +33,25 @@ def test_equals_brute_force(spark, seed, least):
     assert all(r.n_lines == len(lines[r.doc_id]) and len([x for x in r.text.split("\n") if x.strip()]) == r.n_lines - r.n_removed for r in got)
 
 
+@pytest.mark.parametrize("breaks", [(), (20, 34)])
+def test_passages_inside_lines(spark, breaks):
+    """51 words that begin and end inside a line go, 50 stay; the first occurrence stays whole."""
+    passage = ["p%d" % i for i in range(51)]
+
+    def around(name, words):
+        shared = " ".join(w + ("\n" if i in breaks else "") for i, w in enumerate(words)).replace("\n ", "\n")
+        return f"{name}1 {shared} {name}2\nlast {name}"
+
+    rows = [(1, around("one", passage)), (2, around("two", passage)), (3, around("three", passage[:50])), (4, " ".join(passage * 2)), (5, None)]
+    got = {r.doc_id: r for r in line_winnow.delete_repeated(documents(spark, rows)).collect()}
+    assert [got[i].text for i in (1, 3, 5)] == [rows[0][1], rows[2][1], None]
+    assert got[2].text.split() == "two1 two2 last two".split() and got[2].n_removed == len(breaks[1:])
+    assert got[4].text == "" and got[4].n_removed == 1
+    stage = line_winnow.apply_words(documents(spark, rows)).collect()
+    assert {r.doc_id: r.text for r in stage} == {i: r.text for i, r in got.items() if i != 4}
+    assert all(r.n_chars == len(r.text) for r in stage if r.text is not None)
+
+
 def test_windows_by_hand():
     words = line_winnow.np.array([3, 1, 9, 2, 2, 2])
     assert line_winnow.windows(words, 5).tolist() == [[0, 2], [1, 2], [2, 2], [2, 3], [2, 4], [3, 5]]
