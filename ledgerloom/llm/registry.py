@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, decontaminate, language, licences, line_winnow, ring_shards, unigram_count
+from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, decontaminate, filter_audit, language, licences, line_winnow, ring_shards, unigram_count
 from ledgerloom.llm.common import table
 
 SHARDS = 8
@@ -57,6 +57,10 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.pages_through_archives(table(spark, sf_dir, "pages"))
 
 
+def op13_failing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _REGISTERED = (
     op1_latent_leaks,
     op2_licence_paragraphs,
@@ -68,8 +72,9 @@ _REGISTERED = (
     op8_chosen_path,
     op9_ring_shards,
     op10_arc_to_warc,
+    op13_failing_ids,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _REGISTERED}
 
-ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL, "op13_failing_ids": filter_audit.SQL}
