@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import archives, bpe_stream, chosen_path, content_sort, decontaminate, filter_audit, language, licences, line_winnow, ring_shards, unigram_count
+from ledgerloom.llm import (
+    archives,
+    bk_simhash,
+    bpe_stream,
+    chosen_path,
+    content_sort,
+    decontaminate,
+    filter_audit,
+    language,
+    licences,
+    line_winnow,
+    one_bit,
+    ring_shards,
+    unigram_count,
+)
 from ledgerloom.llm.common import table
 
 SHARDS = 8
@@ -57,6 +71,14 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.pages_through_archives(table(spark, sf_dir, "pages"))
 
 
+def op11_bk_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bk_simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_one_bit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_failing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,9 +94,16 @@ _REGISTERED = (
     op8_chosen_path,
     op9_ring_shards,
     op10_arc_to_warc,
+    op11_bk_simhash,
+    op12_one_bit_negatives,
     op13_failing_ids,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _REGISTERED}
 
-ORACLE_SQL: dict[str, str] = {"op5_content_sort": content_sort.SQL, "op10_arc_to_warc": archives.SQL, "op13_failing_ids": filter_audit.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_content_sort": content_sort.SQL,
+    "op10_arc_to_warc": archives.SQL,
+    "op12_one_bit_negatives": one_bit.SQL,
+    "op13_failing_ids": filter_audit.SQL,
+}
