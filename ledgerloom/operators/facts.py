@@ -30,7 +30,7 @@ def _is_live() -> Column:
     return ~F.col("status").isin(*CANCELLED_STATES)
 
 
-def _of_orders(orders: DataFrame, *inputs: DataFrame) -> list[DataFrame]:
+def of_orders(orders: DataFrame, *inputs: DataFrame) -> list[DataFrame]:
     """The rows of each input that belong to one of the orders."""
     wanted = orders.select("order_id")
     return [rows.join(wanted, "order_id", "left_semi") for rows in inputs]
@@ -97,7 +97,7 @@ def net_revenue_fact(
     fresh = orders
     if loaded is not None:
         fresh = cut_lineage(not_yet_loaded(orders, loaded))
-        items, refunds, order_promotions = _of_orders(fresh.filter(_is_live()), items, refunds, order_promotions)
+        items, refunds, order_promotions = of_orders(fresh.filter(_is_live()), items, refunds, order_promotions)
     priced = (
         gross_revenue_by_order(fresh, items)
         .join(refunds_by_order(refunds), "order_id", "left")
@@ -152,7 +152,7 @@ def repair_fact(
     into the aggregates.
     """
     touched = cut_lineage(changed.select("order_id").distinct())
-    inputs = _of_orders(touched, orders, items, refunds, order_promotions)
+    inputs = of_orders(touched, orders, items, refunds, order_promotions)
     again = net_revenue_fact(*inputs, promotions, customer_dim, time_dim, store_dim)
     return fact.join(touched, "order_id", "left_anti").unionByName(again)
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources import tables
+
 # Fixed value: key of the row that adopts children without a parent.
 HOLDING_KEY = -1
 
@@ -25,6 +28,27 @@ def constraint_report(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame
     return rows.agg(*broken).selectExpr(f"stack({len(rules)}, {pairs}) as (rule, violations)")
 
 
+def write_counted(rows: DataFrame, path: str, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Store rows and take aggregates of them as they pass, without a second scan: the stored table and the figures.
+
+    The figures stand directly before the writer, so each stored partition is
+    counted once, however often its task was tried.
+    """
+    seen = Observation()
+    stored = tables.write_new(rows.observe(seen, *[count.alias(name) for name, count in counts.items()]), path)
+    return stored, seen.get
+
+
+def broken(rules: Mapping[str, Column]) -> dict[str, Column]:
+    """Counts of the rows that break each rule, for ``write_counted``; a rule that is null holds."""
+    return {name: F.count_if(~rule) for name, rule in rules.items()}
+
+
+def as_items(spark: SparkSession, figures: Mapping[str, int], names: tuple[str, str] = ("item", "value")) -> DataFrame:
+    """Figures taken on the way as a table."""
+    return spark.createDataFrame(list(figures.items()), f"{names[0]} string, {names[1]} bigint")
+
+
 def duplicate_keys(rows: DataFrame, key: list[str], rule: str) -> DataFrame:
     """Surplus rows under a uniqueness rule; counts merge map side, so a hot key stays small."""
     counted = rows.groupBy(*key).agg(F.count("*").alias("_n"))
@@ -90,20 +114,25 @@ def ensure_default_parent(
 
 def remediation_scoreboard(products: DataFrame, customers: DataFrame, vault: DataFrame, letters: DataFrame, weightless: tuple[str, ...]) -> DataFrame:
     """Figures that prove each clean-up; one aggregate per table."""
-    product_counts = products.agg(
-        F.count_if(F.col("product_type").isin(*weightless) & F.col("weight_kg").isNotNull()).alias("invalid_product_weights"),
-        F.count("description_json").alias("populated_product_descriptions"),
-    )
-    customer_counts = customers.agg(
-        F.count("card_last_sixteen").alias("pan_rows_remaining_in_customers"),
-        F.count("profile_data_json").alias("customers_with_json_profiles"),
-    )
-    return (
-        _as_rows(product_counts)
-        .unionByName(_as_rows(customer_counts))
-        .unionByName(_as_rows(vault.agg(F.count("*").alias("pan_rows_in_vault"))))
-        .unionByName(_as_rows(letters.agg(F.count("*").alias("malformed_profiles_deadlettered"))))
-    )
+    counts, inputs = scoreboard_counts(weightless), {"products": products, "customers": customers, "vault": vault, "dead_letters": letters}
+    parts = [_as_rows(inputs[name].agg(*[c.alias(item) for item, c in of.items()])) for name, of in counts.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scoreboard_counts(weightless: tuple[str, ...]) -> dict[str, dict[str, Column]]:
+    """The figures of the scoreboard, by the table they are taken from."""
+    return {
+        "products": {
+            "invalid_product_weights": F.count_if(F.col("product_type").isin(*weightless) & F.col("weight_kg").isNotNull()),
+            "populated_product_descriptions": F.count("description_json"),
+        },
+        "customers": {
+            "pan_rows_remaining_in_customers": F.count("card_last_sixteen"),
+            "customers_with_json_profiles": F.count("profile_data_json"),
+        },
+        "vault": {"pan_rows_in_vault": F.count("*")},
+        "dead_letters": {"malformed_profiles_deadlettered": F.count("*")},
+    }
 
 
 def _as_rows(one_row: DataFrame) -> DataFrame:

@@ -90,6 +90,11 @@ def order_tracking(orders: DataFrame, items: DataFrame, customer_id: int) -> Dat
     return mine.join(items, "order_id").select("order_id", "status", "product_id", "qty")
 
 
+def order_lines_of(lines: DataFrame, customer_id: int) -> DataFrame:
+    """The same from lines stored with their customer, bucketed by it: one bucket is read."""
+    return lines.filter(F.col("customer_id") == customer_id).select("order_id", "status", "product_id", "qty")
+
+
 def high_frequency_customers(orders: DataFrame, more_than: int = FREQUENT_ORDERS) -> DataFrame:
     counted = orders.groupBy("customer_id").agg(F.count("order_id").alias("order_count"))
     return counted.filter(F.col("order_count") > more_than)
@@ -115,6 +120,31 @@ def customer_by_email(customers: DataFrame, email: str) -> DataFrame:
     )
 
 
+def register_contact_function(customers: DataFrame, name: str = "customer_contact") -> str:
+    """Make ``name(customer_id)`` a table function of the session: the contact row of one customer, none if there is none.
+
+    It is a SQL function, so a call is expanded into the calling query: a
+    constant reaches the scan as a filter, a column of a ``LATERAL`` join
+    becomes an equality join.
+    """
+    fields = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in customers.select(*_CONTACT_COLUMNS).schema.fields)
+    kind, spark = customers.schema["customer_id"].dataType.simpleString(), customers.sparkSession
+    customers.createOrReplaceTempView(f"{name}_rows")
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(wanted {kind}) RETURNS TABLE ({fields}) "
+        f"RETURN SELECT {', '.join(_CONTACT_COLUMNS)} FROM {name}_rows WHERE customer_id = wanted"
+    )
+    return name
+
+
+def contacts_of(requests: DataFrame, function: str, key: str = "customer_id") -> DataFrame:
+    """Each request with the contact row of its customer; requests for unknown customers keep nulls."""
+    columns = ", ".join(f"c.{name}" for name in _CONTACT_COLUMNS if name != key)
+    return requests.sparkSession.sql(
+        f"SELECT r.*, {columns} FROM {{requests}} r LEFT JOIN LATERAL {function}(r.{key}) c", requests=requests
+    )
+
+
 def order_inventory_join(orders: DataFrame, inventory: DataFrame, order_id: int | None = None) -> DataFrame:
     """Order lines with the quantity on hand in their store; optionally for one order."""
     if order_id is not None:

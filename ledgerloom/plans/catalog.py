@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +24,17 @@ from ledgerloom.operators import (
     monitoring,
     privacy,
     quality,
+    reconcile,
     reports,
     serving,
+    texts,
     visits,
 )
+from ledgerloom.operators import json_discovery as discovery
+from ledgerloom.plans import jobs, store
 from ledgerloom.session import scratch_path, tune
-from ledgerloom.sources import retail, tables
-from ledgerloom.streaming import changes, feeds, ledger
+from ledgerloom.sources import dumps, retail, tables
+from ledgerloom.streaming import changes, delivery, feeds, ledger, ratings
 from ledgerloom.streaming import visits as live_visits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +54,7 @@ CHECKOUT_STOCK = 500
 REPORTED_RATE = Decimal("0.078")
 PORTFOLIO = Decimal("18000000000")
 TRACKED_CUSTOMER = 45
+REPAIR_SINCE = date(2001, 7, 15)
 
 
 class Inputs:
@@ -67,18 +73,41 @@ class Inputs:
     def time_dim(self) -> DataFrame:
         return dimensions.calendar_dim(self.spark, retail.CALENDAR_FIRST, retail.CALENDAR_LAST)
 
+    @property
+    def sources(self) -> jobs.Sources:
+        return jobs.Sources(self.pos_orders, self.items, self.refunds, self.order_promotions, self.promotions)
+
+    def _kept(self, name: str, write: Callable[[str], T.StructType], *sources: str) -> DataFrame:
+        return store.kept(self.spark, name, [self.tables.path(source) for source in sources], write)
+
     @property
     def net_fact(self) -> DataFrame:
-        return facts.net_revenue_fact(
-            self.pos_orders,
-            self.items,
-            self.refunds,
-            self.order_promotions,
-            self.promotions,
-            self.customer_dim,
-            self.time_dim,
-            self.store_dim,
-        )
+        """The fact as the nightly job stores it, by month."""
+
+        def write(path: str) -> T.StructType:
+            return jobs.load_sales_fact(self.sources, self.customer_dim, self.time_dim, self.store_dim, path).schema
+
+        return self._kept("sales-fact", write, "orders", "lineitem", "part", "customer", "nation")
+
+    @property
+    def stored_products(self) -> DataFrame:
+        """The cleansed products as the clean-up pack stores them, with their search key."""
+        return self._kept("products", lambda path: tables.write_new(jobs.cleansed_products(self.products), path).schema, "part")
+
+    @property
+    def stored_ratings(self) -> DataFrame:
+        """The ratings view as its refresh stores it."""
+        return self._kept("ratings", lambda path: tables.write_new(serving.product_ratings(self.reviews), path).schema, "lineitem")
+
+    @property
+    def order_lines(self) -> DataFrame:
+        """Order lines with their order's customer and state, bucketed by customer."""
+
+        def write(table: str, path: str) -> None:
+            orders = self.pos_orders.select("order_id", "customer_id", "status")
+            layout.write_bucketed(orders.join(self.items, "order_id"), table, path, "customer_id")
+
+        return store.kept_bucketed(self.spark, "order_lines", [self.tables.path(source) for source in ("orders", "lineitem")], write)
 
     @property
     def order_visits(self) -> DataFrame:
@@ -158,6 +187,18 @@ def fact_repair(t: Inputs) -> DataFrame:
     return facts.repair_fact(stale, t.pos_orders.filter(changed), t.pos_orders, t.items, *others)
 
 
+@query
+def fact_repair_stored(t: Inputs) -> DataFrame:
+    """A fact stored before late cancellations and price changes: the nightly job mends its months, and the cross-check finds all matching."""
+    late = t.order_changes.filter(F.col("changed_on") >= REPAIR_SINCE).select("order_id", F.lit(True).alias("late"))
+    before = t.pos_orders.join(late, "order_id", "left").withColumn("status", F.when(F.col("late"), F.lit("completed")).otherwise(F.col("status")))
+    price = F.when(F.col("late"), F.lit(1)).otherwise(F.col("unit_price")).cast(t.items.schema["unit_price"].dataType)
+    old_prices = t.items.join(late, "order_id", "left").withColumn("unit_price", price)
+    dims, path = (t.customer_dim, t.time_dim, t.store_dim), scratch_path(t.spark, "repaired-fact")
+    jobs.load_sales_fact(replace(t.sources, orders=before.drop("late"), items=old_prices.drop("late")), *dims, path)
+    return jobs.nightly_sales(t.sources, t.order_changes, REPAIR_SINCE, *dims, path)
+
+
 @query
 def gross_revenue_by_order(t: Inputs) -> DataFrame:
     return facts.gross_revenue_by_order(t.pos_orders, t.items)
@@ -216,7 +257,7 @@ def payment_time_key(t: Inputs) -> DataFrame:
 
 @query
 def tax_revenue_by_quarter(t: Inputs) -> DataFrame:
-    return facts.tax_revenue_by_quarter(facts.with_payment_time_key(t.net_fact, t.time_dim), t.time_dim)
+    return facts.tax_revenue_by_quarter(t.net_fact, t.time_dim)
 
 
 @query
@@ -349,6 +390,13 @@ def json_attribute_profile(t: Inputs) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query
+def json_discovery(t: Inputs) -> DataFrame:
+    """Every path of the product documents with its types, from one scan."""
+    found = discovery.json_paths(t.documents, "doc")
+    return found.select("path", "json_type", "sample_value", "occurrences", (F.col("merged_schema") == "VARIANT").alias("mixed_types"))
+
+
 @query
 def json_normalize_numeric(t: Inputs) -> DataFrame:
     return json_clean.normalize_numeric(t.documents, "doc", "screen_size").select("product_id", F.col("doc").alias("attributes"))
@@ -411,6 +459,44 @@ def remediation_scoreboard(t: Inputs) -> DataFrame:
     return quality.remediation_scoreboard(cleaned, customers, vault, letters, json_clean.WEIGHTLESS_TYPES)
 
 
+@query
+def remediation_scoreboard_observed(t: Inputs) -> DataFrame:
+    """The same figures, taken while the clean-up pack writes its tables."""
+    profiles = t.profiles.withColumnRenamed("customer_id", "profile_of")
+    customers = t.legacy_customers.join(profiles, F.col("customer_id") == F.col("profile_of")).drop("profile_of")
+    root, counts = scratch_path(t.spark, "counted"), quality.scoreboard_counts(json_clean.WEIGHTLESS_TYPES)
+    products, figures = jobs.remediate_products(t.products, root)
+    cleaned = json_clean.split_profiles(privacy.purge_pans(customers), "profile_data", "profile_data_json")
+    steps = {
+        "customers": cleaned,
+        "vault": privacy.vault_pans(t.legacy_customers, t.pos_orders, retail.AS_OF, t.pan_key),
+        "dead_letters": json_clean.dead_letters(t.profile_writes, "customer_id", "profile_data", ["written"]),
+    }
+    for name, rows in steps.items():
+        figures |= quality.write_counted(rows, f"{root}/{name}", counts[name])[1]
+    return quality.as_items(t.spark, figures)
+
+
+@query
+def broken_rules_by_product(t: Inputs) -> DataFrame:
+    """The contract rules each product breaks, as one text in their order."""
+    broken = json_clean.schema_violations(t.documents, "product_id", "doc", json_clean.contract_table(t.spark))
+    rules = broken.select("product_id", F.concat_ws(" ", "field", "problem").alias("rules"))
+    return texts.ordered_list(rules, ["product_id"], "rules", ", ")
+
+
+@query
+def shard_dump_load(t: Inputs) -> DataFrame:
+    """Two shards dumped as tab-separated text, loaded again and merged; ids that more than one row claims are counted."""
+    shards = []
+    for name in ("dumped_am", "dumped_nz"):
+        rows, path = getattr(t, name), scratch_path(t.spark, name)
+        dumps.write_dump(rows, path, "public.customers")
+        shards.append(dumps.read_dump(t.spark, path, rows.schema)[0])
+    merged, clashes = quality.consolidate_shards(shards, "customer_id")
+    return merged.join(clashes, "customer_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+
+
 @query
 def shard_consolidate(t: Inputs) -> DataFrame:
     merged, clashes = quality.consolidate_shards([t.customer_shard_am, t.customer_shard_nz], "customer_id")
@@ -485,22 +571,44 @@ NESTED = {"maker": {"name": "Brand#8"}, "tags": ["all"], "size": 2, "it's": True
 @query
 def product_search_nested(t: Inputs) -> DataFrame:
     """Containment of an object, an array, a number and a boolean in the JSON itself."""
-    return serving.product_search(t.nested_products, serving.product_ratings(t.reviews), NESTED)
+    return serving.product_search(t.nested_products, t.stored_ratings, NESTED)
 
 
 @query
 def product_search(t: Inputs) -> DataFrame:
-    """Search reads the cleansed table as stored, with its search key next to the JSON."""
-    described = json_clean.text_to_json(t.products, "description", "description_json")
-    stored = tables.write_new(
-        serving.with_key_columns(described.select("product_id", "description_json"), ["raw_text"]), scratch_path(t.spark, "products")
-    )
-    return serving.product_search(stored, serving.product_ratings(t.reviews), {"raw_text": "red widget"})
+    """Search reads the cleansed table and the ratings view as stored, with the search key next to the JSON."""
+    return serving.product_search(t.stored_products, t.stored_ratings, {"raw_text": "red widget"})
 
 
 @query
 def order_tracking(t: Inputs) -> DataFrame:
-    return serving.order_tracking(t.pos_orders, t.items, TRACKED_CUSTOMER)
+    """One customer's lines from the one bucket that can hold them."""
+    return serving.order_lines_of(t.order_lines, TRACKED_CUSTOMER)
+
+
+@query
+def product_ratings_incremental(t: Inputs) -> DataFrame:
+    """The stored view after three batches of changed reviews, never recomputed from all."""
+    path, product = scratch_path(t.spark, "ratings-view"), t.reviews.schema["product_id"].dataType
+    ratings.build(t.reviews, path)
+    stream = _ordered_feed(t, t.review_changes, "review-changes", "change_id")
+    feeds.drain(stream, ratings.maintain(path, product), feeds.new_checkpoint(t.spark, "review-changes"))
+    return ratings.ratings(t.spark, path, product)
+
+
+@query
+def search_copy_reconcile(t: Inputs) -> DataFrame:
+    """Products the search copy lacks, holds in an older state, or has too many; only unequal leaves are read."""
+    live, copy = scratch_path(t.spark, "live-products"), scratch_path(t.spark, "search-copy")
+    reconcile.store(t.live_products, "product_id", live)
+    reconcile.store(t.search_copy, "product_id", copy)
+    return reconcile.reconcile(t.spark, live, copy, t.search_copy.schema, "product_id")
+
+
+@query
+def customer_contacts_lateral(t: Inputs) -> DataFrame:
+    """A list of requests joined to the contact function."""
+    return serving.contacts_of(t.asked_contacts, serving.register_contact_function(t.legacy_customers))
 
 
 @query
@@ -762,6 +870,15 @@ def audit_change_stream(t: Inputs) -> DataFrame:
     return t.spark.read.parquet(audit_path).drop(changes.BATCH)
 
 
+@query
+def outbox_delivery(t: Inputs) -> DataFrame:
+    """Events of order sagas, handed over in three batches and some of them twice, delivered once."""
+    stream = _ordered_feed(t, delivery.saga_events(t.saga_orders, "position"), "saga-events", "position").drop("position")
+    path = scratch_path(t.spark, "delivered")
+    feeds.drain(stream, delivery.deliver_once(path), feeds.new_checkpoint(t.spark, "delivered"))
+    return delivery.delivered(t.spark, path, stream.schema).select(*stream.columns)
+
+
 @query
 def outbox_lag_stream(t: Inputs) -> DataFrame:
     """Backlog after the last micro-batch."""
@@ -776,18 +893,19 @@ def outbox_lag_stream(t: Inputs) -> DataFrame:
 
 @query
 def stock_reserve_stream(t: Inputs) -> DataFrame:
+    """Three micro-batches in arrival order; the stock left is keyed state."""
     requests = t.stream_requests
-    stream = _landed_feed(t, requests, "stock-requests")
+    stream = _ordered_feed(t, requests, "stock-requests", "request_id")
     shelf = requests.select("store_id", "product_id").distinct().withColumn("stock", F.lit(SHELF_STOCK))
-    outcome, levels = scratch_path(t.spark, "reserved"), scratch_path(t.spark, "shelf-levels")
-    feeds.drain(stream, ledger.record_reservations(shelf, outcome, levels, ["request_id"]), feeds.new_checkpoint(t.spark, "reserved"))
-    return t.spark.read.parquet(outcome).drop(changes.BATCH)
+    return feeds.drain_to_files(
+        ledger.reservations(stream, shelf, ["request_id"]), scratch_path(t.spark, "reserved"), feeds.new_checkpoint(t.spark, "reserved")
+    )
 
 
 @query
 def credit_adjust_stream(t: Inputs) -> DataFrame:
-    stream = _landed_feed(t, t.credit_requests, "credit-requests")
-    outcome, levels = scratch_path(t.spark, "credit"), scratch_path(t.spark, "credit-levels")
-    handler = ledger.record_credit(t.credit_accounts, outcome, levels, ["request_id"])
-    feeds.drain(stream, handler, feeds.new_checkpoint(t.spark, "credit"))
-    return t.spark.read.parquet(outcome).drop(changes.BATCH)
+    """Three micro-batches in arrival order; credit and version are keyed state."""
+    stream = _ordered_feed(t, t.credit_requests, "credit-requests", "request_id")
+    return feeds.drain_to_files(
+        ledger.credit_changes(stream, t.credit_accounts, ["request_id"]), scratch_path(t.spark, "credit"), feeds.new_checkpoint(t.spark, "credit")
+    )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ledgerloom.plans import catalog
 from ledgerloom.sources import retail
+from ledgerloom.streaming import delivery
 
 _TIME_DIM = (
     "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS time_key, CAST(d AS DATE) AS full_date, monthname(d) AS month_name, "
@@ -226,6 +227,9 @@ def oracle_sql() -> dict[str, str]:
         f"{_amount('gross_revenue')}, {_amount('refund_amount')}, {_amount('discount_amount')}, {_amount('net_revenue')}, "
         f"{_moment('order_date')}, {_day('ship_date')}, {_day('payment_received_date')} FROM fact",
     )
+    out["fact_repair_stored"] = _sql(
+        _FACT_PARTS, "SELECT 'MATCH' AS verdict, count(*) AS orders, CAST(0 AS DOUBLE) AS difference FROM fact"
+    )
     out["gross_revenue_by_order"] = _sql(
         {"pos_orders": None, "items": None, "gross": _GROSS},
         f"SELECT order_id, customer_id, {_moment('order_date')}, {_day('ship_date')}, {_day('payment_received_date')}, "
@@ -414,6 +418,21 @@ def oracle_sql() -> dict[str, str]:
     )
     doc_parts = {"enrichment": None, "documents": _DOCUMENTS}
     out["json_attribute_profile"] = _sql(doc_parts, profile)
+    node = "regexp_replace(t.fullkey, '\\[[0-9]+\\]', '[*]', 'g')"
+    kind = (
+        "CASE t.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' "
+        "WHEN 'NULL' THEN 'null' ELSE 'number' END"
+    )
+    out["json_discovery"] = _sql(
+        {
+            **doc_parts,
+            "nodes": f"SELECT {node} AS path, {kind} AS json_type, left(CASE WHEN t.type = 'VARCHAR' THEN t.value ->> '$' "
+            "ELSE CAST(t.value AS VARCHAR) END, 50) AS sample FROM documents d, json_tree(d.doc) t",
+        },
+        "SELECT path, json_type, min(sample) AS sample_value, count(*) AS occurrences, "
+        "(SELECT count(DISTINCT json_type) FILTER (WHERE json_type <> 'null') > 1 FROM nodes m WHERE m.path = n.path) AS mixed_types "
+        "FROM nodes n GROUP BY path, json_type",
+    )
     out["json_normalize_numeric"] = _sql(
         doc_parts,
         f"SELECT product_id, CASE WHEN {_ODD_SCREEN} THEN {_set_screen(_SCREEN_NUMBER)} ELSE CAST(doc AS VARCHAR) END AS attributes FROM documents",
@@ -444,6 +463,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT product_id, category, field, expected, found, CASE WHEN found IS NULL THEN 'missing' ELSE 'wrong_type' END AS problem "
         "FROM checked WHERE (found IS NULL AND required) OR found <> expected",
     )
+    out["broken_rules_by_product"] = (
+        "SELECT product_id, string_agg(concat(field, ' ', problem), ', ' ORDER BY concat(field, ' ', problem)) AS rules "
+        f"FROM ({out['json_schema_validate']}) AS broken GROUP BY product_id"
+    )
     rules = {
         "channel_known": "channel IN ('online', 'retail')",
         "status_known": "status IN ('completed', 'cancelled', 'cancelled_fraud')",
@@ -494,6 +517,10 @@ def oracle_sql() -> dict[str, str]:
         },
         "SELECT customer_id, last_name, city, count(*) OVER (PARTITION BY customer_id) AS copies FROM merged",
     )
+    out["shard_dump_load"] = _sql(
+        {"dumped_am": None, "dumped_nz": None, "merged": "SELECT * FROM dumped_am UNION ALL SELECT * FROM dumped_nz"},
+        "SELECT customer_id, last_name, city, count(*) OVER (PARTITION BY customer_id) AS copies FROM merged",
+    )
 
     out["pan_classify"] = _sql(["legacy_customers"], _CLASSIFIED)
     out["pan_tokenize"] = _sql(["legacy_customers"], _TOKENS)
@@ -514,6 +541,7 @@ def oracle_sql() -> dict[str, str]:
     out["masked_customer_view"] = _sql(
         ["legacy_customers"], f"SELECT customer_id, full_name, email, phone, {_day('created_at')} FROM legacy_customers"
     )
+    out["remediation_scoreboard_observed"] = out["remediation_scoreboard"]
     out["audit_change_log"] = _sql(["snapshot_before", "snapshot_after"], _AUDIT)
     event_type, description, severity = catalog.PAN_EVENT
     out["suspicious_event_if_exists"] = _sql(
@@ -522,6 +550,21 @@ def oracle_sql() -> dict[str, str]:
         "WHERE EXISTS (SELECT 1 FROM classified WHERE classification_status = 'FULL_PAN_FOUND')",
     )
 
+    left_over = "SELECT product_id, rating FROM reviews_left UNION ALL SELECT new_product_id, new_rating FROM review_changes WHERE new_product_id IS NOT NULL"
+    out["product_ratings_incremental"] = _sql(
+        {"reviews_left": None, "review_changes": None, "after": left_over},
+        "SELECT product_id, CAST(sum(rating) AS DOUBLE) / nullif(count(rating), 0) AS avg_rating, count(rating) AS review_count FROM after GROUP BY product_id",
+    )
+    out["search_copy_reconcile"] = _sql(
+        ["live_products", "search_copy"],
+        "SELECT coalesce(l.product_id, c.product_id) AS product_id, CASE WHEN c.product_id IS NULL THEN 'MISSING' WHEN l.product_id IS NULL THEN 'SURPLUS' "
+        "ELSE 'STALE' END AS verdict FROM live_products l FULL JOIN search_copy c ON l.product_id = c.product_id "
+        "WHERE c.product_id IS NULL OR l.product_id IS NULL OR l.name IS DISTINCT FROM c.name OR l.price IS DISTINCT FROM c.price",
+    )
+    out["customer_contacts_lateral"] = _sql(
+        ["asked_contacts", "legacy_customers"],
+        "SELECT a.request_id, a.customer_id, c.full_name, c.email, c.phone FROM asked_contacts a LEFT JOIN legacy_customers c ON c.customer_id = a.customer_id",
+    )
     ratings = "SELECT product_id, CAST(sum(rating) AS DOUBLE) / count(rating) AS avg_rating, count(rating) AS review_count FROM reviews GROUP BY product_id"
     out["product_ratings"] = _sql({"reviews": None, "ratings": ratings}, "SELECT * FROM ratings")
     out["product_search_nested"] = _sql(
@@ -729,6 +772,23 @@ def oracle_sql() -> dict[str, str]:
         "WHERE lived <> lives OR (lives AND (name IS DISTINCT FROM old_name OR price IS DISTINCT FROM old_price))",
     )
     out["outbox_lag_stream"] = out["outbox_lag_alert"]
+    digest = "sha1(unhex('{0}') || CAST({1} AS BLOB))"
+    named = (
+        "left({0}, 8) || '-' || substr({0}, 9, 4) || '-5' || substr({0}, 14, 3) || '-' || "
+        "substr('89ab', CAST(CAST('0x' || substr({0}, 17, 1) AS INTEGER) % 4 + 1 AS INTEGER), 1) || substr({0}, 18, 3) || '-' || substr({0}, 21, 12)"
+    )
+    steps = ", ".join(f"('{step}', '{node}')" for step, node in delivery.STEPS.items())
+    out["outbox_delivery"] = _sql(
+        {
+            "saga_orders": None,
+            "steps": f"SELECT * FROM (VALUES {steps}) AS s(event_type, destination)",
+            "hashed": f"SELECT {digest.format(delivery.SAGAS.hex, 'concat(order_id, chr(58), event_type)')} AS e, "
+            f"{digest.format(delivery.SAGAS.hex, 'CAST(order_id AS VARCHAR)')} AS g, * FROM "
+            "(SELECT DISTINCT order_id, created_at FROM saga_orders) o CROSS JOIN steps",
+        },
+        f"SELECT {named.format('e')} AS event_id, {named.format('g')} AS saga_id, event_type, destination, "
+        f"'{{\"order_id\":' || order_id || '}}' AS payload, {_moment('created_at')} FROM hashed",
+    )
     out["stock_reserve_stream"] = _sql(
         {
             "stream_requests": None,

@@ -98,6 +98,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(folder)) if system.exists(folder) else []
 
 
+def file_stamps(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of change of the files of a table; two equal stamps are one state of it."""
+    system, folder = _file_system(spark, path)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in system.listStatus(folder)))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this application wrote and no longer reads."""
     system, folder = _file_system(spark, path)

@@ -113,6 +113,20 @@ _PRIORITY = (
     "WHEN '3-MEDIUM' THEN 'Medium' ELSE 'Low' END"
 )
 
+_RATING = "CAST(l_linenumber % 5 + 1 AS INT)"
+_DELISTED = "l_partkey % 97 = 0"
+# Late changes reach orders of a few months only.
+_LATE = "(o_orderkey % 3 = 0 AND o_orderdate >= DATE '1997-03-01' AND o_orderdate < DATE '1997-07-01')"
+
+
+def _awkward(key: str) -> str:
+    """Endings with a tab, a backslash that looks like a null, a line end before a backslash, and other white space."""
+    return (
+        f"CASE {key} % 5 WHEN 0 THEN chr(9) || 'x' WHEN 1 THEN chr(92) || 'N' WHEN 2 THEN chr(10) || chr(92) || chr(92) || 't' "
+        f"WHEN 3 THEN chr(13) || chr(11) || ' ' ELSE '' END"
+    )
+
+
 # name -> [(table, {column: expression}, condition or None), ...]
 INPUTS: dict[str, list[tuple[str, dict[str, str], str | None]]] = {
     "pos_orders": [
@@ -505,6 +519,60 @@ INPUTS: dict[str, list[tuple[str, dict[str, str], str | None]]] = {
             None,
         )
     ],
+    # Reviews with the row before and after each change: re-rated, deleted, added, moved, withdrawn; some products lose all.
+    "review_changes": [
+        (
+            "lineitem",
+            {
+                "change_id": "l_orderkey",
+                "old_product_id": f"CASE WHEN l_orderkey % 10 <> 2 OR {_DELISTED} THEN l_partkey END",
+                "old_rating": f"CASE WHEN l_orderkey % 10 <> 2 OR {_DELISTED} THEN {_RATING} END",
+                "new_product_id": f"CASE WHEN {_DELISTED} OR l_orderkey % 10 = 1 THEN NULL WHEN l_orderkey % 10 = 2 THEN l_partkey + 1000000 "
+                "WHEN l_orderkey % 10 = 3 THEN l_partkey % 50 + 1 ELSE l_partkey END",
+                "new_rating": f"CASE WHEN l_orderkey % 10 = 4 THEN NULL WHEN l_orderkey % 10 = 2 THEN 3 WHEN l_orderkey % 10 = 3 THEN {_RATING} ELSE 6 - {_RATING} END",
+            },
+            f"l_orderkey % 10 < 5 OR {_DELISTED}",
+        )
+    ],
+    "reviews_left": [
+        (
+            "lineitem",
+            {"product_id": "l_partkey", "rating": _RATING},
+            f"NOT (l_orderkey % 10 IN (0, 1, 3, 4) OR {_DELISTED})",
+        )
+    ],
+    # Products as they are, next to a search copy that missed some changes.
+    "live_products": [
+        (
+            "part",
+            {
+                "product_id": "p_partkey",
+                "name": "CASE WHEN p_partkey % 83 = 0 THEN 'renamed' ELSE p_name END",
+                "price": f"CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE {money('p_retailprice')} END",
+            },
+            "p_partkey % 101 <> 0",
+        ),
+        ("part", {"product_id": "p_partkey + 1000000", "name": "p_name", "price": money("p_retailprice")}, "p_partkey % 103 = 0"),
+    ],
+    "asked_contacts": [
+        ("orders", {"request_id": "o_orderkey", "customer_id": "CASE WHEN o_orderkey % 50 = 0 THEN -5 ELSE o_custkey END"}, "o_orderkey % 40 < 3")
+    ],
+    # Shards whose names hold what a dump has to escape.
+    "dumped_am": [
+        ("customer", {"customer_id": "c_custkey", "last_name": f"c_mktsegment || {_awkward('c_custkey')}", "city": f"CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE {_CITY} END"}, "c_mktsegment < 'N'")
+    ],
+    "dumped_nz": [
+        ("supplier", {"customer_id": "s_suppkey", "last_name": f"CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE s_name || {_awkward('s_suppkey')} END", "city": f"'NATION_' || {_text('s_nationkey')}"}, None)
+    ],
+    # Orders whose sagas hand events over, some of them twice.
+    "saga_orders": [
+        ("events", {"order_id": "event_id", "created_at": "ts", "position": "event_id"}, None),
+        ("events", {"order_id": "event_id", "created_at": "ts", "position": "event_id + 1000000000"}, "event_id % 5 = 0"),
+    ],
+    # Orders cancelled or priced anew after the load of the day before.
+    "order_changes": [
+        ("orders", {"order_id": "o_orderkey", "order_date": "o_orderdate", "changed_on": f"CASE WHEN {_LATE} THEN DATE '2001-08-01' ELSE DATE '2001-07-01' END"}, "o_orderkey % 3 = 0")
+    ],
     "search_copy": [
         ("part", {"product_id": "p_partkey", "name": "p_name", "price": money("p_retailprice")}, None)
     ],
@@ -534,9 +602,12 @@ class Tables:
         self.folder = sf_dir.rstrip("/")
         self._opened: dict[str, DataFrame] = {}
 
+    def path(self, table: str) -> str:
+        return f"{self.folder}/{table}.parquet"
+
     def open(self, table: str) -> DataFrame:
         if table not in self._opened:
-            self._opened[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+            self._opened[table] = self.spark.read.parquet(self.path(table))
         return self._opened[table]
 
     def load(self, name: str) -> DataFrame:

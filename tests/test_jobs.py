@@ -128,3 +128,72 @@ def test_audit_stamps(spark):
     after = spark.createDataFrame([(1, "b")], "customer_id int, v string")
     row = audit.change_log(before, after, "customer_id", "t", changed_by="me", changed_at=datetime(2024, 1, 1)).first()
     assert (row.changed_by, row.changed_at) == ("me", datetime(2024, 1, 1))
+
+
+def test_changed_orders_are_repaired_in_their_months_alone(spark, tmp_path):
+    dim = spark.createDataFrame([(1, 1, "f", "l", "e", "c", "p", date(2000, 1, 1), OPEN, True)], DIM)
+    calendar = dimensions.calendar_dim(spark, date(2024, 1, 1), date(2024, 12, 31))
+    dims = (dim, calendar, spark.createDataFrame([(1, 11)], "store_id int, store_key int"))
+    path = tmp_path / "fact"
+    loaded = sources(spark, {i: "completed" for i in range(1, 7)})
+    jobs.load_sales_fact(loaded, *dims, str(path))
+    files = lambda: {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    before = files()
+    # Order 2 is cancelled, order 4 priced anew, order 7 is new; order 5 changed before the last night.
+    now = sources(spark, {1: "completed", 2: "cancelled", **{i: "completed" for i in range(3, 8)}})
+    dearer = now.items.withColumn("unit_price", F.when(F.col("order_id") == 4, F.lit(Decimal("11.00"))).otherwise(F.col("unit_price")))
+    now = jobs.Sources(now.orders, dearer, now.refunds, now.order_promotions, now.promotions)
+    changes = spark.createDataFrame([(2, datetime(2024, 2, 2), date(2024, 8, 1)), (4, datetime(2024, 4, 2), date(2024, 8, 1)), (5, datetime(2024, 5, 2), date(2024, 7, 1))], "order_id long, order_date timestamp_ntz, changed_on date")
+    verdicts = {r.verdict: (r.orders, r.difference) for r in jobs.nightly_sales(now, changes, date(2024, 7, 31), *dims, str(path)).collect()}
+    assert verdicts == {"MATCH": (6, 0)}
+    after = files()
+    untouched = {f for f in before if f.parent.name not in ("order_month=2024-02", "order_month=2024-04")}
+    assert {f: after[f] for f in untouched} == {f: before[f] for f in untouched}
+    # February has no order left, so its folder is gone.
+    assert sorted(p.name for p in path.glob("order_month=*")) == [f"order_month=2024-0{m}" for m in (1, 3, 4, 5, 6, 7)]
+    assert jobs.repair_stored_fact(now, changes, date(2024, 7, 31), *dims, str(path)) == ["2024-02", "2024-04"]
+    assert jobs.verify_load(tables.read_parquet(spark, str(path)), now).filter("verdict <> 'MATCH'").isEmpty()
+
+
+def test_repair_reads_the_months_of_the_changes(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.range(1000).selectExpr("id AS order_id", "id AS amount", "concat('2024-', lpad(id % 12 + 1, 2, '0')) AS order_month").write.partitionBy("order_month").parquet(path)
+    spark.createDataFrame([(5, "2024-06", date(2024, 8, 1))], "order_id long, order_month string, changed_on date").write.parquet(str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes")).filter("changed_on >= DATE '2024-07-01'")
+    months = jobs.touched_months(spark.read.parquet(path), changes)
+    assert months.count() == sum(i % 12 == 5 for i in range(1000))
+    assert "dynamicpruning" in months._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_loading_reads_the_months_of_the_nights_orders(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.range(100).selectExpr("id AS order_id", "concat('2024-', lpad(id % 12 + 1, 2, '0')) AS order_month").write.partitionBy("order_month").parquet(path)
+    night = spark.createDataFrame([(1, datetime(2024, 2, 1)), (500, datetime(2024, 3, 1))], "order_id long, order_date timestamp_ntz")
+    ids = jobs._loaded_ids(night, spark.read.parquet(path))
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [order_month" in plan and "IN (2024-02,2024-03)" in plan
+    assert {r[0] for r in ids.collect()} == {i for i in range(100) if i % 12 in (1, 2)}
+
+
+def test_figures_are_taken_as_the_table_is_written(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "IF(id % 3 = 0, NULL, id) AS v")
+    spark.sparkContext.setJobGroup("counted", "one pass")
+    stored, figures = quality.write_counted(rows, str(tmp_path / "t"), {**quality.broken({"present": F.col("v").isNotNull(), "small": F.col("v") < 500}), "rows": F.count("*")})
+    jobs_run = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert figures == {"present": 334, "small": 333, "rows": 1000} and stored.count() == 1000
+    assert len(jobs_run) == 1
+
+
+def test_contact_function_joins_and_pushes_its_filter(spark, tmp_path):
+    people = [(i, f"n{i}", f"e{i}", None, "card") for i in range(50)]
+    spark.createDataFrame(people, "customer_id long, full_name string, email string, phone string, card string").write.parquet(str(tmp_path / "c"))
+    name = serving.register_contact_function(spark.read.parquet(str(tmp_path / "c")), "contact_for_test")
+    asked = spark.createDataFrame([(1, 7), (2, 99), (3, None), (4, 7)], "request_id int, customer_id long")
+    found = serving.contacts_of(asked, name)
+    assert {(r.request_id, r.full_name) for r in found.collect()} == {(1, "n7"), (2, None), (3, None), (4, "n7")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "card" not in plan
+    single = spark.sql(f"SELECT * FROM {name}(7)")
+    assert "EqualTo(customer_id,7)" in single._jdf.queryExecution().executedPlan().toString()
+    assert single.first().email == "e7"
