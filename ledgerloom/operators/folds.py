@@ -1,18 +1,23 @@
 """Ordered, stateful updates: stock reservation, whole-order checkout, versioned credit.
 
-The outcome of a request depends on the accepted requests before it. All sizes
-of key go the same way:
+The outcome of a request depends on the accepted requests before it, on the same
+shelf, in the same store, or of the same account. Groups of up to
+``LINES_AT_ONCE`` lines are settled by an ordered fold: one shuffle brings a
+group and its opening levels together, Spark sorts it, and an Arrow batch at a
+time goes through with only the levels in hand.
+
+A larger group would keep one task busy for long, so it goes another way:
 
 * Lines on a shelf whose stock covers everything asked of it can refuse nobody;
   one aggregate finds them and they leave the problem.
 * Orders with a line on a contended shelf are settled by rounds of distributed
-  running sums (``_settle``). When a round no longer settles a fair share of the
-  open lines, ``_replay_orders`` takes the rest one after the other. Both follow
-  one contract, so which of them settles an order shows in no row.
+  running sums (``_settle``), and a group that has come down to
+  ``LINES_AT_ONCE`` lines is then folded like the others.
 * Versions follow the chain of successors by doubling steps
   (``_settle_versions``), and balances are running sums along the chain.
 
-The contract is that of a guarded update. A comparison with null holds for
+Both ways follow one contract, so which of them settles a request shows in no
+row. The contract is that of a guarded update. A comparison with null holds for
 nobody: a request with a null key or quantity, and an order with any such line,
 is refused and takes nothing. A negative quantity is a return: it fits whenever
 the level is not below it, and raises the level. A null amount is applied where
@@ -39,8 +44,8 @@ from ledgerloom.session import cut_lineage
 # Workers get the step functions themselves, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A round that settles less than this share of the open lines is the last.
-FAIR_SHARE = 0.25
+# Lines of one group that a task folds one after the other, a few seconds of work.
+LINES_AT_ONCE = 500_000
 # Running sums are taken per key and run of this many arrival numbers.
 RUN_LENGTH = 100_000
 
@@ -105,6 +110,24 @@ def _replay(rows: DataFrame, keys: list[str], order: list, step: Callable[[pa.Re
     return arranged.mapInArrow(run, schema)
 
 
+# Marks the rows that open a group with its level; they come before its requests and leave after the fold.
+_OPENS = "_opens"
+
+
+def _fold(requests: DataFrame, opening: DataFrame, keys: list[str], order: list[str], step: Callable[[pa.RecordBatch, dict], dict], added: str) -> DataFrame:
+    """The requests of every key after its opening rows, through ``step``; opening columns not in ``requests`` are theirs alone."""
+    both = requests.withColumn(_OPENS, F.lit(False)).unionByName(opening.withColumn(_OPENS, F.lit(True)), allowMissingColumns=True)
+    done = _replay(both, keys, [F.desc(_OPENS), *order], step, added)
+    return done.filter(~F.col(_OPENS)).drop(_OPENS, *[c for c in opening.columns if c not in requests.columns])
+
+
+def _large(lines: DataFrame, group: list[str], lines_at_once: int) -> DataFrame | None:
+    """Keys of the groups with more lines than a task folds, stored; none if there are none."""
+    counted = lines.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > lines_at_once).select(*group)
+    keys = cut_lineage(counted)
+    return None if keys.isEmpty() else keys
+
+
 def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     return zip(*(batch.column(name).to_pylist() for name in names))
 
@@ -112,25 +135,55 @@ def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 # --- stock -----------------------------------------------------------------
 
 
-def reserve_stock(requests: DataFrame, inventory: DataFrame, order: list[str], fair_share: float = FAIR_SHARE, run_length: int = RUN_LENGTH) -> DataFrame:
+def reserve_stock(requests: DataFrame, inventory: DataFrame, order: list[str], lines_at_once: int = LINES_AT_ONCE, run_length: int = RUN_LENGTH) -> DataFrame:
     """Every request with its outcome and the stock left after it.
 
     Requests hold store_id, product_id and qty; ``order`` is their arrival order
     and must identify a request. A request is accepted only if the stock of its
     store and product covers it at that moment; an unknown product has none.
     """
-    keys = ["store_id", "product_id"]
+    keys, columns = ["store_id", "product_id"], requests.columns
     keyed, keyless = _split_null_keys(requests, keys)
+    opening = _levels(inventory).withColumnRenamed("stock", "_level")
+    large = _large(keyed, keys, lines_at_once)
+    small = keyed if large is None else keyed.join(large, keys, "left_anti")
+    outcome = _fold(small, opening, keys, order, _shelf_step, "accepted boolean, stock_after bigint").select(*columns, "accepted", "stock_after")
+    if large is not None:
+        hot = _reserve_by_rounds(keyed.join(large, keys, "left_semi"), inventory, order, lines_at_once, run_length)
+        outcome = outcome.unionByName(hot)
+    nothing = keyless.withColumn("accepted", F.lit(False)).withColumn("stock_after", F.lit(0).cast("bigint"))
+    return outcome.unionByName(nothing).select(*columns, _verdict("accepted").alias("outcome"), "stock_after")
+
+
+def _shelf_step(batch: pa.RecordBatch, state: dict) -> dict:
+    """Guarded decrements of one shelf after the other."""
+    verdicts, left = [], []
+    shelf, stock = state.get("shelf"), state.get("stock", 0)
+    for store, product, qty, opens, level in _lists(batch, "store_id", "product_id", "qty", _OPENS, "_level"):
+        if (store, product) != shelf:
+            shelf, stock = (store, product), 0
+        if opens:
+            stock = level or 0
+        fits = not opens and qty is not None and stock >= qty
+        if fits:
+            stock -= qty
+        verdicts.append(fits)
+        left.append(stock)
+    state.update(shelf=shelf, stock=stock)
+    return {"accepted": verdicts, "stock_after": left}
+
+
+def _reserve_by_rounds(keyed: DataFrame, inventory: DataFrame, order: list[str], lines_at_once: int, run_length: int) -> DataFrame:
+    """The same for shelves with too many requests for one task, with columns accepted and stock_after."""
+    keys = ["store_id", "product_id"]
     lines = number_arrivals(_with_stock(keyed, _levels(inventory)), order)
     asked = lines.filter(F.col("qty").isNotNull()).select(F.col("seq").alias("order_id"), "seq", *keys, F.col("qty").cast("bigint").alias("qty"), "stock")
-    settled = _settle(asked, keys, fair_share, run_length).select(F.col("order_id").alias("seq"), F.col("accepted").alias("_settled"))
+    settled = _settle(asked, keys, lines_at_once, run_length).select(F.col("order_id").alias("seq"), F.col("accepted").alias("_settled"))
     flagged = lines.join(settled, "seq", "left").withColumn("accepted", F.col("qty").isNotNull() & F.coalesce("_settled", F.lit(True)))
     taken = flagged.withColumn("_used", F.when(F.col("accepted"), F.col("qty").cast("bigint")).otherwise(F.lit(0)))
     summed = _running_sum(taken, keys, "seq", ["_used"], run_length)
     left = (F.col("stock") - F.col("_used_before") - F.col("_used")).alias("stock_after")
-    nothing = keyless.withColumn("accepted", F.lit(False)).withColumn("stock_after", F.lit(0).cast("bigint"))
-    outcome = summed.select(*requests.columns, "accepted", left).unionByName(nothing)
-    return outcome.select(*requests.columns, _verdict("accepted").alias("outcome"), "stock_after")
+    return summed.select(*keyed.columns, "accepted", left)
 
 
 def _levels(inventory: DataFrame) -> DataFrame:
@@ -173,7 +226,7 @@ def _contended(lines: DataFrame, keys: list[str]) -> DataFrame:
     return lines.join(demand.filter(F.col("_asked") > F.col("_stock")).select(*keys), keys, "left_semi")
 
 
-def _settle(lines: DataFrame, group: list[str], fair_share: float, run_length: int) -> DataFrame:
+def _settle(lines: DataFrame, group: list[str], lines_at_once: int, run_length: int) -> DataFrame:
     """(order_id, accepted) of the orders that a contended shelf has a say in; all others are accepted.
 
     ``lines`` has order_id, seq (arrival of the order), store_id, product_id, qty
@@ -185,31 +238,29 @@ def _settle(lines: DataFrame, group: list[str], fair_share: float, run_length: i
     * refused if some line does not fit even when of those all returns and no
       takings are counted.
 
-    The earliest open order always meets one of the two. Rounds go on while they
-    settle ``fair_share`` of the open lines, so their number grows with the
-    logarithm of the lines; what then is left is replayed inside each ``group``.
+    The earliest open order always meets one of the two. Groups that have come
+    down to ``lines_at_once`` lines that matter are replayed, each inside itself;
+    the others go on by rounds, as long as a round settles that many lines too:
+    a task replays them in less time than a round takes. Replaying holds only the
+    levels of a group, whatever its number of lines.
     """
     keys = ["store_id", "product_id"]
     columns = ["order_id", "seq", *keys, "qty", "stock"]
     work = cut_lineage(_contended(lines.select(*columns), keys).withColumn("accepted", F.lit(False)))
-    done = work.select("order_id", "accepted").limit(0)
-    open_lines, rounds = work.count(), 0
-    while open_lines:
-        if fair_share > 1 and not rounds:
-            done = done.unionByName(_replay_orders(work, group))
+    done, rounds, before = work.select("order_id", "accepted").limit(0), 0, sys.maxsize
+    while open_lines := work.filter(~F.col("accepted")).count():
+        large = _large(work, group, lines_at_once) if before - open_lines >= lines_at_once else None
+        fitting = work if large is None else work.join(large, group, "left_anti")
+        done = done.unionByName(_replay_orders(fitting, group))
+        if large is None:
             break
-        judged = cut_lineage(_round(work, keys, run_length))
-        decided = judged.filter("accepted or refused").select("order_id", "accepted").distinct()
-        done = done.unionByName(decided)
+        judged = cut_lineage(_round(cut_lineage(work.join(large, group, "left_semi")), keys, run_length))
+        done = done.unionByName(judged.filter("accepted or refused").select("order_id", "accepted").distinct())
         standing = judged.filter(~F.col("refused")).drop("refused")
         # Once the last open order of a shelf is settled, its accepted orders matter to nobody.
         open_keys = standing.filter(~F.col("accepted")).select(*keys).distinct()
-        work = cut_lineage(standing.join(open_keys, keys, "left_semi"))
-        before, open_lines, rounds = open_lines, work.filter(~F.col("accepted")).count(), rounds + 1
-        log.info("round %d: %d of %d lines still open", rounds, open_lines, before)
-        if open_lines and before - open_lines < fair_share * before:
-            done = done.unionByName(_replay_orders(work, group))
-            break
+        work, rounds, before = cut_lineage(standing.join(open_keys, keys, "left_semi")), rounds + 1, open_lines
+        log.info("round %d: %d lines were open", rounds, open_lines)
     # An accepted order stays listed while it is in the working set.
     return done.distinct()
 
@@ -259,30 +310,65 @@ def _order_step(batch: pa.RecordBatch, state: dict) -> dict:
     return {"taken": verdicts}
 
 
-def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, fair_share: float = FAIR_SHARE, run_length: int = RUN_LENGTH) -> DataFrame:
+def place_orders(orders: DataFrame, items: DataFrame, inventory: DataFrame, lines_at_once: int = LINES_AT_ONCE, run_length: int = RUN_LENGTH) -> DataFrame:
     """Outcome of every order that has lines: accepted whole or refused whole, in order of ``seq``.
 
     Orders hold order_id, store_id and seq (a unique arrival number); items
     hold order_id, product_id and qty. Returns aside, stock never goes below zero.
     """
     void = F.max(F.col("product_id").isNull() | F.col("qty").isNull()).alias("_void")
-    wanted = items.groupBy("order_id", "product_id").agg(F.sum(F.col("qty").cast("bigint")).alias("qty"), void)
-    lines = cut_lineage(orders.select("order_id", "store_id", "seq").join(wanted, "order_id").withColumn("_void", F.col("_void") | F.col("store_id").isNull()))
-    refused = lines.filter("_void").select("order_id").distinct()
-    sound = lines.join(refused, "order_id", "left_anti").drop("_void")
+    # Lines are dealt out by order once, which serves both sums and the join.
+    wanted = items.repartition("order_id").groupBy("order_id", "product_id").agg(F.sum(F.col("qty").cast("bigint")).alias("qty"), void)
+    basket = F.collect_list(F.struct("product_id", "qty")).alias("basket")
+    baskets = wanted.groupBy("order_id").agg(basket, F.max("_void").alias("_void"), F.count("*").alias("_lines"))
+    whole = cut_lineage(orders.select("order_id", "store_id", "seq").join(baskets, "order_id").withColumn("_void", F.col("_void") | F.col("store_id").isNull()))
+    refused, sound = whole.filter("_void"), whole.filter(~F.col("_void")).drop("_void")
+    sizes = sound.groupBy("store_id").agg(F.sum("_lines").alias("_n")).filter(F.col("_n") > lines_at_once).select("store_id")
+    large = cut_lineage(sizes)
+    hot = not large.isEmpty()
+    small = sound.join(large, "store_id", "left_anti") if hot else sound
+    opening = _levels(inventory).withColumnRenamed("stock", "_level").filter("store_id IS NOT NULL")
+    outcome = _fold(small.drop("_lines"), opening, ["store_id"], ["seq"], _basket_step, "accepted boolean").select("order_id", "store_id", "accepted")
+    if hot:
+        outcome = outcome.unionByName(_place_by_rounds(sound.join(large, "store_id", "left_semi"), inventory, lines_at_once, run_length))
+    outcome = outcome.unionByName(refused.select("order_id", "store_id", F.lit(False).alias("accepted")))
+    return outcome.select("order_id", "store_id", _verdict("accepted").alias("outcome"))
+
+
+def _basket_step(batch: pa.RecordBatch, state: dict) -> dict:
+    """All-or-nothing reservation of one order after the other, store by store."""
+    verdicts = []
+    store, shelf = state.get("store"), state.get("shelf", {})
+    for at, opens, product, level, basket in _lists(batch, "store_id", _OPENS, "product_id", "_level", "basket"):
+        if at != store:
+            store, shelf = at, {}
+        if opens:
+            shelf[product] = level or 0
+            verdicts.append(False)
+            continue
+        fits = all(shelf.get(line["product_id"], 0) >= line["qty"] for line in basket)
+        if fits:
+            for line in basket:
+                shelf[line["product_id"]] = shelf.get(line["product_id"], 0) - line["qty"]
+        verdicts.append(fits)
+    state.update(store=store, shelf=shelf)
+    return {"accepted": verdicts}
+
+
+def _place_by_rounds(whole: DataFrame, inventory: DataFrame, lines_at_once: int, run_length: int) -> DataFrame:
+    """(order_id, store_id, accepted) for the orders of stores with too many lines for one task."""
     # Arrival numbers may have gaps of any size; running sums want them close together.
-    arrivals = number_arrivals(sound.select("order_id", "seq").distinct(), ["seq"], "_n").select("order_id", F.col("_n").alias("seq"))
-    settled = _settle(_with_stock(sound.drop("seq").join(arrivals, "order_id"), _levels(inventory)), ["store_id"], fair_share, run_length)
-    judged = arrivals.select("order_id").join(settled, "order_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(True)))
-    outcome = judged.unionByName(refused.withColumn("accepted", F.lit(False)))
-    placed = orders.select("order_id", "store_id").join(outcome, "order_id")
-    return placed.select("order_id", "store_id", _verdict("accepted").alias("outcome"))
+    arrived = number_arrivals(whole.select("order_id", "store_id", F.col("seq").alias("_seq"), "basket"), ["_seq"])
+    lines = arrived.select("order_id", "seq", "store_id", F.explode("basket").alias("_line")).select("order_id", "seq", "store_id", "_line.*")
+    settled = _settle(_with_stock(lines, _levels(inventory)), ["store_id"], lines_at_once, run_length)
+    judged = arrived.select("order_id", "store_id").join(settled, "order_id", "left")
+    return judged.withColumn("accepted", F.coalesce("accepted", F.lit(True)))
 
 
 # --- versioned credit ------------------------------------------------------
 
 
-def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], run_length: int = RUN_LENGTH) -> DataFrame:
+def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], lines_at_once: int = LINES_AT_ONCE, run_length: int = RUN_LENGTH) -> DataFrame:
     """Every credit request with its outcome and, when applied, the account after it.
 
     Requests hold customer_id, expected_version and amount; accounts hold
@@ -294,6 +380,41 @@ def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], ru
         *key, F.col("available_credit").cast(CREDIT_TYPE).alias("available_credit"), F.col("version").cast("bigint").alias("version")
     )
     typed = requests.withColumn("amount", F.col("amount").cast(CREDIT_TYPE))
+    keyed, keyless = _split_null_keys(typed, key)
+    large = _large(keyed, key, lines_at_once)
+    small = keyed if large is None else keyed.join(large, key, "left_anti")
+    opening = start.filter("customer_id IS NOT NULL").select(*key, F.col("available_credit").alias("_credit"), F.col("version").alias("_version"))
+    outcome = _fold(small, opening, key, order, _account_step, f"outcome string, credit_after {CREDIT_TYPE}, version_after bigint")
+    if large is not None:
+        outcome = outcome.unionByName(_adjust_by_doubling(keyed.join(large, key, "left_semi"), start, order, run_length))
+    nothing = [F.lit(CONFLICT).alias("outcome"), F.lit(None).cast(CREDIT_TYPE).alias("credit_after"), F.lit(None).cast("bigint").alias("version_after")]
+    return outcome.unionByName(keyless.select("*", *nothing)).select(*requests.columns, "outcome", "credit_after", "version_after")
+
+
+def _account_step(batch: pa.RecordBatch, state: dict) -> dict:
+    """Versioned changes of one account after the other."""
+    outcomes, credits, versions = [], [], []
+    account, credit, version = state.get("account"), state.get("credit"), state.get("version")
+    for customer, expected, amount, opens, held, held_version in _lists(
+        batch, "customer_id", "expected_version", "amount", _OPENS, "_credit", "_version"
+    ):
+        if customer != account:
+            account, credit, version = customer, None, None
+        if opens:
+            credit, version = held, held_version
+        applies = not opens and version is not None and expected == version
+        if applies:
+            credit, version = None if credit is None or amount is None else credit + amount, version + 1
+        outcomes.append(APPLIED if applies else CONFLICT)
+        credits.append(credit if applies else None)
+        versions.append(version if applies else None)
+    state.update(account=account, credit=credit, version=version)
+    return {"outcome": outcomes, "credit_after": credits, "version_after": versions}
+
+
+def _adjust_by_doubling(typed: DataFrame, start: DataFrame, order: list[str], run_length: int) -> DataFrame:
+    """The same for accounts with too many requests for one task."""
+    key = ["customer_id"]
     busy = number_arrivals(typed.withColumn("_expected", F.col("expected_version").cast("bigint")), order)
     # A request below the starting version, or for no account, can never apply.
     able = busy.join(start, key).filter(F.col("_expected") >= F.col("version"))
@@ -310,7 +431,7 @@ def adjust_credit(requests: DataFrame, accounts: DataFrame, order: list[str], ru
         (F.col("expected_version") + 1).alias("version_after"),
     )
     verdict = F.when(F.col("version_after").isNotNull(), F.lit(APPLIED)).otherwise(F.lit(CONFLICT))
-    return busy.join(moved, "seq", "left").select(*requests.columns, verdict.alias("outcome"), "credit_after", "version_after")
+    return busy.join(moved, "seq", "left").select(*typed.columns, verdict.alias("outcome"), "credit_after", "version_after")
 
 
 def _settle_versions(rows: DataFrame, run_length: int) -> DataFrame:
