@@ -70,21 +70,34 @@ def text_of(doc: Column, key: str) -> Column:
 
 
 def numeric_from(value: Column) -> Column:
-    """Best-effort number from 55, "55 inches", {"size": 55} or [55]; null otherwise.
+    """Best-effort JSON number, as VARIANT, from 55, "55 inches", {"size": 55} or [55]; null otherwise.
 
     Text that is still no number once letters are stripped ("1.2.3", "") gives null.
     """
     kind = type_name(value)
-    number = "decimal(38,10)"
     stripped = F.regexp_replace(F.try_variant_get(value, "$", "string"), "[^0-9.]", "")
     return (
-        F.when(kind == "number", F.try_variant_get(value, "$", number))
-        .when(kind == "string", stripped.try_cast(number))
-        .when(kind == "object", F.try_variant_get(value, "$.size", "string").try_cast(number))
-        .when(kind == "array", F.try_variant_get(value, "$[0]", "string").try_cast(number))
+        F.when(kind == "number", value)
+        .when(kind == "string", number_of(stripped))
+        .when(kind == "object", number_of(F.try_variant_get(value, "$.size", "string")))
+        .when(kind == "array", number_of(F.try_variant_get(value, "$[0]", "string")))
     )
 
 
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def number_of(text: Column) -> Column:
+    """The number a text spells, as VARIANT with all its digits (a double beyond 38 of them); null if it spells none."""
+    plain = F.trim(text)
+    # JSON knows no plus sign, no leading zeros, and no point without digits on both sides.
+    spelled = F.regexp_replace(plain, r"^\+", "")
+    spelled = F.regexp_replace(spelled, r"^(-?)0+(?=[0-9])", "$1")
+    spelled = F.regexp_replace(spelled, r"(?<![0-9])\.(?=[0-9])", "0.")
+    spelled = F.regexp_replace(spelled, r"\.(?![0-9])", "")
+    return F.when(plain.rlike(_NUMBER), F.try_parse_json(spelled))
+
+
 def set_key(doc: Column, key: str, value: Column) -> Column:
     """``doc`` with ``key`` set to a VARIANT; a null value stores JSON null and keeps the document."""
     kept = F.map_filter(as_map(doc), lambda name, _: name != key)

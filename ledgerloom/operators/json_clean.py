@@ -102,7 +102,7 @@ def normalize_numeric(rows: DataFrame, doc: str, key: str, category: str = "tele
     document = F.col(doc)
     value = J.member(document, key)
     applies = in_category(document, category) & J.has_key(document, key) & (J.type_name(value) != "number")
-    fixed = J.set_key(document, key, J.to_variant(J.numeric_from(value)))
+    fixed = J.set_key(document, key, J.numeric_from(value))
     return rows.withColumn(doc, F.when(applies, fixed).otherwise(document))
 
 

@@ -13,7 +13,6 @@ LAG_MINUTES = 5
 LAG_ALERT_ABOVE = 1000
 SLA_MS = 500
 TOTALS_ROW = "Aggregated"
-ALERT_TEXT = "ES outbox lag critical"
 
 
 def pending_events(outbox: DataFrame) -> DataFrame:
@@ -27,11 +26,6 @@ def outbox_lag(outbox: DataFrame, as_of: datetime, minutes: int = LAG_MINUTES, t
     return late.agg(F.count("*").alias("lag")).withColumn("alert", F.col("lag") > threshold)
 
 
-def lag_alert(lag: DataFrame) -> DataFrame:
-    """The alert row to send; empty while the backlog is tolerable."""
-    return lag.filter("alert").select(F.lit(ALERT_TEXT).alias("alert"), "lag")
-
-
 def latency_report(requests: DataFrame, sla_ms: float = SLA_MS) -> DataFrame:
     """Calls, failures, median, 99th percentile and verdict per request name.
 

@@ -29,8 +29,8 @@ def kept(spark: SparkSession, name: str, sources: list[str], write: Callable[[st
     return spark.read.schema(schema).parquet(path)
 
 
-def kept_bucketed(spark: SparkSession, name: str, sources: list[str], write: Callable[[str, str], None]) -> DataFrame:
-    """As ``kept`` for a bucketed table of the catalogue; ``write`` gets its name and path."""
+def kept_table(spark: SparkSession, name: str, sources: list[str], write: Callable[[str, str], None]) -> DataFrame:
+    """As ``kept`` for a table or view of the catalogue; ``write`` gets its name, and a path it may use."""
     key = (spark.sparkContext.applicationId, name, *(file_stamps(spark, path) for path in sources))
     if key not in _kept:
         table = f"{name}_{uuid.uuid4().hex}"

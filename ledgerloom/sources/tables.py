@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +24,6 @@ def schema_with_last(rows: DataFrame, columns: Sequence[str]) -> T.StructType:
     return T.StructType(kept + [rows.schema[name] for name in columns])
 
 
-def read_shards(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
-    return [spark.read.parquet(path) for path in paths]
-
-
 def read_load_stats(spark: SparkSession, path: str) -> DataFrame:
     """Load-test statistics CSV. All columns are text; the report decides what is readable."""
     return spark.read.csv(path, header=True).select(*[f"`{name}`" for name in LOAD_STATS_COLUMNS])
@@ -71,8 +69,25 @@ def write_partitioned(rows: DataFrame, path: str, columns: Sequence[str]) -> Non
 
 
 def store_view(rows: DataFrame, table: str) -> DataFrame:
-    """Materialise a result as a catalogue table, replacing an earlier refresh, with statistics for the planner."""
-    spark = rows.sparkSession
-    rows.write.mode("overwrite").saveAsTable(table)
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    return spark.table(table)
+    """Materialise a result under a name of the catalogue, with statistics for the planner.
+
+    Each refresh is a table of its own and the name is then pointed at it, so a
+    plan that reads the one before goes on reading it. ``drop_refreshes`` removes
+    those nobody reads any more.
+    """
+    spark, stored = rows.sparkSession, f"{table}_{uuid.uuid4().hex}"
+    rows.write.mode("error").saveAsTable(stored)
+    spark.sql(f"ANALYZE TABLE {stored} COMPUTE STATISTICS FOR ALL COLUMNS")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {stored}")
+    return spark.table(stored)
+
+
+def drop_refreshes(spark: SparkSession, table: str, keep: DataFrame | None = None) -> None:
+    """Drop the refreshes of a stored view; without ``keep``, the refresh still in use, the name goes as well."""
+    in_use = set() if keep is None else {file.split("/")[-2] for file in keep.inputFiles()}
+    if keep is None:
+        spark.sql(f"DROP VIEW IF EXISTS {table}")
+    refresh = re.compile(re.escape(table) + "_[0-9a-f]{32}")
+    for found in spark.catalog.listTables():
+        if refresh.fullmatch(found.name) and found.name not in in_use:
+            spark.sql(f"DROP TABLE {found.name}")

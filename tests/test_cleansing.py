@@ -120,3 +120,13 @@ def test_rules_with_null_pass(spark):
     rows = spark.createDataFrame([(1, "a"), (None, "b"), (-1, None)], "n int, s string")
     report = quality.constraint_report(rows, {"positive": F.col("n") > 0, "named": F.col("s").isNotNull()})
     assert {r.rule: r.violations for r in report.collect()} == {"positive": 1, "named": 1}
+
+
+def test_numbers_keep_all_their_digits(spark):
+    texts = ["55", "055", "5.", ".5", "-0.50", "+7", "1e3", "0.12345678901234567890123", "123456789012345678901234567890", "1.2.3", "", "abc", None, " 8 ", "-.25"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in rows.select("t", F.to_json(J.number_of(F.col("t")))).collect()}
+    assert {t: got[t] for t in texts} == {
+        "55": "55", "055": "55", "5.": "5", ".5": "0.5", "-0.50": "-0.5", "+7": "7", "1e3": "1000.0", "0.12345678901234567890123": "0.12345678901234567890123",
+        "123456789012345678901234567890": "123456789012345678901234567890", "1.2.3": None, "": None, "abc": None, None: None, " 8 ": "8", "-.25": "-0.25",
+    }

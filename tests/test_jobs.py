@@ -80,7 +80,7 @@ def test_null_keys_in_the_target_do_not_hide_new_orders(spark):
 def test_shards_are_merged_and_clashes_named(spark, tmp_path):
     for name, rows in {"a": [(1, "Ali"), (2, "Mir")], "b": [(2, "Noor"), (3, "Zia")]}.items():
         spark.createDataFrame(rows, "customer_id int, last_name string").write.parquet(str(tmp_path / name))
-    shards = tables.read_shards(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    shards = [tables.read_parquet(spark, str(tmp_path / name)) for name in "ab"]
     merged, clashes = quality.consolidate_shards(shards, "customer_id")
     assert merged.count() == 4
     assert [(r.customer_id, r.copies) for r in clashes.collect()] == [(2, 2)]
@@ -117,10 +117,14 @@ def test_stored_view_is_replaced(spark):
     try:
         view = tables.store_view(serving.product_ratings(reviews), "ratings_view")
         assert {(r.product_id, r.avg_rating, r.review_count) for r in view.collect()} == {(1, 4.5, 2), (2, None, 0)}
-        view = tables.store_view(serving.product_ratings(reviews.filter("product_id = 1")), "ratings_view")
-        assert view.count() == 1
+        refreshed = tables.store_view(serving.product_ratings(reviews.filter("product_id = 1")), "ratings_view")
+        # A plan that reads the refresh before goes on; the name shows the new one.
+        assert view.count() == 2 and refreshed.count() == 1 and spark.table("ratings_view").count() == 1
+        tables.drop_refreshes(spark, "ratings_view", refreshed)
+        assert spark.table("ratings_view").count() == 1
+        assert sum(t.name.startswith("ratings_view_") for t in spark.catalog.listTables()) == 1
     finally:
-        spark.sql("DROP TABLE IF EXISTS ratings_view")
+        tables.drop_refreshes(spark, "ratings_view")
 
 
 def test_audit_stamps(spark):
