@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +32,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
+
+from ledgerloom.llm.common import only
 
 WORDS_KEPT = 250_000
 # Longer words are streamed and not kept.
@@ -47,6 +52,10 @@ class Spec(NamedTuple):
     pattern: str
     special: list[str]
     byte_decoder: bool
+    #: Code points that the library holds to be of another class than ``regex`` does, with a stand-in of its class.
+    stand_ins: dict[int, str] = {}
+    #: Code points that the library lowers otherwise than Python, with what it makes of them.
+    lowered: dict[int, str] = {}
 
 
 def read_spec(path: str) -> Spec:
@@ -60,7 +69,61 @@ def read_spec(path: str) -> Spec:
     model, decoder = found["model"], found["decoder"]
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
     special = {a["content"]: a["id"] for a in found["added_tokens"]}
-    return Spec(model["vocab"] | special, merges, model["end_of_word_suffix"] or "", split["pattern"]["Regex"], list(special), bool(decoder))
+    return Spec(model["vocab"] | special, merges, model["end_of_word_suffix"] or "", split["pattern"]["Regex"], list(special), bool(decoder), stand_ins(), lowered())
+
+
+# Classes the splitting pattern names, each with a character of it that no alternative of the pattern names.
+CLASSES = {r"\p{L}": "x", r"\p{N}": "7", r"\p{White_Space}": " "}
+OTHER = "!"
+
+
+# Planes with assigned characters, or kept for letters; in all others every table says "other" (tested).
+PLANES = ((0, 0xD800), (0xE000, 0x40000), (0xE0000, 0xE1000))
+
+
+@lru_cache(maxsize=2)
+def stand_ins(planes: tuple[tuple[int, int], ...] = PLANES) -> dict[int, str]:
+    """Code points of which the library's tables say something else than those of ``regex``, mostly unassigned ones.
+
+    Both are asked once on the driver, about all code points in one text.
+    """
+    points = np.concatenate([np.arange(*plane) for plane in planes])
+    text = "".join(map(chr, points))
+    theirs, ours = np.full(len(points), OTHER), np.full(len(points), OTHER)
+    for kind, character in CLASSES.items():
+        inside = np.ones(len(points), bool)
+        named = r"\s" if "Space" in kind else kind
+        for _, (start, end) in pre_tokenizers.Split(Regex(f"[{named}]+"), "removed").pre_tokenize_str(text):
+            inside[start:end] = False
+        theirs[inside] = character
+        for match in regex.finditer(f"[{kind}]+", text):
+            ours[match.start() : match.end()] = character
+    differ = theirs != ours
+    return dict(zip(points[differ].tolist(), theirs[differ].tolist()))
+
+
+@lru_cache(maxsize=2)
+def lowered(planes: tuple[tuple[int, int], ...] = PLANES) -> dict[int, str]:
+    """Code points whose lower case in the library's tables is not that of Python's, again asked all at once."""
+    lines = [chr(p) for plane in planes for p in range(*plane) if p != 0x0A]
+    theirs = normalizers.Lowercase().normalize_str("\n".join(lines)).split("\n")
+    return {ord(c): made for c, made in zip(lines, theirs) if made != _lower(c)}
+
+
+def _lower(text: str) -> str:
+    """Letters are lowered one by one: no final sigma."""
+    return text.replace("Σ", "σ").lower()
+
+
+def _character_set(points: Iterable[int]) -> str:
+    """A set for a pattern that holds these code points, as ranges."""
+    ranges: list[list[int]] = []
+    for point in sorted(points):
+        if ranges and ranges[-1][1] == point - 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]"
 
 
 def byte_symbols() -> list[str]:
@@ -95,6 +158,8 @@ class Bpe:
         self.byte_symbol = byte_symbols()
         self.split = regex.compile(spec.pattern.replace(r"[^\s", r"[^\p{White_Space}"))
         self.special = regex.compile("|".join(map(regex.escape, spec.special))) if spec.special else None
+        self.odd_case = re.compile(_character_set(spec.lowered)) if spec.lowered else None
+        self.odd = re.compile(_character_set(spec.stand_ins)) if spec.stand_ins else None
         self.strings = {n: s for s, n in spec.ids.items()}
         self.utf8 = [self.strings.get(n, "").encode() for n in range(max(self.strings) + 1)]
         # Merges as arrays: the pair as one number, sorted, with its rank and what it makes.
@@ -219,7 +284,7 @@ class Bpe:
         """Ids of words not known yet. Short ones are kept; the long ones are returned."""
         for token in self.spec.special:
             self.words[token] = ID_TYPE.type(self.spec.ids[token]).tobytes()
-        pieces = {w: [w] if w.isalpha() else self.split.findall(w) for w in words if w not in self.words}
+        pieces = {w: self._pieces(w) for w in words if w not in self.words}
         fresh = list({p for found in pieces.values() for p in found if p not in self.tokens and len(p) <= LONGEST_KEPT})
         if fresh:
             if len(self.tokens) > WORDS_KEPT:
@@ -232,6 +297,12 @@ class Bpe:
             (self.words if len(word) <= LONGEST_KEPT else long)[word] = packed
         return long
 
+    def _pieces(self, word: str) -> list[str]:
+        if self.odd is not None and not word.isascii() and self.odd.search(word):
+            # A stand-in takes one place as well, so the places of the pieces are those of the word.
+            return [word[m.start() : m.end()] for m in self.split.finditer(word.translate(self.spec.stand_ins))]
+        return [word] if word.isalpha() else self.split.findall(word)
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         cut = [self._words_of(t) for t in texts]
@@ -261,15 +332,15 @@ class Bpe:
             at = match.end()
         return out + self._split_words(text[at:])
 
-    @staticmethod
-    def _split_words(text: str) -> list[str]:
+    def _split_words(self, text: str) -> list[str]:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        # Letters are lowered one by one: no final sigma.
-        lowered = text.replace("Σ", "σ").lower()
-        if _ODD_SPACE.search(lowered):
-            return [w for w in _SPACE.split(lowered) if w]
-        return lowered.split()
+        if self.odd_case is not None and not text.isascii() and self.odd_case.search(text):
+            text = text.translate(self.spec.lowered)
+        text = _lower(text)
+        if _ODD_SPACE.search(text):
+            return [w for w in _SPACE.split(text) if w]
+        return text.split()
 
     def decode(self, ids: bytes) -> Iterator[bytes]:
         """UTF-8 text of the ids, part by part, as the library's decode() gives it whole."""
@@ -336,6 +407,7 @@ _last: list[tuple[str, Bpe]] = []
 def _bpe(spec: Spec) -> Bpe:
     """A worker process keeps its merge table and words from task to task."""
     key = hashlib.sha256(repr((spec.merges, spec.pattern, spec.special)).encode()).hexdigest()
+    only(_last)
     if not _last or _last[0][0] != key:
         _last[:] = [(key, Bpe(spec))]
     return _last[0][1]

@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import only
 from ledgerloom.llm.components import connected
 from ledgerloom.session import cut_lineage
 
@@ -51,9 +52,6 @@ STEP = 2
 DEEPEST = 10
 FILTER_BITS = 1 << 27
 WORDS_KEPT = 300_000
-# Bytes of a 64-bit shingle hash that are kept for comparing sets.
-SET_BYTES = 6
-
 _U64 = np.uint64
 _rng = np.random.default_rng(20240901)
 _XOR = _rng.integers(0, 1 << 32, FUNCTIONS + SKETCH_BITS, dtype=np.uint32)
@@ -90,6 +88,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.zeros(0, _U64)
+    only(_hashes)
     if len(_hashes) > WORDS_KEPT:
         _hashes.clear()
     h = np.fromiter(map(_hashes.__getitem__, found), _U64, len(found))
@@ -313,7 +312,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, like: Likeness
                     found = shingle_set(batch.column(0)[i].as_py(), like.words)
                     if len(found):
                         classes.append(xxhash.xxh3_128_digest(found.tobytes()))
-                        sets.append(found.view(np.uint8).reshape(-1, 8)[:, 8 - SET_BYTES :].tobytes())
+                        sets.append(found.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), pa.array(sets, pa.binary())], ["class", "shingles"])
 
     rows = docs.filter("doc_id IS NOT NULL").select("text", F.xxhash64("doc_id", F.lit(0)), F.xxhash64("doc_id", F.lit(1)))
@@ -337,12 +336,6 @@ def _followers(docs: DataFrame, classes: DataFrame, like: Likeness, small: int)
     return links.unionByName(cut_lineage(confirmed(likeliest, sets, like.percent))), sets
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // SET_BYTES, 8), np.uint8)
-    out[:, :SET_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, SET_BYTES)
-    return out.reshape(-1).view(_U64)
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) that reach the threshold on their full sets."""
     left, right = (sets.select(F.col("class").alias(f"class_{n}"), F.col("shingles").alias(f"set_{n}")) for n in "ab")
@@ -352,7 +345,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = _unpacked(x.as_py()), _unpacked(y.as_py())
+                x, y = np.frombuffer(x.as_py(), _U64), np.frombuffer(y.as_py(), _U64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))

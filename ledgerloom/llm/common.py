@@ -18,6 +18,29 @@ def whole_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever columns it has besides those an operator knows."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_in_use: list = []
+
+
+def only(table) -> None:
+    """Say that a task works with this table of its worker process.
+
+    Workers are used again by operator after operator; the table of the one
+    before is emptied when the next one starts, so tables do not add up.
+    """
+    if not _in_use or _in_use[0] is not table:
+        for other in _in_use:
+            other.clear()
+        _in_use[:] = [table]
+
+
 def squeezed(text: Column) -> Column:
     """Text without its white space."""
     return F.regexp_replace(text, SPACES + "+", "")

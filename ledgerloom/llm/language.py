@@ -26,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import only
 from ledgerloom.llm.lattice import Vocabulary, WordTable, ends_of, in_portions, marked_words, sentencepiece_vocabulary
 from ledgerloom.session import cut_lineage
 
 UNDETERMINED = "und"
 DOCS_PER_LANGUAGE = 400
+#: The model holds the vocabulary once a language; a column with more values names something else, and learning stops.
+LANGUAGES = 500
 ROUNDS = 3
 SMOOTHING = 0.1
 # A character that is no piece: the same in all languages.
@@ -117,7 +120,10 @@ def learn(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_co
     pieces = [p for p, _ in sentencepiece_vocabulary(vocabulary_path)]
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     labelled = labelled.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
+    if len(counted) > LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {LANGUAGES} values: it names no languages")
+    sizes = {r.lang: r.n for r in counted}
     languages = sorted(sizes)
     if not languages:
         return Model(pieces, [], np.zeros((len(pieces) + 1, 0)), np.zeros(0))
@@ -181,11 +187,43 @@ _last: list[tuple[object, Scorer]] = []
 
 def _scorer(broadcast_id: int, model: Model) -> Scorer:
     """A worker process keeps its automaton and words from task to task of one prediction."""
+    only(_last)
     if not _last or _last[0][0] != broadcast_id:
         _last[:] = [(broadcast_id, Scorer(model.pieces, model.probability))]
     return _last[0][1]
 
 
+def _judged(scorer: Scorer, model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """The likeliest language of each text and its probability."""
+    readable = [t if model.languages and t and _LETTER.search(t) else None for t in texts]
+    codes = scorer.words.look_up([marked_words(t.lower()) if t else [] for t in readable])
+    best, score = [], []
+    for t, c in zip(readable, codes):
+        if t is None:
+            best.append(UNDETERMINED)
+            score.append(0.0)
+            continue
+        likely = scorer.words.rows[c].sum(axis=0) + model.prior
+        top = int(likely.argmax())
+        best.append(model.languages[top])
+        score.append(float(1 / np.exp(likely - likely[top]).sum()))
+    return best, score
+
+
+def with_language(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
+    """All rows and columns, with the predicted language of each row's text in column ``name``; no row is moved."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = shared._jbroadcast.id()
+
+    def languages(texts: pa.Array) -> pa.Array:
+        scorer, found = _scorer(key, shared.value), []
+        for portion in in_portions((t.as_py() for t in texts), lambda t: len(t or ""), PORTION):
+            found.extend(_judged(scorer, shared.value, list(portion))[0])
+        return pa.array(found, pa.string())
+
+    return docs.withColumn(name, F.arrow_udf(languages, "string")(F.col(text_col).cast("string")))
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score.
 
@@ -198,23 +236,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(key, shared.value)
-        languages, prior = shared.value.languages, shared.value.prior
         for batch in batches:
             rows = ((i.as_py(), h.as_py(), t.as_py()) for i, h, t in zip(*batch.columns))
             for portion in in_portions(rows, lambda r: len(r[2] or ""), PORTION):
-                readable = [t if languages and t and _LETTER.search(t) else None for _, _, t in portion]
-                codes = scorer.words.look_up([marked_words(t.lower()) if t else [] for t in readable])
-                best, score = [], []
-                for t, c in zip(readable, codes):
-                    if t is None:
-                        best.append(UNDETERMINED)
-                        score.append(0.0)
-                        continue
-                    likely = scorer.words.rows[c].sum(axis=0) + prior
-                    top = int(likely.argmax())
-                    best.append(languages[top])
-                    score.append(float(1 / np.exp(likely - likely[top]).sum()))
-                ids, held, _ = zip(*portion)
+                ids, held, texts = zip(*portion)
+                best, score = _judged(scorer, shared.value, texts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(best), pa.array(score, pa.float64())],
                     ["doc_id", "held_out", "lang_pred", "score"],

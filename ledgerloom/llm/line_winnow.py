@@ -31,9 +31,10 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import fresh, only
 from ledgerloom.session import cut_lineage
 
 MIN_WORDS = 25
@@ -138,6 +139,7 @@ _hashes = _WordHashes()
 
 def word_hashes(text: str | None) -> np.ndarray:
     words = (text or "").split()
+    only(_hashes)
     if len(_hashes) > WORDS_KEPT:
         _hashes.clear()
     return np.fromiter(map(_hashes.__getitem__, words), _U64, len(words))
@@ -248,17 +250,24 @@ def delete_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     left = cut_lineage(with_lines.mapInArrow(run, "doc_id bigint, row_hash bigint, text string, n_lines bigint, n_removed bigint"))
     with_words = _with_stretches(left, repeated_words(left))
-    gone = F.coalesce(F.arrow_udf(_emptied, "bigint")("text", "stretches"), F.lit(0))
-    text = F.when(F.col("stretches").isNull(), F.col("text")).otherwise(F.arrow_udf(_reworded, "string")("text", "stretches"))
-    return with_words.select("doc_id", text.alias("text"), "n_lines", (F.col("n_removed") + gone).alias("n_removed"))
+    # Only texts that change go to Python, once.
+    changed = F.arrow_udf(_reworded_and_emptied, "struct<text: string, emptied: bigint>")(_where_found("text", "stretches"), "stretches")
+    done = with_words.withColumn("done", changed)
+    gone = F.coalesce("done.emptied", F.lit(0))
+    return done.select("doc_id", F.coalesce("done.text", "text").alias("text"), "n_lines", (F.col("n_removed") + gone).alias("n_removed"))
 
 
-def _reworded(texts: pa.Array, stretches: pa.Array) -> pa.Array:
-    return pa.array([without_words(text.as_py(), found.as_py())[0] if found.is_valid else None for text, found in zip(texts, stretches)], pa.string())
+def _where_found(text: str, stretches: str) -> Column:
+    return F.when(F.col(stretches).isNotNull(), F.col(text))
+
 
+def _reworded_and_emptied(texts: pa.Array, stretches: pa.Array) -> pa.Array:
+    done = [without_words(text.as_py(), found.as_py()) if found.is_valid else (None, None) for text, found in zip(texts, stretches)]
+    return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["text", "emptied"])
 
-def _emptied(texts: pa.Array, stretches: pa.Array) -> pa.Array:
-    return pa.array([without_words(text.as_py(), found.as_py())[1] if found.is_valid else None for text, found in zip(texts, stretches)], pa.int64())
+
+def _reworded(texts: pa.Array, stretches: pa.Array) -> pa.Array:
+    return pa.array([without_words(text.as_py(), found.as_py())[0] if found.is_valid else None for text, found in zip(texts, stretches)], pa.string())
 
 
 def without_words(text: str, stretches: Sequence[dict]) -> tuple[str, int]:
@@ -294,14 +303,15 @@ def apply_stretches(docs: DataFrame, stretches: DataFrame, id_col: str = "doc_id
 
 
 def _applied(docs: DataFrame, stretches: DataFrame, shortened_by: Callable[[pa.Array, pa.Array], pa.Array], id_col: str, text_col: str, chars_col: str) -> DataFrame:
-    found = stretches.select(F.col("doc_id").alias("_of"), F.col("row_hash").alias("_of_hash"), F.col("stretches").alias("_stretches"))
-    both = docs.join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col("_of")) & (F.xxhash64(text_col) == F.col("_of_hash")), "left")
-    shortened = both.withColumn("_left", F.arrow_udf(shortened_by, "string")(F.col(text_col), F.col("_stretches")))
-    kept = shortened.filter(F.col("_left").isNull() | (F.trim("_left") != ""))
-    out = kept.withColumn(text_col, F.coalesce("_left", text_col))
+    of, of_hash, here, left = (fresh(docs, name) for name in ("of", "of_hash", "stretches", "left"))
+    found = stretches.select(F.col("doc_id").alias(of), F.col("row_hash").alias(of_hash), F.col("stretches").alias(here))
+    both = docs.join(found, F.col(id_col).cast("bigint").eqNullSafe(F.col(of)) & (F.xxhash64(text_col) == F.col(of_hash)), "left")
+    shortened = both.withColumn(left, F.arrow_udf(shortened_by, "string")(_where_found(text_col, here), F.col(here)))
+    kept = shortened.filter(F.col(left).isNull() | (F.trim(left) != ""))
+    out = kept.withColumn(text_col, F.coalesce(left, text_col))
     if chars_col in docs.columns:
-        length = F.length("_left").cast(docs.schema[chars_col].dataType)
-        out = out.withColumn(chars_col, F.when(F.col(chars_col).isNotNull() & F.col("_left").isNotNull(), length).otherwise(F.col(chars_col)))
+        length = F.length(left).cast(docs.schema[chars_col].dataType)
+        out = out.withColumn(chars_col, F.when(F.col(chars_col).isNotNull() & F.col(left).isNotNull(), length).otherwise(F.col(chars_col)))
     return out.select(*docs.columns)
 
 

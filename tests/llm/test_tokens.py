@@ -125,3 +125,25 @@ def test_count_table(spark):
     counter = unigram_count.Counter(lattice.sentencepiece_vocabulary(PIECES))
     assert got == {(d, len(t or ""), *reversed(counter.totals([t])[0])) for d, t in rows}
     assert unigram_count.count_tokens(documents(spark, []), PIECES).collect() == []
+
+
+def test_every_code_point_is_split_as_the_library_splits_it():
+    library = Tokenizer.from_file(WORD_BPE)
+    bpe = bpe_stream.Bpe(bpe_stream.read_spec(WORD_BPE))
+    odd = sorted(bpe.spec.stand_ins)
+    assert odd
+    # All points the two tables tell apart, and every point up to the end of the assigned letters.
+    points = [p for p in range(0x33480) if not 0xD800 <= p < 0xE000] + [p for p in odd if p >= 0x33480]
+    texts = []
+    for at in range(0, len(points), 500):
+        part = [chr(p) for p in points[at : at + 500]]
+        texts += [" ".join(f"a{c}b" for c in part), " ".join(part), " ".join(f"1{c}{c.upper()}'s!" for c in part)]
+    got = bpe.encode_many(texts)
+    for text, mine, theirs in zip(texts, got, library.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(mine, bpe_stream.ID_TYPE).tolist() == theirs.ids, text[:50]
+
+
+def test_no_other_plane_has_code_points_that_differ():
+    everything = ((0, 0xD800), (0xE000, 0x110000))
+    assert bpe_stream.stand_ins(everything) == bpe_stream.stand_ins()
+    assert bpe_stream.lowered(everything) == bpe_stream.lowered()
