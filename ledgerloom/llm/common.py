@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ def only(table) -> None:
     if not _in_use or _in_use[0] is not table:
         for other in _in_use:
             other.clear()
+        pa.default_memory_pool().release_unused()
         _in_use[:] = [table]
 
 

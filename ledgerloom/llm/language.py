@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm.common import only
 from ledgerloom.llm.lattice import Vocabulary, WordTable, ends_of, in_portions, marked_words, sentencepiece_vocabulary
@@ -213,15 +214,17 @@ def _judged(scorer: Scorer, model: Model, texts: list[str | None]) -> tuple[list
 def with_language(docs: DataFrame, model: Model, name: str, text_col: str = "text") -> DataFrame:
     """All rows and columns, with the predicted language of each row's text in column ``name``; no row is moved."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = shared._jbroadcast.id()
+    key, place = shared._jbroadcast.id(), docs.columns.index(text_col)
 
-    def languages(texts: pa.Array) -> pa.Array:
-        scorer, found = _scorer(key, shared.value), []
-        for portion in in_portions((t.as_py() for t in texts), lambda t: len(t or ""), PORTION):
-            found.extend(_judged(scorer, shared.value, list(portion))[0])
-        return pa.array(found, pa.string())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(key, shared.value)
+        for batch in batches:
+            found: list[str] = []
+            for portion in in_portions((t.as_py() for t in batch.column(place)), lambda t: len(t or ""), PORTION):
+                found.extend(_judged(scorer, shared.value, portion)[0])
+            yield batch.append_column(name, pa.array(found, pa.string()))
 
-    return docs.withColumn(name, F.arrow_udf(languages, "string")(F.col(text_col).cast("string")))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

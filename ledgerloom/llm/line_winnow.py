@@ -197,8 +197,8 @@ def _find_passages(rows: DataFrame) -> DataFrame:
 def repeated_words(rows: DataFrame) -> DataFrame:
     """doc_id, row_hash and the stretches (first, last) of words that repeat an earlier passage of ``PASSAGE_WORDS`` words, for rows of doc_id, row_hash and text."""
     found = cut_lineage(_find_runs(rows))
-    position = F.struct("doc_id", "row_hash", "place")
-    shared = found.groupBy("run").agg(F.min(position).alias("a"), F.max(position).alias("b")).filter(F.col("a") != F.col("b"))
+    # Runs that occur once need no more than to be counted; whether places differ is for the passages to say.
+    shared = found.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     near = found.join(cut_lineage(shared.select("run")), "run", "left_semi")
     # Places of one document, so a list is bounded by it.
     places = cut_lineage(near.groupBy(F.col("doc_id").alias("of"), F.col("row_hash").alias("of_hash")).agg(F.collect_set("place").alias("places")))

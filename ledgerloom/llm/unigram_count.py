@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import only
 from ledgerloom.llm.lattice import Vocabulary, WordTable, ends_of, in_portions, marked_words, sentencepiece_vocabulary
 
 UNKNOWN_PENALTY = 10.0
@@ -74,7 +73,6 @@ _last: list[tuple[list, Counter]] = []
 
 def _counter(pieces: list[tuple[str, float]]) -> Counter:
     """A worker process keeps its automaton and words from task to task."""
-    only(_last)
     if not _last or _last[0][0] != pieces:
         _last[:] = [(pieces, Counter(pieces))]
     return _last[0][1]

@@ -75,3 +75,37 @@ def test_apply_keeps_columns_and_lengths(spark):
     assert set(got) == {1, 2, 4}
     assert got[2].text == "before\nafter" and got[2].n_chars == len("before\nafter") and got[2].digest == "x"
     assert got[1].text == line + "\nown text" and got[4].text is None
+
+
+def brute_words(rows):
+    """Words to delete, by row: those in any 51 words that were there before, in the order of id and text hash."""
+    span, first, gone = line_winnow.PASSAGE_WORDS, {}, {}
+    for doc, row_hash, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        words = (text or "").split()
+        lost = gone.setdefault((doc, row_hash), set())
+        for i in range(len(words) - span + 1):
+            at = first.setdefault(tuple(words[i : i + span]), (doc, row_hash, i))
+            if at != (doc, row_hash, i):
+                low = max(i, at[2] + span) if at[:2] == (doc, row_hash) else i
+                lost.update(range(low, i + span))
+    return {key: lost for key, lost in gone.items() if lost}
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_the_word_pass_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passages = [[rng.choice(words) for _ in range(rng.randint(45, 90))] for _ in range(8)]
+    passages.append(["again"] * 120)
+    texts = []
+    for _ in range(90):
+        parts = [[rng.choice(words) for _ in range(rng.randint(0, 40))]]
+        for _ in range(rng.randrange(4)):
+            whole = rng.choice(passages)
+            parts.append(whole[rng.randrange(3) : len(whole) - rng.randrange(3)])
+            parts.append([rng.choice(words) for _ in range(rng.randint(0, 20))])
+        texts.append(rng.choice((" ", "\n")).join(w for part in parts for w in part))
+    rows = [(rng.choice((None, *range(40))), i, t) for i, t in enumerate(texts)] + [(7, 1000, None), (8, 1001, ""), (9, 5, texts[5]), (9, 5, texts[5])]
+    table = spark.createDataFrame(rows, "doc_id long, row_hash long, text string").repartition(5)
+    got = {(r.doc_id, r.row_hash): {i for s in r.stretches for i in range(s["first"], s["last"] + 1)} for r in line_winnow.repeated_words(table).collect()}
+    assert {k: v for k, v in got.items() if v} == brute_words(rows[:-1]) and len(got) > 20
