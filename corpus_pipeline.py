@@ -26,6 +26,12 @@ from ledgerloom.session import cut_lineage
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 LIKE = chosen_path.Likeness(words=5, percent=80)
+#: Documents that go to a Python worker at once. Whole texts vary in length a thousandfold, and every worker holds a batch.
+BATCH = "1000"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,6 +39,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     ``lang`` stays as it was given; a null one is filled with the prediction.
     """
+    _in_small_batches(spark)
     found = fresh(docs, "found")
     told = language.with_language(docs, language.learn(docs, PIECES), found)
     kept = told.filter(F.col(found) != language.UNDETERMINED)
@@ -46,6 +53,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     passage and stay. Rows that share id and text are one document to the search
     and get the same result.
     """
+    _in_small_batches(spark)
     stretches = line_winnow.repeated_stretches(docs)
     return line_winnow.apply_stretches(docs, stretches)
 
@@ -60,6 +68,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     wherever in its lines they begin; before, they would cut near copies up that
     are to be dropped.
     """
+    _in_small_batches(spark)
     key, row, of = fresh(docs, "text_key"), fresh(docs, "kept_row"), fresh(docs, "of_key")
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
@@ -75,6 +84,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in whose text no benchmark item was found; null and empty texts hold none."""
+    _in_small_batches(spark)
     key, leaking = fresh(docs, "text_key"), fresh(docs, "leaking")
     keyed = docs.withColumn(key, F.xxhash64("text"))
     leaks = decontaminate.find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
@@ -84,6 +94,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the token ids and of the decoded text, a row for every document left; a null text has no token."""
+    _in_small_batches(spark)
     return bpe_stream.encode_table(docs, WORD_BPE)
 
 
