@@ -52,7 +52,7 @@ def _digest(rows: str = "rows", total: str = "total", mixed: str = "mixed") -> l
 
 
 def store(rows: DataFrame, key: str, path: str, shape: TreeShape = TreeShape()) -> None:
-    """Store a copy in leaves, and its digests. Rows with a null key are kept in a leaf of their own choice of hash, as any other."""
+    """Store a copy in leaves, and its digests. Rows with a null key lie in the leaf of the hash of null."""
     spark, columns = rows.sparkSession, rows.columns
     leaf = F.pmod(F.xxhash64(key), F.lit(shape.leaves)).cast("int").alias(LEAF)
     tables.write_partitioned(rows.select("*", leaf), f"{path}/rows", [LEAF])
