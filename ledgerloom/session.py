@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,7 +75,42 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     All paths of one application lie in one folder, which can go once it has ended.
     """
     application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/ledgerloom-{application}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/ledgerloom-{application}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+# Paths handed out inside each open scope, the innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def released_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Remove what is stored in the shared folder on the way to a result once that result is stored.
+
+    The function this gives stores a result outside the scope. Nothing else
+    that was made inside may be read after it.
+    """
+    mine: list[str] = []
+    _scopes.append(mine)
+
+    def keep(df: DataFrame) -> DataFrame:
+        _scopes.append([])
+        try:
+            return cut_lineage(df)
+        finally:
+            kept = _scopes.pop()
+            outer = _scopes[:-1]
+            if outer:
+                outer[-1].extend(kept)
+
+    try:
+        yield keep
+    finally:
+        _scopes.pop()
+        for path in mine:
+            remove_path(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -148,3 +148,20 @@ def test_snapshot_is_stamped(spark):
     stock = spark.createDataFrame([(1, 2, 3)], "product_id int, store_id int, quantity_available int")
     row = inventory.capture_snapshot(stock, datetime(2024, 2, 1, 22, 0)).first()
     assert (row.quantity_on_hand, row.snapshot_time, row.snapshot_date) == (3, datetime(2024, 2, 1, 22), date(2024, 2, 1))
+
+
+def test_scratch_is_released_but_for_what_is_kept(spark):
+    from pathlib import Path
+
+    from ledgerloom.session import cut_lineage, released_scratch
+
+    folder = lambda df: Path(df.inputFiles()[0].removeprefix("file://")).parent
+    with released_scratch(spark) as keep:
+        step = cut_lineage(spark.range(5))
+        with released_scratch(spark) as keep_inside:
+            inner = keep_inside(cut_lineage(step.filter("id > 1")))
+        kept, gone = keep(inner.filter("id > 2")), [folder(step), folder(inner)]
+    assert kept.count() == 2 and folder(kept).exists()
+    assert not any(path.exists() for path in gone)
+    after = cut_lineage(kept)
+    assert folder(after).exists() and after.count() == 2
