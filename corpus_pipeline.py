@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe_stream, chosen_path, decontaminate, language, line_winnow
 from ledgerloom.llm.common import fresh, table
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, released_scratch
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -73,13 +73,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))
     keyed = docs.filter(worded).withColumn(key, F.xxhash64("text"))
-    single = cut_lineage(keyed.groupBy(key).agg(F.min_by(F.struct(*docs.columns), first).alias(row)).select(key, f"{row}.*"))
-    groups = chosen_path.near_duplicates(single, id_col=key, like=LIKE).select(F.col("doc_id").alias(of), "component_id")
-    members = single.select(F.col("doc_id").alias("id"), F.col(key).alias("member")).join(groups, F.col("member") == F.col(of))
-    stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "member")).alias("first"))
-    stays = cut_lineage(stays.select(F.col("first.member").alias(of)))
-    kept = single.join(stays, F.col(key) == F.col(of), "left_semi").select(*docs.columns)
-    return line_winnow.apply_words(cut_lineage(kept.unionByName(docs.filter(~worded))))
+    with released_scratch(spark) as keep:
+        single = cut_lineage(keyed.groupBy(key).agg(F.min_by(F.struct(*docs.columns), first).alias(row)).select(key, f"{row}.*"))
+        groups = chosen_path.near_duplicates(single, id_col=key, like=LIKE).select(F.col("doc_id").alias(of), "component_id")
+        members = single.select(F.col("doc_id").alias("id"), F.col(key).alias("member")).join(groups, F.col("member") == F.col(of))
+        stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "member")).alias("first"))
+        stays = cut_lineage(stays.select(F.col("first.member").alias(of)))
+        kept = single.join(stays, F.col(key) == F.col(of), "left_semi").select(*docs.columns)
+        left = keep(kept.unionByName(docs.filter(~worded)))
+    return line_winnow.apply_words(left)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
