@@ -89,8 +89,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     _in_small_batches(spark)
     key, leaking = fresh(docs, "text_key"), fresh(docs, "leaking")
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    leaks = decontaminate.find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
-    leaks = cut_lineage(leaks.select(F.col("doc_id").alias(leaking)).distinct())
+    with released_scratch(spark) as keep:
+        leaks = decontaminate.find_leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+        leaks = keep(leaks.select(F.col("doc_id").alias(leaking)).distinct())
     return keyed.join(leaks, F.col(key) == F.col(leaking), "left_anti").select(*docs.columns)
 
 

@@ -114,3 +114,28 @@ def test_gram_product_equals_dense():
     dense *= idf
     dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
     assert np.allclose(D.gram_times(passages, idf, block), dense.T @ (dense @ block))
+
+
+def test_space_is_learned_from_every_document(spark):
+    """One document among thousands, whatever its id, moves the space as the exact product says."""
+    rng = random.Random(8)
+    texts = [(i, prose(rng, 40, "abcdefgh")) for i in range(3000)]
+    rare = [(5000, " ".join(f"zz{i}" for i in range(32)))]
+    idf, block = np.ones(D.TERMS), np.linalg.qr(np.random.default_rng(9).standard_normal((D.TERMS, 5)))[0]
+    passages = [p for _, text in texts + rare for p in D._passages(D.terms_of(D.words_of(text)), D.FIT_WORDS)]
+    got, n = D._corpus_product(D.with_terms(documents(spark, texts + rare).select("text")).select("terms"), idf, block)
+    assert n == 3001 and np.allclose(got, D.gram_times(passages, idf, block), atol=1e-4 * np.abs(got).max())
+    seen = D.terms_of(D.words_of(rare[0][1]))
+    without = D.gram_times(passages[:-1], idf, block)
+    assert not np.allclose(got[seen], without[seen], atol=1e-3 * np.abs(got).max() / len(texts))
+
+
+def test_items_set_aside_are_in_no_text():
+    rng = random.Random(12)
+    group = [D.Item(i, prose(rng, rng.randint(5, 40), "abc").split(), frozenset()) for i in range(60)]
+    index = D.build_index(group, np.linalg.qr(np.random.default_rng(2).standard_normal((D.TERMS, 8)))[0], np.ones(D.TERMS))
+    for _ in range(20):
+        words = prose(rng, 30, "abc").split()
+        some = D.possible(D.terms_of(words), index)
+        kept = {index.items[length][0][i].item_id for length, at in some.items() for i in at.tolist()}
+        assert {i.item_id for i in group if D.common_subsequence(i.words, words) >= D.PARAPHRASE * len(i.words)} <= kept
