@@ -62,11 +62,12 @@ def deliver_once(path: str) -> Callable[[DataFrame, int], None]:
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark, schema = batch.sparkSession, T.StructType(batch.schema.fields)
-        events = cut_lineage(batch.dropDuplicates(["event_id"]).withColumn(DAY, F.to_date("created_at")))
         # A batch names a few days; each is a folder.
-        days = [r[0] for r in events.select(DAY).distinct().collect()]
+        days = [r[0] for r in batch.select(F.to_date("created_at")).distinct().collect()]
         known = [day for day in days if day is not None]
         earlier = delivered(spark, path, schema).filter((F.col(BATCH) < batch_id) & (F.col(DAY).isin(known) | F.col(DAY).isNull()))
+        # Repeats of the batch and earlier deliveries are found by one shuffle on the identifier.
+        events = batch.dropDuplicates(["event_id"]).withColumn(DAY, F.to_date("created_at"))
         fresh = events.join(earlier.select("event_id"), "event_id", "left_anti").withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         tables.replace_partitions(cut_lineage(fresh.select(*schema.names, DAY, BATCH)), path, [DAY, BATCH])
 

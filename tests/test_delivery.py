@@ -60,3 +60,11 @@ def test_only_the_days_of_a_batch_are_read(spark, tmp_path):
     delivery.deliver_once(out)(events, 0)
     plan = delivery.delivered(spark, out, events.schema).filter(F.col("created_day").isin([datetime(2024, 1, 2).date()]))
     assert "PartitionFilters: [isnotnull(created_day" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_is_stored_aside_once(spark, tmp_path, monkeypatch):
+    stored, cut = [], delivery.cut_lineage
+    monkeypatch.setattr(delivery, "cut_lineage", lambda rows: stored.append(1) or cut(rows))
+    events = delivery.saga_events(spark.createDataFrame(orders(1, 2, 2), ORDERS))
+    delivery.deliver_once(str(tmp_path / "out"))(events, 0)
+    assert len(stored) == 1 and delivery.delivered(spark, str(tmp_path / "out"), events.schema).count() == 4
