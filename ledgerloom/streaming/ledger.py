@@ -50,7 +50,9 @@ class _Ledger(StatefulProcessor):
         self._level.update(self.opening(initialState))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        held = tuple(self._level.get()) if self._level.exists() else None
+        # One call to the store: a key without a level gets none.
+        held = self._level.get()
+        held = None if held is None else tuple(held)
         level = held
         for row in sorted(rows, key=lambda r: [(r[name] is not None, r[name]) for name in self._order]):
             level, answer = self.step(level, row)

@@ -2,6 +2,8 @@ import random
 from datetime import datetime
 from decimal import Decimal
 
+from pyspark.sql import Row
+
 from ledgerloom.operators import folds
 from ledgerloom.streaming import changes, feeds, ledger
 
@@ -130,3 +132,20 @@ def test_ledgers_keep_state_and_read_nothing_they_wrote(spark, tmp_path):
     assert [p["numInputRows"] for p in progress] == [40, 20, 10]
     state = progress[-1]["stateOperators"][0]
     assert state["numRowsTotal"] == 7 and "rocksdbCommitCheckpointLatency" in str(state["customMetrics"])
+
+
+def test_a_key_is_read_by_one_call():
+    class Level:
+        calls = 0
+
+        def get(self):
+            self.calls += 1
+
+        def exists(self):
+            self.calls += 1
+            return False
+
+    processor = ledger._Account(["request_id"], ["request_id", "outcome", "credit_after", "version_after"])
+    processor._level = Level()
+    assert [r.outcome for r in processor.handleInputRows((1,), iter([Row(request_id=1)]), None)] == [folds.CONFLICT]
+    assert processor._level.calls == 1
