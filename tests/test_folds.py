@@ -262,3 +262,21 @@ def test_a_hot_store_is_settled_by_many_tasks_first(spark, caplog):
         ).collect()
     assert {r.order_id: r.outcome for r in got} == replay_orders(orders, items, stock)
     assert caplog.records
+
+
+def test_orders_after_the_shelves_are_empty_need_no_rounds(spark, caplog):
+    """A store of 600 lines, 100 at once: its first lines empty the shelves, and the rest is refused without rounds."""
+    rng = random.Random(13)
+    orders = [(i, 0, i) for i in range(300)]
+    items = [(i, p, rng.randint(1, 4)) for i in range(300) for p in rng.sample(range(4), 2)]
+    stock = {(0, p): 20 for p in range(4)}
+    with caplog.at_level("INFO", logger=folds.log.name):
+        got = folds.place_orders(
+            spark.createDataFrame(orders, "order_id int, store_id int, seq long"),
+            spark.createDataFrame(items, "order_id int, product_id int, qty int"),
+            spark.createDataFrame([(s, p, n) for (s, p), n in stock.items()], "store_id int, product_id int, stock int"),
+            100,
+            40,
+        ).collect()
+    assert {r.order_id: r.outcome for r in got} == replay_orders(orders, items, stock)
+    assert not caplog.records
