@@ -9,15 +9,22 @@ at s = 0.8 a pair shares one child on average however deep the tree gets, while
 unlike sets part quickly. A node with at most ``small`` members is compared
 exhaustively; a larger one branches again.
 
-Sets that are much alike would stay together at every level. So the members of
-large nodes are first compared with a pivot of the node, and those confirmed to
-be linked with their closest pivot follow it. All sets stay in the trees, as a
-link between followers says little about their leaders; but pairs that this has
-put into one component are not compared. A large node with at most ``small``
-members outside its largest component is compared exhaustively as well, those
-against all; one that lies in one component has nothing to find. Members that
-are still together in another large node after ``deepest`` levels are compared
-wherever their components differ. Nothing is capped.
+Sets that are much alike would stay together at every level. So in each large
+node ``PIVOTS`` of its members are pivots, and its members are compared with the
+pivot that most members are like. Those confirmed to be linked with a pivot
+follow it and, where they are ``small / 2`` or more, leave the trees, so a node
+shrinks by its copies at every level and only the others branch again.
+
+What a follower is linked with besides is found by differences from its pivot.
+Let ``D(x)`` be the shingles that only one of x and the pivot has. If x is linked
+with a follower y but not with the pivot, ``D(x)`` and ``D(y)`` share more than
+``(percent * a + 100 * b) / (100 + percent)`` shingles, a and b being what y has
+more and less than the pivot: with fewer, x and y would differ more than x and
+the pivot may. So all but that many of ``D(y)`` are enough to find y by, the
+rarest first. This is asked for the sets near a pivot (similarity ``reach``) that
+share a large node with it and are not in its component. Members still together
+in a large node after ``deepest`` levels are compared wherever their components
+differ. Nothing is capped.
 
 Comparisons are first made on 256-bit sketches (one bit of a minimum each),
 whose cut lies 4 standard deviations under the threshold, and then confirmed
@@ -36,7 +43,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import only
@@ -46,7 +53,8 @@ from ledgerloom.session import cut_lineage
 FUNCTIONS = 64
 SKETCH_BITS = 256
 TREES = 12
-PIVOT_TREES = 4
+PIVOTS = 8
+HEADS = 4
 SMALL = 32
 STEP = 2
 DEEPEST = 10
@@ -215,13 +223,17 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.min("distance").alias("distance"))
 
 
-def _pivot_pairs(rows: DataFrame, large: DataFrame, percent: int) -> DataFrame:
-    """Members of large nodes with the pivot of their node, the member whose hash is least."""
-    members = rows.join(large, "node", "left_semi")
-    least = F.min(F.struct(F.xxhash64("class").alias("h"), *_CARRIED)).alias("p")
-    pivots = cut_lineage(members.groupBy("node").agg(least).select("node", "p.*"))
-    pair = [F.col("x.class").alias("member"), F.col("y.class").alias("pivot"), _distance("x", "y").alias("distance")]
-    return _pairs(members, pivots, F.col("x.class") != F.col("y.class"), percent, pair)
+def _pivot_pairs(many: DataFrame, percent: int) -> DataFrame:
+    """Members of large nodes with one pivot of the node, that of the pivots they may be linked with which most members are like."""
+    own = ["class", "size", "s0", "s1", "s2", "s3"]
+    picks = [F.min(F.struct(F.xxhash64("class", F.lit(i)).alias("h"), *own)).alias(f"p{i}") for i in range(PIVOTS)]
+    pivots = cut_lineage(many.groupBy("node").agg(*picks))
+    like = [(F.col("x.class") != F.col(f"p{i}.class")) & _may_be_alike("x", f"p{i}", percent) for i in range(PIVOTS)]
+    counts = many.alias("x").join(pivots, "node").groupBy("node").agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(like)])
+    counted = cut_lineage(pivots.join(counts, "node"))
+    each = [F.when(c, F.struct(F.col(f"n{i}").alias("n"), (-_distance("x", f"p{i}")).alias("near"), F.col(f"p{i}.class").alias("class"))) for i, c in enumerate(like)]
+    met = many.alias("x").join(counted, "node").select(F.col("x.class").alias("member"), F.array_max(F.array(*each)).alias("p"))
+    return met.filter("p IS NOT NULL").select("member", F.col("p.class").alias("pivot"), F.col("p.n").alias("n"), (-F.col("p.near")).alias("distance"))
 
 
 def _leading(many: DataFrame) -> DataFrame:
@@ -231,41 +243,36 @@ def _leading(many: DataFrame) -> DataFrame:
     return found.select("node", F.col("most.root").alias("lead"), (F.col("n") - F.col("most.n")).alias("outside"))
 
 
-def _closest_inside(outside: DataFrame, many: DataFrame, percent: int) -> DataFrame:
-    """The closest set of another component for each member outside its node's leading one."""
-    pair = [F.col("x.class").alias("member"), F.col("y.class").alias("met"), _distance("x", "y").alias("distance")]
-    met = _pairs(outside, many, (F.col("x.class") != F.col("y.class")) & _apart(), percent, pair)
-    best = met.groupBy("member").agg(F.min(F.struct("distance", "met")).alias("best"))
-    return best.select(F.least("member", "best.met").alias("a"), F.greatest("member", "best.met").alias("b"), F.col("best.distance").alias("distance"))
-
-
-def _tree_pairs(classes: DataFrame, percent: int, trees: int, small: int, deepest: int) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs from small nodes and the closest ones from large nodes, and the rows of large nodes to be compared across components (None if there are none)."""
-    found, left, depth = [], [], STEP
-    rows = _branched(classes, STEP, trees)
+def _tree_pairs(docs: DataFrame, classes: DataFrame, like: Likeness, trees: int, small: int, deepest: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None, DataFrame | None]:
+    """Pairs that may be linked, links confirmed on the way, the sets this took, and the rows of large nodes to be compared across components (None: there are none)."""
+    found, links, sets, rest, depth = [], None, None, None, STEP
     minwise = classes.select(F.col("class").alias("of"), "minwise")
+    rows = _branched(classes.withColumn("root", F.lit(None).cast("binary")), STEP, trees)
     while True:
         large = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > small).select("node"))
-        few = rows.join(large, "node", "left_anti")
-        found.append(cut_lineage(_distinct(_pairs(few, few, (F.col("x.class") < F.col("y.class")) & _apart(), percent, _in_order()))))
-        if large.isEmpty():
+        last = large.isEmpty()
+        if not last:
+            many = cut_lineage(rows.join(large, "node", "left_semi"))
+            follows, between, sets = _followers(docs, classes, many, sets, like, small)
+            links = _all([t for t in (links, follows, between) if t is not None])
+            if not follows.isEmpty():
+                pairs, sets = _by_differences(docs, classes, many, follows, connected(links), sets, like)
+                if pairs is not None:
+                    found.append(pairs)
+            if depth == STEP:  # the first rows are not stored
+                led = follows.select(F.col("a").alias("of"), F.col("b").alias("root"))
+                rows = _branched(cut_lineage(classes.join(led, F.col("class") == F.col("of"), "left").drop("of")), STEP, trees)
+        few = rows if last else rows.join(large, "node", "left_anti")
+        found.append(cut_lineage(_distinct(_pairs(few, few, (F.col("x.class") < F.col("y.class")) & _apart(), like.percent, _in_order()))))
+        if last:
             break
-        leading = cut_lineage(_leading(rows.join(large, "node", "left_semi")).filter("outside > 0"))
-        many = cut_lineage(rows.join(leading, "node", "left_semi"))
-        ending = leading if depth >= deepest else leading.filter(F.col("outside") <= small)
-        if not ending.isEmpty():
-            last = many.join(ending, "node").select("node", *_CARRIED, "lead")
-            outside = last.filter(F.coalesce("root", "class") != F.col("lead")).drop("lead")
-            left.append(cut_lineage(last.drop("lead")))
-            found.append(cut_lineage(_closest_inside(cut_lineage(outside), left[-1], percent)))
+        many = many.join(follows.select(F.col("a").alias("class")), "class", "left_anti").select("node", *_CARRIED)
         if depth >= deepest:
-            break
-        many = many.join(ending, "node", "left_anti")
-        if many.isEmpty():
+            rest = cut_lineage(many)
             break
         rows = cut_lineage(_branched(many.join(minwise, F.col("class") == F.col("of")), STEP))
         depth += STEP
-    return _distinct(_all(found)), _all(left) if left else None
+    return _distinct(_all(found)), links, sets, rest
 
 
 def _all(tables: list[DataFrame]) -> DataFrame:
@@ -319,21 +326,102 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, like: Likeness
     return cut_lineage(rows.mapInArrow(run, "class binary, shingles binary").join(wanted.select("class"), "class", "left_semi"))
 
 
-def _followers(docs: DataFrame, classes: DataFrame, like: Likeness, small: int) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) of members of large nodes with pivots: each with its closest, and one try between components; and the sets this took."""
-    rows = _branched(classes, STEP, PIVOT_TREES)
-    large = cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > small).select("node"))
-    met = cut_lineage(_pivot_pairs(rows, large, like.percent).distinct())
-    closest = cut_lineage(met.groupBy("member").agg(F.min_by("pivot", F.struct("distance", "pivot")).alias("b")).withColumnRenamed("member", "a"))
-    sets = _sets(docs, classes, met.select(F.col("member").alias("class")).unionByName(met.select(F.col("pivot").alias("class"))), like)
-    links = cut_lineage(confirmed(closest, sets, like.percent))
-    roots = connected(links)
+def _with_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, sets: DataFrame | None, like: Likeness) -> DataFrame:
+    """The sets there are and those of the wanted classes."""
+    if sets is None:
+        return _sets(docs, classes, wanted, like)
+    return sets.unionByName(_sets(docs, classes, wanted.join(sets, "class", "left_anti"), like))
+
+
+def _followers(docs: DataFrame, classes: DataFrame, many: DataFrame, sets: DataFrame | None, like: Likeness, small: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links (a, b) of members of large nodes with the pivots they follow, links found by one try between components, and the sets."""
+    met = cut_lineage(_pivot_pairs(many, like.percent).groupBy("member", "pivot").agg(F.max("n").alias("n"), F.min("distance").alias("distance")))
+    sets = _with_sets(docs, classes, met.select(F.col("member").alias("class")).unionByName(met.select(F.col("pivot").alias("class"))), sets, like)
+    common = cut_lineage(met.groupBy("member").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).withColumnRenamed("member", "a"))
+    follows = cut_lineage(confirmed(common, sets, like.percent))
+    # Those that are not linked with the pivot of most try their closest one.
+    others = met.withColumnsRenamed({"member": "a", "pivot": "b"}).join(follows, "a", "left_anti").join(common, ["a", "b"], "left_anti")
+    closest = cut_lineage(others.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b")))
+    follows = cut_lineage(follows.unionByName(confirmed(closest, sets, like.percent)))
+    roots = connected(follows)
     a, b = (roots.select(F.col("node").alias(f"of_{n}"), F.col("root").alias(f"root_{n}")) for n in "ab")
-    placed = met.join(a, F.col("member") == F.col("of_a"), "left").join(b, F.col("pivot") == F.col("of_b"), "left")
-    root_a, root_b = F.coalesce("root_a", "member"), F.coalesce("root_b", "pivot")
-    between = placed.filter(root_a != root_b).groupBy(F.least(root_a, root_b).alias("low"), F.greatest(root_a, root_b).alias("high"))
+    placed = met.join(a, F.col("member") == F.col("of_a")).join(b, F.col("pivot") == F.col("of_b"))
+    between = placed.filter("root_a != root_b").groupBy(F.least("root_a", "root_b").alias("low"), F.greatest("root_a", "root_b").alias("high"))
     likeliest = cut_lineage(between.agg(F.min(F.struct("distance", "member", "pivot")).alias("p")).select(F.col("p.member").alias("a"), F.col("p.pivot").alias("b")))
-    return links.unionByName(cut_lineage(confirmed(likeliest, sets, like.percent))), sets
+    between = cut_lineage(confirmed(likeliest, sets, like.percent))
+    if follows.isEmpty():
+        return follows, between, sets
+    return *_gathered(follows, between, sets, like.percent, small // 2), sets
+
+
+def _gathered(follows: DataFrame, links: DataFrame, sets: DataFrame, percent: int, fewest: int) -> tuple[DataFrame, DataFrame]:
+    """Followers behind the first they are linked with of the ``HEADS`` pivots of their component that most follow, where a pivot has ``fewest``; and all links."""
+    roots = connected(follows.unionByName(links)).select(F.col("node").alias("of"), "root")
+    sizes = follows.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(roots, F.col("b") == F.col("of"))
+    ranked = sizes.withColumn("place", F.row_number().over(Window.partitionBy("root").orderBy(F.desc("n"), "b")))
+    heads = cut_lineage(ranked.filter(f"place <= {HEADS}").select("root", "place", F.col("b").alias("head")))
+    theirs = follows.join(ranked.select("b", "root", "place"), "b").alias("f").join(heads.alias("h"), (F.col("f.root") == F.col("h.root")) & (F.col("f.place") > F.col("h.place")) & (F.col("f.a") != F.col("h.head")))
+    tried = cut_lineage(theirs.select("a", F.col("head").alias("b")))
+    better = confirmed(tried, sets, percent).join(heads.select(F.col("head").alias("b"), "place"), "b")
+    moved = cut_lineage(better.groupBy("a").agg(F.min_by("b", "place").alias("to")))
+    now = cut_lineage(follows.join(moved, "a", "left").select("a", "b", "to"))
+    behind = now.select("a", F.coalesce("to", "b").alias("b"))
+    worth = behind.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= fewest).select("b")
+    return cut_lineage(behind.join(worth, "b", "left_semi").select("a", "b")), links.unionByName(now.select("a", "b"))
+
+
+def _by_differences(docs: DataFrame, classes: DataFrame, many: DataFrame, follows: DataFrame, roots: DataFrame, sets: DataFrame, like: Likeness) -> tuple[DataFrame | None, DataFrame]:
+    """Pairs of a follower, or its pivot, with a set outside its component near the pivot; and the sets."""
+    now = roots.select(F.col("node").alias("of"), F.col("root").alias("now"))
+    placed = cut_lineage(many.join(now, F.col("class") == F.col("of"), "left").select("node", *[F.coalesce("now", "class").alias("root") if c == "root" else c for c in _CARRIED]))
+    pivots = cut_lineage(placed.join(follows.select(F.col("b").alias("class")).distinct(), "class", "left_semi").select("node", *_CARRIED))
+    pair = [F.col("x.class").alias("member"), F.col("y.class").alias("pivot")]
+    outside = cut_lineage(_pairs(placed, pivots, _apart(), reach(like.percent), pair).distinct())
+    if outside.isEmpty():
+        return None, sets
+    sets = _with_sets(docs, classes, outside.select(F.col("member").alias("class")), sets, like)
+    followers = follows.select(F.col("a").alias("member"), F.col("b").alias("pivot")).join(outside.select("pivot").distinct(), "pivot", "left_semi")
+    both = outside.withColumn("follower", F.lit(False)).unionByName(followers.withColumn("follower", F.lit(True)))
+    apart = cut_lineage(_differences(both, sets, like.percent))
+    direct = apart.filter("linked AND NOT follower").select(F.least("member", "pivot").alias("a"), F.greatest("member", "pivot").alias("b"), F.lit(0).alias("distance"))
+    x = apart.filter("NOT linked AND NOT follower").select("pivot", F.col("member").alias("x"), F.col("size").alias("x_size"), F.size("shingles").alias("x_n"), F.explode("shingles").alias("shingle"))
+    y = apart.filter("follower").select("pivot", F.col("member").alias("y"), F.col("size").alias("y_size"), F.size("shingles").alias("y_n"), "enough", F.explode("shingles").alias("shingle"))
+    # Of both sides' differences those go first that the fewest sets outside have.
+    often = x.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.coalesce("n", F.lit(0)), "shingle"]
+    first = y.join(often, ["pivot", "shingle"], "left").withColumn("rank", F.row_number().over(Window.partitionBy("pivot", "y").orderBy(*order)))
+    first = first.filter("rank <= enough AND n IS NOT NULL").drop("enough", "n")
+    x = x.join(often, ["pivot", "shingle"]).withColumn("x_rank", F.row_number().over(Window.partitionBy("pivot", "x").orderBy(*order))).drop("n")
+    # The further x is from the pivot, the more they have to share: of so many, the first has as many behind it on both sides.
+    least = F.ceil(((100 + like.percent) * (F.col("x_n") + F.col("y_n")) - (100 - like.percent) * (F.col("x_size") + F.col("y_size"))) / (2 * (100 + like.percent)))
+    met = (F.col("f.pivot") == F.col("o.pivot")) & (F.col("f.shingle") == F.col("o.shingle")) & (F.col("rank") + least <= F.col("y_n") + 1) & (F.col("x_rank") + least <= F.col("x_n") + 1)
+    shared = first.alias("f").join(x.alias("o"), met).groupBy("x", "y").agg(F.min(F.col("x_n") + F.col("y_n")).alias("n"))
+    found = shared.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.col("n").cast("int").alias("distance"))
+    return cut_lineage(_distinct(direct.unionByName(found))), sets
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (member, pivot, follower) with whether they are linked, the member's size, the shingles that one of them has, and how many of those are enough to find a follower by."""
+    left, right = (sets.select(F.col("class").alias(f"class_{n}"), F.col("shingles").alias(f"set_{n}")) for n in "ab")
+    both = pairs.join(left, F.col("member") == F.col("class_a")).join(right, F.col("pivot") == F.col("class_b")).select("member", "pivot", "follower", "set_a", "set_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                linked, sizes, enough, differences = [], [], [], []
+                for member, pivot in zip(part.column(3), part.column(4)):
+                    member, pivot = np.frombuffer(member.as_py(), _U64), np.frombuffer(pivot.as_py(), _U64)
+                    apart = np.setxor1d(member, pivot, assume_unique=True)
+                    more = (len(apart) + len(member) - len(pivot)) // 2
+                    linked.append(len(apart) * (100 + percent) <= (len(member) + len(pivot)) * (100 - percent))
+                    sizes.append(len(member))
+                    enough.append(len(apart) - (percent * more + 100 * (len(apart) - more)) // (100 + percent))
+                    differences.append(apart.view(np.int64))
+                columns = [*part.columns[:3], pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(enough, pa.int64()), pa.array(differences, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["member", "pivot", "follower", "linked", "size", "enough", "shingles"])
+
+    return both.mapInArrow(run, "member binary, pivot binary, follower boolean, linked boolean, size bigint, enough bigint, shingles array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -368,19 +456,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = F.min(F.struct("doc_id", "size", "minwise", "s0", "s1", "s2", "s3")).alias("first")
     in_a_class = signed.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = cut_lineage(in_a_class.groupBy("class").agg(first).select("class", "first.*"))
-    classes = classes.withColumn("root", F.lit(None).cast("binary"))
-    links, sets = _followers(rows, classes, like, small)
-    known = connected(links).select(F.col("node").alias("of"), F.col("root").alias("known"))
-    placed = cut_lineage(classes.drop("root").join(known, F.col("class") == F.col("of"), "left").drop("of").withColumnRenamed("known", "root"))
-    pairs, rest = _tree_pairs(placed, like.percent, trees, small, deepest)
+    pairs, links, sets, rest = _tree_pairs(rows, classes, like, trees, small, deepest)
     pairs = cut_lineage(pairs)
     wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
     if rest is not None:
         wanted = wanted.unionByName(rest.select("class"))
-    sets = sets.unionByName(_sets(rows, classes, wanted.join(sets, "class", "left_anti"), like))
+    sets = _with_sets(rows, classes, wanted, sets, like)
 
     closest = pairs.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a")).select("a", "b")
-    links = cut_lineage(confirmed(closest, sets, like.percent).unionByName(links))
+    links = cut_lineage(_all([confirmed(closest, sets, like.percent), *([links] if links is not None else [])]))
     roots = connected(links)
     left = _between_components(pairs.select("a", "b"), roots).join(closest, ["a", "b"], "left_anti")
     if rest is not None:

@@ -65,6 +65,40 @@ def test_large_nodes_at_the_deepest_level(spark, small, deepest):
     assert got == brute(rows, 2)
 
 
+def test_copies_leave_the_trees(spark, monkeypatch):
+    """A large family is carried once, not at every level of every tree, and sets linked with its fringe only are still found."""
+    rng = random.Random(14)
+    base = prose(rng, 150, "abcdefghijklmnop").split()
+    rows = [(i, " ".join(edited(rng, base, rng.choice((0.005, 0.01, 0.02, 0.04))))) for i in range(240)]
+    for n in range(12):
+        fringe = edited(rng, base, 0.06)
+        rows += [(1000 + 2 * n, " ".join(fringe)), (1001 + 2 * n, " ".join(edited(rng, fringe, 0.05)))]
+    carried = []
+    plain = chosen_path._branched
+    monkeypatch.setattr(chosen_path, "_branched", lambda rows, levels, trees=0: carried.append(0 if trees else rows.count()) or plain(rows, levels, trees))
+    got = result(chosen_path.near_duplicates(documents(spark, rows), like=chosen_path.Likeness(2, 80)))
+    assert got == brute(rows, 2)
+    assert sum(carried) < 240 * chosen_path.TREES
+
+
+def test_differences_tell_all_links_with_followers():
+    """A set linked with a follower, but not with its pivot, shares one of the follower's first differences."""
+    rng = random.Random(15)
+    base = set(range(200))
+    near = lambda most: frozenset((base - set(rng.sample(range(200), rng.randint(0, most)))) | {rng.randrange(200, 240) for _ in range(rng.randint(0, most))})
+    sets, met = [near(30) for _ in range(150)], 0
+    for pivot in sets[:5]:
+        for x in sets:
+            for y in sets:
+                more, less, apart = len(y - pivot), len(pivot - y), (x ^ pivot) & (y ^ pivot)
+                linked = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+                if linked(x, y) and not linked(x, pivot):
+                    met += 1
+                    assert len(apart) > (80 * more + 100 * less) // 180
+                    assert len(apart) >= -(-(180 * (len(x ^ pivot) + len(y ^ pivot)) - 20 * (len(x) + len(y))) // 360)
+    assert met > 100
+
+
 def test_bridges_between_followers_of_unlike_leaders(spark):
     """Two linked sets, each linked with a set of its own; those two have a similarity of 0.5."""
     rng = random.Random(10)
