@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import fresh, only
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, released_scratch
 
 MIN_WORDS = 25
 # Repeated passages of this many words, that is over 50, go wherever they begin and end.
@@ -150,17 +150,34 @@ def selected_runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n, span = len(words) - RUN_WORDS + 1, PASSAGE_WORDS - RUN_WORDS + 1
     if n < span:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    runs = np.zeros(n, _U64)
-    for i in range(RUN_WORDS):
-        runs = runs * _U64(0x9E3779B97F4A7C15) + words[i : n + i]
+    runs, done = np.zeros(n, _U64), 0
+    # Hashes of 1, 2, 4, ... words; a run is put together from those its length is the sum of.
+    part, length = words, 1
+    factor = 0x9E3779B97F4A7C15
+    while length <= RUN_WORDS:
+        if RUN_WORDS & length:
+            runs = runs * _U64(pow(factor, length, 1 << 64)) + part[done : done + n]
+            done += length
+        part = part[:-length] * _U64(pow(factor, length, 1 << 64)) + part[length:]
+        length *= 2
     runs ^= runs >> _U64(32)
     runs *= _U64(0xD6E8FEB86659FD93)
     runs = (runs ^ (runs >> _U64(32))).view(np.int64)
-    from_last = np.lib.stride_tricks.sliding_window_view(runs, span)[:, ::-1]
-    places = np.unique(np.arange(n - span + 1) + span - 1 - from_last.argmin(axis=1))
+    places = np.unique(_least_places(runs, span))
     return runs[places], places
 
 
+def _least_places(values: np.ndarray, span: int) -> np.ndarray:
+    """The place of the least value (the last of equals) in each stretch of ``span``."""
+    least, length = np.arange(len(values)), 1
+    while length < span:
+        step = min(length, span - length)
+        here, there = least[:-step], least[step:]
+        least = np.where(values[there] <= values[here], there, here)
+        length += step
+    return least
+
+
 _IDENTITY = ["doc_id", "row_hash", "text"]
 
 
@@ -196,22 +213,24 @@ def _find_passages(rows: DataFrame) -> DataFrame:
 
 def repeated_words(rows: DataFrame) -> DataFrame:
     """doc_id, row_hash and the stretches (first, last) of words that repeat an earlier passage of ``PASSAGE_WORDS`` words, for rows of doc_id, row_hash and text."""
-    found = cut_lineage(_find_runs(rows))
-    # Runs that occur once need no more than to be counted; whether places differ is for the passages to say.
-    shared = found.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    near = found.join(cut_lineage(shared.select("run")), "run", "left_semi")
-    # Places of one document, so a list is bounded by it.
-    places = cut_lineage(near.groupBy(F.col("doc_id").alias("of"), F.col("row_hash").alias("of_hash")).agg(F.collect_set("place").alias("places")))
-    with_places = rows.join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row_hash") == F.col("of_hash")))
-    passages = cut_lineage(_find_passages(with_places))
-    occurrence = F.struct("doc_id", "row_hash", "first")
-    starts = passages.groupBy("passage").agg(F.min(occurrence).alias("kept"), F.max(occurrence).alias("other")).filter(F.col("kept") != F.col("other"))
-    later = passages.join(cut_lineage(starts.select("passage", "kept")), "passage").filter(occurrence != F.col("kept"))
-    same_row = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("row_hash") == F.col("kept.row_hash"))
-    behind = F.greatest(F.col("first"), F.col("kept.first") + PASSAGE_WORDS)
-    stretch = F.struct(F.when(same_row, behind).otherwise(F.col("first")).alias("first"), (F.col("first") + PASSAGE_WORDS - 1).alias("last"))
-    # At most one stretch a word, so a list is bounded by its document.
-    return cut_lineage(later.groupBy("doc_id", "row_hash").agg(F.collect_set(stretch).alias("stretches")))
+    with released_scratch(rows.sparkSession) as keep:
+        found = cut_lineage(_find_runs(rows))
+        # Runs that occur once need no more than to be counted; whether places differ is for the passages to say.
+        shared = found.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+        near = found.join(cut_lineage(shared.select("run")), "run", "left_semi")
+        # Places of one document, so a list is bounded by it.
+        places = keep(near.groupBy(F.col("doc_id").alias("of"), F.col("row_hash").alias("of_hash")).agg(F.collect_set("place").alias("places")))
+    with released_scratch(rows.sparkSession) as keep:
+        with_places = rows.join(places, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row_hash") == F.col("of_hash")))
+        passages = cut_lineage(_find_passages(with_places))
+        occurrence = F.struct("doc_id", "row_hash", "first")
+        starts = passages.groupBy("passage").agg(F.min(occurrence).alias("kept"), F.max(occurrence).alias("other")).filter(F.col("kept") != F.col("other"))
+        later = passages.join(cut_lineage(starts.select("passage", "kept")), "passage").filter(occurrence != F.col("kept"))
+        same_row = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("row_hash") == F.col("kept.row_hash"))
+        behind = F.greatest(F.col("first"), F.col("kept.first") + PASSAGE_WORDS)
+        stretch = F.struct(F.when(same_row, behind).otherwise(F.col("first")).alias("first"), (F.col("first") + PASSAGE_WORDS - 1).alias("last"))
+        # At most one stretch a word, so a list is bounded by its document.
+        return keep(later.groupBy("doc_id", "row_hash").agg(F.collect_set(stretch).alias("stretches")))
 
 
 def _with_stretches(rows: DataFrame, stretches: DataFrame) -> DataFrame:
@@ -231,7 +250,6 @@ def delete_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     carried.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).cast("string").alias("text"))
-    with_lines = _with_stretches(rows, repeated_stretches(docs, id_col, text_col, min_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +266,9 @@ def delete_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     ["doc_id", "row_hash", "text", "n_lines", "n_removed"],
                 )
 
-    left = cut_lineage(with_lines.mapInArrow(run, "doc_id bigint, row_hash bigint, text string, n_lines bigint, n_removed bigint"))
+    with released_scratch(docs.sparkSession) as keep:
+        with_lines = _with_stretches(rows, repeated_stretches(docs, id_col, text_col, min_words))
+        left = keep(with_lines.mapInArrow(run, "doc_id bigint, row_hash bigint, text string, n_lines bigint, n_removed bigint"))
     with_words = _with_stretches(left, repeated_words(left))
     # Only texts that change go to Python, once.
     changed = F.arrow_udf(_reworded_and_emptied, "struct<text: string, emptied: bigint>")(_where_found("text", "stretches"), "stretches")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import line_winnow
@@ -109,3 +110,36 @@ def test_the_word_pass_equals_brute_force(spark, seed):
     table = spark.createDataFrame(rows, "doc_id long, row_hash long, text string").repartition(5)
     got = {(r.doc_id, r.row_hash): {i for s in r.stretches for i in range(s["first"], s["last"] + 1)} for r in line_winnow.repeated_words(table).collect()}
     assert {k: v for k, v in got.items() if v} == brute_words(rows[:-1]) and len(got) > 20
+
+
+def test_selected_runs_equal_the_plain_rule():
+    """Hashes word by word, and the last least one of every stretch of runs."""
+    rng = np.random.default_rng(5)
+    for n in [*range(45, 60), 300]:
+        words = rng.integers(0, 1 << 63, 6 if n % 2 else 1000, dtype=np.uint64)[rng.integers(0, 6, n)]
+        size, span = line_winnow.RUN_WORDS, line_winnow.PASSAGE_WORDS - line_winnow.RUN_WORDS + 1
+        runs = []
+        for at in range(n - size + 1):
+            h = 0
+            for w in words[at : at + size].tolist():
+                h = (h * 0x9E3779B97F4A7C15 + w) % (1 << 64)
+            h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 % (1 << 64)
+            h ^= h >> 32
+            runs.append(h - (1 << 64) if h >> 63 else h)
+        expected = sorted({max(range(at, at + span), key=lambda i: (-runs[i], i)) for at in range(len(runs) - span + 1)})
+        found, places = line_winnow.selected_runs(words)
+        assert places.tolist() == expected and found.tolist() == [runs[i] for i in expected]
+
+
+def test_tables_on_the_way_are_removed(spark):
+    """Once texts are without repeated lines, and again without repeated passages, only what is read on lies in the shared folder."""
+    rng = random.Random(31)
+    passage = " ".join("p%d" % i for i in range(60))
+    docs = documents(spark, [(i, f"{rng.random()} {passage} {rng.random()}") for i in range(20)])
+    folder = f"{line_winnow.cut_lineage.__globals__['shared_dir'](spark).rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+    names = line_winnow.cut_lineage.__globals__["child_names"]
+    before = set(names(spark, folder))
+    left = line_winnow.delete_repeated(docs)
+    # The texts without lines, places of repeated runs, and the stretches.
+    assert len(set(names(spark, folder)) - before) == 3
+    assert sum(len(r.text.split()) == 2 for r in left.collect()) == 19
